@@ -30,13 +30,9 @@ def resolve_code(
     if standard_only:
         in_scope = in_scope & (F.col("STANDARD_CONCEPT") == "S")
     lookup = vocabulary.filter(in_scope).select(
-        F.col("CONCEPT_CODE").alias("_code"), F.col("CONCEPT_ID").cast("long").alias("_concept")
-    )
-    return (
-        df.join(lookup, F.col(code_column) == F.col("_code"), "left")
-        .withColumn(concept_column, F.coalesce("_concept", F.lit(0).cast("long")))
-        .drop("_code", "_concept")
+        F.col("CONCEPT_CODE").alias(code_column), F.col("CONCEPT_ID").cast("long").alias(concept_column)
     )
+    return df.join(lookup, code_column, "left").na.fill(0, [concept_column])
 
 
 def resolve_value(
@@ -44,16 +40,11 @@ def resolve_value(
 ) -> DataFrame:
     """Adds ``concept_column`` from a lookup with a ``concept_id``; ``keys`` maps df columns to lookup columns."""
     side = lookup.select(
-        *[F.col(theirs).alias(f"_key_{theirs}") for theirs in keys.values()],
-        F.col("concept_id").cast("long").alias("_concept"),
-    )
-    matches = [F.col(ours) == F.col(f"_key_{theirs}") for ours, theirs in keys.items()]
-    concept = F.col("_concept") if default is None else F.coalesce("_concept", F.lit(default).cast("long"))
-    return (
-        df.join(side, matches, "left")
-        .withColumn(concept_column, concept)
-        .drop("_concept", *[f"_key_{theirs}" for theirs in keys.values()])
+        *[F.col(theirs).alias(ours) for ours, theirs in keys.items()],
+        F.col("concept_id").cast("long").alias(concept_column),
     )
+    joined = df.join(side, list(keys), "left")
+    return joined if default is None else joined.na.fill(default, [concept_column])
 
 
 def approved(concept_map: DataFrame) -> DataFrame:

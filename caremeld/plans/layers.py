@@ -2,14 +2,14 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from collections.abc import Callable, Mapping
 from concurrent.futures import ThreadPoolExecutor
 from functools import cached_property
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame
 
 from caremeld.plans import clinical, deid, genomic, staging
-from caremeld.sources.tables import write_overwrite
+from caremeld.sources.tables import save_table
 
 
 class Layers:
@@ -22,17 +22,20 @@ class Layers:
 
     def __init__(
         self,
-        raw: dict[str, DataFrame],
+        raw: Mapping[str, DataFrame],
         vocabulary: DataFrame,
         concept_map: DataFrame,
         as_of_year: int | None = None,
     ) -> None:
         self.raw, self.vocabulary, self.concept_map, self.as_of_year = raw, vocabulary, concept_map, as_of_year
+        self._views: dict[str, DataFrame] = {}
         self._done: dict[str, DataFrame] = {}
 
     def staging(self, view: str) -> DataFrame:
-        table, project = staging.VIEWS[view]
-        return project(self.raw[table])
+        if view not in self._views:
+            table, project = staging.VIEWS[view]
+            self._views[view] = project(self.raw[table])
+        return self._views[view]
 
     @cached_property
     def person(self) -> DataFrame:
@@ -146,9 +149,7 @@ ANALYTICS = ["person_deid", *PROJECTED, "mutations_deid", "unique_patients"]
 TABLE_LAYERS = {"omop": CLINICAL, "genomic": GENOMIC, "analytics": ANALYTICS}
 
 
-def build(
-    spark: SparkSession, layers: Layers, prefix: str = "", location: str | None = None, threads: int = 4
-) -> dict[str, DataFrame]:
+def build(layers: Layers, prefix: str = "", location: str | None = None, threads: int = 4) -> dict[str, DataFrame]:
     """Materialises every layer and returns the tables as written.
 
     Staging becomes temporary views; the other layers become tables in the databases ``<prefix>omop``,
@@ -164,8 +165,7 @@ def build(
         database = f"{prefix}{layer}"
 
         def write(name: str, database: str = database) -> None:
-            write_overwrite(spark, layers.table(name), database, name, location)
-            layers._done[name] = written[name] = spark.table(f"{database}.{name}")
+            layers._done[name] = written[name] = save_table(layers.table(name), database, name, location)
 
         with ThreadPoolExecutor(threads) as pool:
             list(pool.map(write, [n for n in names if n != roster]))

@@ -5,6 +5,7 @@ Every table is counted in one pass, which yields a handful of named counts; the
 
 from __future__ import annotations
 
+from collections.abc import Mapping
 from dataclasses import dataclass
 from functools import reduce
 
@@ -36,7 +37,7 @@ RAW_IDS = {
 }
 
 
-Tables = dict[str, DataFrame]
+Tables = Mapping[str, DataFrame]
 REPORT_COLUMNS = ["sort", "check_group", "item", "source_count", "modeled_count", "delta", "note"]
 
 

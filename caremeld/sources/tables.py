@@ -13,18 +13,21 @@ def create_database(spark: SparkSession, database: str, location: str | None = N
     spark.sql(f"create database if not exists {database}{place}")
 
 
+def save_table(
+    df: DataFrame, database: str, table: str, location: str | None = None, partition_by: list[str] | None = None
+) -> DataFrame:
+    """Creates or replaces a table and returns it as written."""
+    spark = df.sparkSession
+    create_database(spark, database, location)
+    df.write.mode("overwrite").saveAsTable(f"{database}.{table}", format="parquet", partitionBy=partition_by)
+    return spark.table(f"{database}.{table}")
+
+
 def write_overwrite(
-    spark: SparkSession,
-    df: DataFrame,
-    database: str,
-    table: str,
-    location: str | None = None,
-    partition_by: list[str] | None = None,
+    df: DataFrame, database: str, table: str, location: str | None = None, partition_by: list[str] | None = None
 ) -> int:
     """Creates or replaces a table and returns its number of rows, which the written footers hold."""
-    create_database(spark, database, location)
-    df.write.mode("overwrite").saveAsTable(f"{database}.{table}", format="parquet", partitionBy=partition_by)
-    return spark.table(f"{database}.{table}").count()
+    return save_table(df, database, table, location, partition_by).count()
 
 
 def inventory(tables: dict[tuple[str, str, str], DataFrame]) -> DataFrame:

@@ -7,6 +7,8 @@ the next lower key; key 0 does not exist, so some of them are facts of an unknow
 
 from __future__ import annotations
 
+from collections.abc import Mapping
+
 from pyspark.sql import DataFrame, SparkSession
 
 TEST_TABLES = ["customer", "orders", "lineitem", "events", "part"]
@@ -101,20 +103,40 @@ RAW_SQL = {
 }
 
 
-def raw_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    """One raw table over the whole test tables."""
-    sql = RAW_SQL[name]
-    used = [t for t in TEST_TABLES if "{" + t + "}" in sql]
-    return spark.sql(sql, **{t: spark.read.parquet(f"{sf_dir}/{t}.parquet") for t in used})
+class RawTables(Mapping):
+    """The raw tables by name, each worked out when it is first used; every test table is opened once."""
+
+    def __init__(self, spark: SparkSession, sf_dir: str) -> None:
+        self.spark, self.sf_dir = spark, sf_dir
+        self._files: dict[str, DataFrame] = {}
+        self._tables: dict[str, DataFrame] = {}
+
+    def _file(self, name: str) -> DataFrame:
+        if name not in self._files:
+            self._files[name] = self.spark.read.parquet(f"{self.sf_dir}/{name}.parquet")
+        return self._files[name]
 
+    def __getitem__(self, name: str) -> DataFrame:
+        if name not in self._tables:
+            sql = RAW_SQL[name]
+            used = {t: self._file(t) for t in TEST_TABLES if "{" + t + "}" in sql}
+            self._tables[name] = self.spark.sql(sql, **used)
+        return self._tables[name]
 
-def raw_tables(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
-    return {name: raw_table(spark, sf_dir, name) for name in RAW_SQL if name != "vocab__concept"}
+    def __iter__(self):
+        return (name for name in RAW_SQL if name != "vocab__concept")
 
+    def __len__(self) -> int:
+        return len(RAW_SQL) - 1
 
-def vocabulary(spark: SparkSession, sf_dir: str) -> DataFrame:
-    concepts = raw_table(spark, sf_dir, "vocab__concept")
-    return concepts.withColumn("CONCEPT_ID", concepts["CONCEPT_ID"].try_cast("long"))
+    def vocabulary(self) -> DataFrame:
+        concepts = self["vocab__concept"]
+        return concepts.withColumn("CONCEPT_ID", concepts["CONCEPT_ID"].try_cast("long"))
+
+
+def raw_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    """One raw table over the whole test tables."""
+    return RawTables(spark, sf_dir)[name]
 
 
 def oracle_raw(name: str) -> str:

@@ -21,7 +21,7 @@ from caremeld.plans.staging import VIEWS
 from caremeld.session import new_path
 from caremeld.sources import landing, seeds, tables, variants
 from verification.oracle import AS_OF_YEAR, date, number, report_sql, statement, whole
-from verification.projection import RAW_SQL, oracle_raw, raw_table, raw_tables, vocabulary
+from verification.projection import RAW_SQL, RawTables, oracle_raw, raw_table
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -46,7 +46,8 @@ def query(name: str, sql: str | None = None) -> Callable[[Query], Query]:
 
 
 def layers(spark: SparkSession, sf_dir: str) -> Layers:
-    return Layers(raw_tables(spark, sf_dir), vocabulary(spark, sf_dir), seeds.concept_map(spark), AS_OF_YEAR)
+    raw = RawTables(spark, sf_dir)
+    return Layers(raw, raw.vocabulary(), seeds.concept_map(spark), AS_OF_YEAR)
 
 
 def built(spark: SparkSession, sf_dir: str) -> tuple[Layers, dict[str, DataFrame], dict[str, str]]:
@@ -54,7 +55,7 @@ def built(spark: SparkSession, sf_dir: str) -> tuple[Layers, dict[str, DataFrame
     models = layers(spark, sf_dir)
     location = new_path(spark, "layers")
     prefix = f"run_{os.path.basename(location).rsplit('-', 1)[-1][:12]}_"
-    written = build(spark, models, prefix, location)
+    written = build(models, prefix, location)
     return models, written, {layer: f"{prefix}{layer}" for layer in ("omop", "genomic", "analytics")}
 
 
@@ -153,7 +154,7 @@ def write_overwrite(spark, sf_dir):
     base = new_path(spark, "tables")
     database = "raw_" + base.rsplit("-", 1)[-1][:12]
     for name in ("synthea__patients", "synthea__encounters"):
-        tables.write_overwrite(spark, raw_table(spark, sf_dir, name), database, "encounters", base)
+        tables.write_overwrite(raw_table(spark, sf_dir, name), database, "encounters", base)
     return spark.table(f"{database}.encounters")
 
 
@@ -247,7 +248,7 @@ def raw_passthrough(spark, sf_dir):
     base = new_path(spark, "genomic")
     database = "genomic_" + base.rsplit("-", 1)[-1][:12]
     mutations = layers(spark, sf_dir).table("metabric_mutations")
-    tables.write_overwrite(spark, mutations, database, "metabric_mutations", base)
+    tables.write_overwrite(mutations, database, "metabric_mutations", base)
     return spark.table(f"{database}.metabric_mutations")
 
 
@@ -259,7 +260,7 @@ def materialise_layer(spark, sf_dir):
     run = base.rsplit("-", 1)[-1][:12]
     models.staging("stg_synthea_patients").createOrReplaceTempView(f"stg_synthea_patients_{run}")
     dead = clinical.death(spark.table(f"stg_synthea_patients_{run}"), models.person)
-    tables.write_overwrite(spark, dead, f"omop_{run}", "death", base)
+    tables.write_overwrite(dead, f"omop_{run}", "death", base)
     return spark.table(f"omop_{run}.death")
 
 
@@ -641,7 +642,7 @@ RAW_PATIENTS_SQL = "\nunion all ".join(
 
 @query("raw_distinct_patients", statement(RAW_PATIENTS_SQL))
 def raw_distinct_patients(spark, sf_dir):
-    return reconcile.raw_patients(raw_tables(spark, sf_dir))
+    return reconcile.raw_patients(RawTables(spark, sf_dir))
 
 
 ROW_PARTS = {
@@ -699,7 +700,7 @@ def scalar_count_delta(spark, sf_dir):
 )
 def ordered_report(spark, sf_dir):
     """Raw row counts, genomic files last, then by name; the column they are sorted by is not shown."""
-    counts = reconcile.row_counts(raw_tables(spark, sf_dir))
+    counts = reconcile.row_counts(RawTables(spark, sf_dir))
     sort = F.when(F.col("name").endswith("mutations"), 2).otherwise(1)
     return counts.select(sort.alias("sort"), F.col("name").alias("item"), "n").orderBy("sort", "item").drop("sort")
 
@@ -817,7 +818,7 @@ def dq_cdm_coverage(spark, sf_dir):
     database = "omop_" + base.rsplit("-", 1)[-1][:12]
     for name, df in [("person", models.person), ("death", models.table("death")),
                      ("visit_occurrence", models.rows("visit_occurrence"))]:
-        tables.write_overwrite(spark, df, database, name, base)
+        tables.write_overwrite(df, database, name, base)
     present = quality.materialised_tables(spark, database)
     return quality.cdm_coverage(seeds.cdm_spec(spark), seeds.cdm_scope(spark), present)
 
