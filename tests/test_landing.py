@@ -1,0 +1,164 @@
+import json
+
+import pytest
+from pyspark.sql import types as T
+
+from caremeld.plans.layers import ANALYTICS, CLINICAL, GENOMIC, Layers, build
+from caremeld.sources import landing, seeds, tables, variants
+from tests.conftest import AS_OF_YEAR, frame, ordered, rows
+
+
+def put(path, text):
+    path.parent.mkdir(parents=True, exist_ok=True)
+    path.write_text(text)
+    return str(path)
+
+
+def test_csv_keeps_every_cell_as_text(spark, tmp_path):
+    path = put(tmp_path / "a.csv", 'Id,Name,Note\n1,"Last, First",""\n002,NA,\n3,"say ""hi""",x # y\n')
+    assert rows(landing.read_flat(spark, path)) == ordered(
+        [("1", "Last, First", ""), ("002", "NA", ""), ("3", 'say "hi"', "x # y")]
+    )
+
+
+def test_line_breaks_inside_quotes_on_request(spark, tmp_path):
+    path = put(tmp_path / "a.csv", 'Id,Note\n1,"two\nlines"\n')
+    assert rows(landing.read_flat(spark, path, multi_line=True)) == [("1", "two\nlines")]
+
+
+def test_tsv_skips_comment_lines_before_the_header(spark, tmp_path):
+    path = put(tmp_path / "data_clinical_patient.txt", "#Patient\tSex\n#STRING\tSTRING\nPATIENT_ID\tSEX\nP1\t\nP2\tNA\n")
+    assert rows(landing.read_flat(spark, path)) == ordered([("P1", ""), ("P2", "NA")])
+
+
+@pytest.fixture
+def zone(tmp_path):
+    put(tmp_path / "synthea/csv/patients.csv", "Id,GENDER\nS1,F\n")
+    put(tmp_path / "synthea/csv/visits.csv", "Id\nV1\nV2\n")
+    put(tmp_path / "synthea/readme.txt", "ignored")
+    put(tmp_path / "metabric/brca/data_clinical_patient.txt", "#c\nPATIENT_ID\nP1\n")
+    put(tmp_path / "metabric/brca/data_mutations.txt", "Hugo_Symbol\nTP53\n")
+    put(tmp_path / "metabric/brca/meta_study.txt", "ignored")
+    return tmp_path
+
+
+def test_discovery_lists_each_file_once(spark, zone):
+    found = landing.discover_files(spark, str(zone))
+    assert rows(found, "source", "table_name", "role") == ordered(
+        [
+            ("metabric", "metabric__data_clinical_patient", "clinical"),
+            ("metabric", "metabric__data_mutations", "genomic"),
+            ("synthea", "synthea__patients", "clinical"),
+            ("synthea", "synthea__visits", "clinical"),
+        ]
+    )
+
+
+def test_the_last_of_two_files_with_one_name_wins(spark, zone):
+    put(zone / "metabric/zz/data_mutations.txt", "Hugo_Symbol\nBRCA1\nBRCA2\n")
+    found = landing.discover_files(spark, str(zone)).filter("table_name = 'metabric__data_mutations'").collect()
+    assert [r["path"].endswith("/zz/data_mutations.txt") for r in found] == [True]
+
+
+def test_nothing_to_land(spark, tmp_path):
+    found = landing.discover_files(spark, str(tmp_path / "nowhere"))
+    assert found.isEmpty() and landing.land_all(spark, found, "raw_none", str(tmp_path / "db")).isEmpty()
+
+
+def test_manifest_shows_missing_files(spark, zone):
+    found = landing.manifest(spark, landing.discover_files(spark, str(zone)))
+    assert found.count() == 8
+    assert rows(found.filter("found"), "table_name") == [("metabric__data_clinical_patient",), ("metabric__data_mutations",)]
+
+
+def test_landing_writes_one_table_per_file_and_replaces_it(spark, zone):
+    for _ in range(2):
+        counts = landing.land_all(spark, landing.discover_files(spark, str(zone)), "raw_test", str(zone / "db"))
+    assert rows(counts) == ordered(
+        [("metabric__data_clinical_patient", 1), ("metabric__data_mutations", 1), ("synthea__patients", 1), ("synthea__visits", 2)]
+    )
+    assert {f.dataType for f in spark.table("raw_test.synthea__patients").schema} == {T.StringType()}
+
+
+VOCABULARY = (
+    "concept_id\tconcept_name\tdomain_id\tvocabulary_id\tconcept_class_id\tstandard_concept\tconcept_code\tvalid_start_date\n"
+    '1\tan "odd name\tCondition\tSNOMED\tDisorder\tS\t100\t19700101\n'
+    "2\tother\tDrug\tRxNorm\tDrug\t\t300\t19700101\n"
+)
+
+
+def test_vocabulary(spark, tmp_path):
+    concepts = landing.read_vocabulary(spark, put(tmp_path / "CONCEPT.csv", VOCABULARY))
+    assert concepts.columns == [c.upper() for c in landing.CONCEPT_COLUMNS]
+    assert rows(concepts, "CONCEPT_ID", "CONCEPT_NAME", "STANDARD_CONCEPT") == ordered(
+        [(1, 'an "odd name', "S"), (2, "other", "")]
+    )
+    stored = landing.write_vocabulary(concepts, str(tmp_path / "stored"))
+    assert rows(stored) == rows(concepts) and stored.columns == concepts.columns
+    plan = stored.filter("VOCABULARY_ID = 'SNOMED'")._jdf.queryExecution().toString()
+    assert "PartitionFilters: [isnotnull(VOCABULARY_ID" in plan
+
+
+def test_bundles_merge_with_the_earlier_one_first(spark, tmp_path):
+    first = landing.read_vocabulary(spark, put(tmp_path / "a.csv", VOCABULARY))
+    second = landing.read_vocabulary(spark, put(tmp_path / "b.csv", VOCABULARY.replace("other", "newer").replace("\n1\t", "\n7\t")))
+    merged = landing.merge_vocabularies([first, second])
+    assert rows(merged, "CONCEPT_ID", "CONCEPT_NAME") == ordered(
+        [(1, 'an "odd name'), (2, "other"), (7, 'an "odd name')]
+    )
+
+
+def test_api_pages(spark, tmp_path):
+    page = [
+        {"gene": {"hugoGeneSymbol": "TP53"}, "entrezGeneId": 7157, "chr": "17", "sampleId": "T1", "extra": [1]},
+        {"entrezGeneId": None, "proteinChange": "p.R1", "tumorAltCount": 1.5},
+        {"gene": {}, "startPosition": 12345678901},
+    ]
+    put(tmp_path / "pages/0.json", json.dumps(page))
+    put(tmp_path / "pages/1.json", json.dumps(page[:1]))
+    found = variants.read_mutation_pages(spark, str(tmp_path / "pages"))
+    assert found.columns == variants.MAF_COLUMNS and len(found.columns) == 45
+    picked = ["Hugo_Symbol", "Entrez_Gene_Id", "Tumor_Sample_Barcode", "HGVSp_Short", "Start_Position", "t_alt_count", "Score"]
+    assert rows(found, *picked) == ordered(
+        [
+            ("TP53", "7157", "T1", "", "", "", ""),
+            ("TP53", "7157", "T1", "", "", "", ""),
+            ("", "", "", "p.R1", "", "1.5", ""),
+            ("", "", "", "", "12345678901", "", ""),
+        ]
+    )
+
+
+def test_seed_types_empty_cells_and_order(spark, tmp_path):
+    schema = T.StructType([T.StructField("word", T.StringType()), T.StructField("concept_id", T.LongType())])
+    good = put(tmp_path / "good.csv", "word,concept_id\na,1\n,2\nb,\n")
+    assert rows(seeds.load_seed(spark, good, schema)) == ordered([("a", 1), (None, 2), ("b", None)])
+    with pytest.raises(Exception):
+        seeds.load_seed(spark, put(tmp_path / "swapped.csv", "concept_id,word\n1,a\n"), schema).collect()
+    with pytest.raises(Exception):
+        seeds.load_seed(spark, put(tmp_path / "typed.csv", "word,concept_id\na,one\n"), schema).collect()
+
+
+def test_reviewed_map_as_a_file_gives_the_same_map(spark, tmp_path):
+    own = seeds.concept_map(spark)
+    own.write.csv(str(tmp_path / "map"), header=True, escape='"')
+    assert rows(seeds.load_seed(spark, str(tmp_path / "map"), seeds.CONCEPT_MAP_SCHEMA)) == rows(own)
+
+
+def test_overwrite_returns_the_row_count(spark, tmp_path):
+    two, one = frame(spark, "a b", [("1", "2"), ("3", "4")]), frame(spark, "a", [("9",)])
+    assert tables.write_overwrite(two, "db_test", "t", str(tmp_path)) == 2
+    assert tables.write_overwrite(one, "db_test", "t", str(tmp_path)) == 1
+    assert rows(spark.table("db_test.t")) == [("9",)]
+
+
+def test_build_writes_every_layer(spark, raw, vocabulary, models, tmp_path):
+    own = Layers(raw, vocabulary, seeds.concept_map(spark), AS_OF_YEAR)
+    written = build(own, "t_", str(tmp_path))
+    assert sorted(written) == sorted([*CLINICAL, *GENOMIC, *ANALYTICS])
+    for name in ("person", "condition_occurrence", "measurement_deid", "unique_patients"):
+        assert rows(written[name]) == rows(models.table(name)) and written[name].inputFiles()
+    databases = {layer: f"t_{layer}" for layer in ("omop", "genomic", "analytics")}
+    counted = {(r[0], r[1]): r[3] for r in tables.inventory(tables.catalog_tables(spark, databases)).collect()}
+    assert len(counted) == 22 and counted["omop", "person"] == 13 and counted["analytics", "person_deid"] == 13
+    assert spark.table("t_stg_tcga_patient").count() == 4
