@@ -17,22 +17,19 @@ from caremeld.functions.casts import has_text
 VISIT_CLASS = {"inpatient": 9201, "emergency": 9203, "ambulatory": 9202, "outpatient": 9202, "wellness": 9202}
 
 
-def resolve_code(
-    df: DataFrame,
-    vocabulary: DataFrame,
-    vocabulary_id: str,
-    code_column: str,
-    concept_column: str,
-    standard_only: bool = True,
-) -> DataFrame:
-    """Adds ``concept_column``: the concept of the code in one vocabulary, 0 when there is none."""
+def code_lookup(vocabulary: DataFrame, vocabulary_id: str, standard_only: bool = True) -> DataFrame:
+    """(code, concept_id) of one vocabulary, all its codes or only those of standard concepts."""
     in_scope = F.col("VOCABULARY_ID") == vocabulary_id
     if standard_only:
         in_scope = in_scope & (F.col("STANDARD_CONCEPT") == "S")
-    lookup = vocabulary.filter(in_scope).select(
-        F.col("CONCEPT_CODE").alias(code_column), F.col("CONCEPT_ID").cast("long").alias(concept_column)
+    return vocabulary.filter(in_scope).select(
+        F.col("CONCEPT_CODE").alias("code"), F.col("CONCEPT_ID").cast("long").alias("concept_id")
     )
-    return df.join(lookup, code_column, "left").na.fill(0, [concept_column])
+
+
+def resolve_code(df: DataFrame, codes: DataFrame, code_column: str, concept_column: str) -> DataFrame:
+    """Adds ``concept_column`` from a code lookup, 0 when it lacks the code."""
+    return resolve_value(df, codes, {code_column: "code"}, concept_column, default=0)
 
 
 def resolve_value(

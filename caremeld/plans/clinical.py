@@ -27,8 +27,14 @@ def with_person(facts: DataFrame, person: DataFrame) -> DataFrame:
     """Facts of known patients, with ``person_id``; facts of unknown patients are dropped.
 
     Patients are matched on their source id alone, so an id that two sources share yields a row for each person.
+    ``person`` may be the whole table or just the two key columns, marked for broadcast or not.
     """
-    return facts.join(person.select("person_id", "person_source_value"), "person_source_value")
+    return facts.join(person_keys(person), "person_source_value")
+
+
+def person_keys(person: DataFrame) -> DataFrame:
+    keys = ["person_id", "person_source_value"]
+    return person if person.columns == keys else person.select(keys)
 
 
 def person_rows(
@@ -83,11 +89,11 @@ def condition_rows(
     metabric_sample: DataFrame,
     tcga_sample: DataFrame,
     person: DataFrame,
-    vocabulary: DataFrame,
+    snomed: DataFrame,
     concept_map: DataFrame,
 ) -> DataFrame:
     """Coded events of the synthetic patients and one undated diagnosis per sample of the two studies."""
-    coded = C.resolve_code(conditions, vocabulary, "SNOMED", "snomed_code", "condition_concept_id")
+    coded = C.resolve_code(conditions, snomed, "snomed_code", "condition_concept_id")
     columns = ["person_source_value", "cancer_type_detailed"]
     diagnoses = C.resolve_value(
         metabric_sample.select(F.lit("metabric").alias("source"), *columns).unionByName(
@@ -113,9 +119,9 @@ def condition_occurrence(rows: DataFrame) -> DataFrame:
     return assign_surrogate_id(rows, "condition_occurrence_id", ["condition_start_date", "person_id"])
 
 
-def drug_rows(medications: DataFrame, person: DataFrame, vocabulary: DataFrame) -> DataFrame:
+def drug_rows(medications: DataFrame, person: DataFrame, rxnorm: DataFrame) -> DataFrame:
     known = with_person(medications, person)
-    return C.resolve_code(known, vocabulary, "RxNorm", "rxnorm_code", "drug_concept_id").select(
+    return C.resolve_code(known, rxnorm, "rxnorm_code", "drug_concept_id").select(
         "person_id",
         "drug_concept_id",
         "drug_exposure_start_date",
@@ -130,9 +136,9 @@ def drug_exposure(rows: DataFrame) -> DataFrame:
     return assign_surrogate_id(rows, "drug_exposure_id", ["drug_exposure_start_date", "person_id"])
 
 
-def procedure_rows(procedures: DataFrame, person: DataFrame, vocabulary: DataFrame) -> DataFrame:
+def procedure_rows(procedures: DataFrame, person: DataFrame, snomed: DataFrame) -> DataFrame:
     known = with_person(procedures, person)
-    return C.resolve_code(known, vocabulary, "SNOMED", "snomed_code", "procedure_concept_id").select(
+    return C.resolve_code(known, snomed, "snomed_code", "procedure_concept_id").select(
         "person_id", "procedure_concept_id", "procedure_date", "procedure_source_value", "snomed_code"
     )
 
@@ -157,12 +163,12 @@ def measurement_rows(
     observations: DataFrame,
     metabric_sample: DataFrame,
     person: DataFrame,
-    vocabulary: DataFrame,
+    loinc: DataFrame,
     concept_map: DataFrame,
 ) -> DataFrame:
     """Numeric results of the synthetic patients and the tumour attributes of one study, numbered by LOINC code.
 
-    The two branches share one join to the people and one to the vocabulary.
+    The two branches share one join to the people and one to the codes, which need not be standard here.
     """
     dated = observations.select(
         "person_source_value",
@@ -187,9 +193,7 @@ def measurement_rows(
         F.col("label").alias("measurement_source_value"),
     )
     known = with_person(dated.unionByName(tumour), person)
-    return C.resolve_code(
-        known, vocabulary, "LOINC", "loinc_code", "measurement_concept_id", standard_only=False
-    ).select(
+    return C.resolve_code(known, loinc, "loinc_code", "measurement_concept_id").select(
         "person_id",
         "measurement_concept_id",
         "measurement_date",

@@ -20,6 +20,7 @@ VARIANT_COLUMNS = {
     "variant_type": "Variant_Type",
     "protein_change": "HGVSp_Short",
 }
+LINK_COLUMNS = ["sample_id", "person_id"]
 
 
 def this_year(as_of_year: int | None):
@@ -118,7 +119,7 @@ def observation_period_deid(periods: DataFrame) -> DataFrame:
 def mutations_deid(metabric_mutations: DataFrame, tcga_mutations: DataFrame, sample_person: DataFrame) -> DataFrame:
     """Variants by person without barcodes. Samples are matched on their barcode alone.
 
-    The crosswalk is the small side; its measured size decides between a broadcast and a skew-split sort-merge join.
+    ``sample_person`` may be the whole crosswalk or its (sample_id, person_id) columns as ``linked_samples`` gives them.
     """
 
     def variants(raw: DataFrame, source: str) -> DataFrame:
@@ -129,10 +130,15 @@ def mutations_deid(metabric_mutations: DataFrame, tcga_mutations: DataFrame, sam
         )
 
     calls = variants(metabric_mutations, "metabric").unionByName(variants(tcga_mutations, "tcga_brca"))
-    linked = sample_person.filter(F.col("person_id").isNotNull()).select("sample_id", "person_id")
+    linked = sample_person if sample_person.columns == LINK_COLUMNS else linked_samples(sample_person)
     return calls.join(linked, "sample_id").select("person_id", "source", *VARIANT_COLUMNS)
 
 
+def linked_samples(sample_person: DataFrame) -> DataFrame:
+    """Samples whose patient is known."""
+    return sample_person.filter(F.col("person_id").isNotNull()).select(LINK_COLUMNS)
+
+
 def distinct_counts(
     base: DataFrame, key: str, facts: list[tuple[DataFrame, str, str]], keep: list[str] | None = None
 ) -> DataFrame:

@@ -8,6 +8,8 @@ from functools import cached_property
 
 from pyspark.sql import DataFrame
 
+from caremeld.operators import concepts
+from caremeld.operators.lookups import BROADCAST_BYTES, broadcast_if_small
 from caremeld.plans import clinical, deid, genomic, staging
 from caremeld.sources.tables import save_table
 
@@ -17,7 +19,7 @@ class Layers:
 
     A model is worked out when it is first asked for. Models with a surrogate id are written to the shared folder at that
     point; everything else stays a lazy DataFrame. ``rows(name)`` gives a fact table without its id and without that
-    write.
+    write. The lookups that facts join (people, codes, samples) are broadcast up to ``broadcast_bytes``, by measurement.
     """
 
     def __init__(
@@ -26,8 +28,11 @@ class Layers:
         vocabulary: DataFrame,
         concept_map: DataFrame,
         as_of_year: int | None = None,
+        broadcast_bytes: int = BROADCAST_BYTES,
     ) -> None:
         self.raw, self.vocabulary, self.concept_map, self.as_of_year = raw, vocabulary, concept_map, as_of_year
+        self.broadcast_bytes = broadcast_bytes
+        self._codes: dict[tuple[str, bool], DataFrame] = {}
         self._views: dict[str, DataFrame] = {}
         self._done: dict[str, DataFrame] = {}
 
@@ -41,34 +46,55 @@ class Layers:
     def person(self) -> DataFrame:
         return clinical.person(self.rows("person"))
 
+    @cached_property
+    def person_keys(self) -> DataFrame:
+        """Ids of the people, measured once for all the facts that join them."""
+        return broadcast_if_small(clinical.person_keys(self.person), self.broadcast_bytes)
+
+    def codes(self, vocabulary_id: str, standard_only: bool = True) -> DataFrame:
+        """Code lookup of one vocabulary, measured once."""
+        key = (vocabulary_id, standard_only)
+        if key not in self._codes:
+            lookup = concepts.code_lookup(self.vocabulary, vocabulary_id, standard_only)
+            self._codes[key] = broadcast_if_small(lookup, self.broadcast_bytes)
+        return self._codes[key]
+
     def rows(self, table: str) -> DataFrame:
-        stg, vocabulary, concepts = self.staging, self.vocabulary, self.concept_map
+        stg, concept_map = self.staging, self.concept_map
         if table == "person":
             return clinical.person_rows(
-                stg("stg_synthea_patients"), stg("stg_metabric_patient"), stg("stg_tcga_patient"), concepts
+                stg("stg_synthea_patients"), stg("stg_metabric_patient"), stg("stg_tcga_patient"), concept_map
             )
         if table == "visit_occurrence":
-            return clinical.visit_rows(stg("stg_synthea_encounters"), self.person)
+            return clinical.visit_rows(stg("stg_synthea_encounters"), self.person_keys)
         if table == "condition_occurrence":
             return clinical.condition_rows(
                 stg("stg_synthea_conditions"),
                 stg("stg_metabric_sample"),
                 stg("stg_tcga_sample"),
-                self.person,
-                vocabulary,
-                concepts,
+                self.person_keys,
+                self.codes("SNOMED"),
+                concept_map,
             )
         if table == "drug_exposure":
-            return clinical.drug_rows(stg("stg_synthea_medications"), self.person, vocabulary)
+            return clinical.drug_rows(stg("stg_synthea_medications"), self.person_keys, self.codes("RxNorm"))
         if table == "procedure_occurrence":
-            return clinical.procedure_rows(stg("stg_synthea_procedures"), self.person, vocabulary)
+            return clinical.procedure_rows(stg("stg_synthea_procedures"), self.person_keys, self.codes("SNOMED"))
         if table == "measurement":
             return clinical.measurement_rows(
-                stg("stg_synthea_observations"), stg("stg_metabric_sample"), self.person, vocabulary, concepts
+                stg("stg_synthea_observations"),
+                stg("stg_metabric_sample"),
+                self.person_keys,
+                self.codes("LOINC", standard_only=False),
+                concept_map,
             )
         if table == "observation":
             return clinical.observation_rows(
-                stg("stg_metabric_patient"), stg("stg_metabric_sample"), stg("stg_tcga_patient"), self.person, concepts
+                stg("stg_metabric_patient"),
+                stg("stg_metabric_sample"),
+                stg("stg_tcga_patient"),
+                self.person_keys,
+                concept_map,
             )
         if table == "observation_period":
             return clinical.observation_period_rows(
@@ -77,10 +103,10 @@ class Layers:
                 stg("stg_synthea_observations"),
                 stg("stg_synthea_medications"),
                 stg("stg_synthea_procedures"),
-                self.person,
+                self.person_keys,
             )
         if table == "death":
-            return clinical.death(stg("stg_synthea_patients"), self.person)
+            return clinical.death(stg("stg_synthea_patients"), self.person_keys)
         raise KeyError(table)
 
     def table(self, name: str) -> DataFrame:
@@ -104,9 +130,8 @@ class Layers:
         if name == "person_deid":
             return deid.person_deid(self.person, self.as_of_year)
         if name == "mutations_deid":
-            return deid.mutations_deid(
-                self.table("metabric_mutations"), self.table("tcga_brca_mutations"), self.table("sample_person")
-            )
+            linked = broadcast_if_small(deid.linked_samples(self.table("sample_person")), self.broadcast_bytes)
+            return deid.mutations_deid(self.table("metabric_mutations"), self.table("tcga_brca_mutations"), linked)
         if name in PROJECTED:
             source, project = PROJECTED[name]
             return project(self.table(source))
@@ -158,7 +183,8 @@ def build(layers: Layers, prefix: str = "", location: str | None = None, threads
     """
     for view in staging.VIEWS:
         layers.staging(view).createOrReplaceTempView(f"{prefix}{view}")
-    layers.person  # noqa: B018 - every other model joins it, so it is written before the threads start
+    layers.person_keys  # noqa: B018 - every other model joins it, so it is written before the threads start
+    layers.codes("SNOMED")
     written: dict[str, DataFrame] = {}
     roster = "unique_patients"
     for layer, names in TABLE_LAYERS.items():

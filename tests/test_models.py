@@ -198,8 +198,8 @@ def test_only_signed_off_rows_resolve(spark, raw):
 def test_a_code_listed_twice_shows_twice(spark, vocabulary):
     facts = spark.createDataFrame([("100",), (None,)], "code string")
     doubled = vocabulary.unionByName(vocabulary.filter("CONCEPT_ID = 1001"))
-    found = C.resolve_code(facts, doubled, "SNOMED", "code", "concept")
-    assert rows(found, "code", "concept") == [(None, 0), ("100", 1001), ("100", 1001)]
+    found = C.resolve_code(facts.withColumnRenamed("code", "c"), C.code_lookup(doubled, "SNOMED"), "c", "concept")
+    assert rows(found, "c", "concept") == [(None, 0), ("100", 1001), ("100", 1001)]
 
 
 def test_event_span_ignores_keys_without_dates(spark):

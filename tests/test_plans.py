@@ -5,6 +5,7 @@ import re
 import pytest
 from pyspark.sql import functions as F
 
+from caremeld.operators.lookups import broadcast_if_small, measured_bytes
 from caremeld.plans import clinical, deid
 from caremeld.plans.layers import Layers
 from caremeld.sources import seeds
@@ -15,6 +16,10 @@ def plan(df):
     return df._jdf.queryExecution().executedPlan().toString()
 
 
+def logical(df):
+    return df._jdf.queryExecution().analyzed().toString()
+
+
 def run(df):
     """Runs a query without keeping its rows and returns the plan that adaptive execution ended with."""
     execution = df._jdf.queryExecution()
@@ -31,6 +36,20 @@ def test_facts_are_joined_by_equality_and_never_gathered(models, fact):
     assert "CartesianProduct" not in text and "NestedLoop" not in text and "SinglePartition" not in text
 
 
+def test_a_small_lookup_is_broadcast_and_a_large_one_is_not(spark):
+    lookup = spark.range(1000).select(F.col("id"), F.col("id").cast("string").alias("code"))
+    assert 32_000 < measured_bytes(lookup) < 64_000
+    facts = spark.range(10).selectExpr("cast(id as string) as code")
+    assert "ResolvedHint (strategy=broadcast)" in logical(facts.join(broadcast_if_small(lookup), "code"))
+    assert "ResolvedHint" not in logical(facts.join(broadcast_if_small(lookup, 32_000), "code"))
+    assert measured_bytes(lookup.limit(0)) == 0
+
+
+def test_facts_that_meet_small_lookups_are_not_shuffled(models):
+    for fact in ("drug_exposure", "visit_occurrence", "procedure_occurrence"):
+        assert "Exchange hashpartitioning" not in plan(models.rows(fact))
+
+
 def test_roster_counts_before_it_joins(models):
     text = plan(models.roster())
     assert "NestedLoop" not in text and "Expand" not in text
@@ -111,7 +130,8 @@ def test_a_sample_with_a_third_of_the_variants_is_split(spark, sort_merge):
 
 
 def test_results_do_not_depend_on_the_join_strategy(models, raw, vocabulary, spark, sort_merge):
-    again = Layers(raw, vocabulary, seeds.concept_map(spark), AS_OF_YEAR)
+    again = Layers(raw, vocabulary, seeds.concept_map(spark), AS_OF_YEAR, broadcast_bytes=0)
     for fact in FACTS:
         ours, theirs = again.rows(fact), models.rows(fact)
+        assert "BroadcastHashJoin" not in plan(ours)
         assert ours.exceptAll(theirs).isEmpty() and theirs.exceptAll(ours).isEmpty()

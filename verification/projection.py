@@ -10,6 +10,7 @@ from __future__ import annotations
 from collections.abc import Mapping
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql.types import StructType
 
 TEST_TABLES = ["customer", "orders", "lineitem", "events", "part"]
 
@@ -103,6 +104,9 @@ RAW_SQL = {
 }
 
 
+_schemas: dict[str, StructType] = {}  # read from each file once
+
+
 class RawTables(Mapping):
     """The raw tables by name, each worked out when it is first used; every test table is opened once."""
 
@@ -113,7 +117,10 @@ class RawTables(Mapping):
 
     def _file(self, name: str) -> DataFrame:
         if name not in self._files:
-            self._files[name] = self.spark.read.parquet(f"{self.sf_dir}/{name}.parquet")
+            path = f"{self.sf_dir}/{name}.parquet"
+            read = self.spark.read.schema(_schemas[path]) if path in _schemas else self.spark.read
+            self._files[name] = read.parquet(path)
+            _schemas[path] = self._files[name].schema
         return self._files[name]
 
     def __getitem__(self, name: str) -> DataFrame:

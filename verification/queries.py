@@ -330,7 +330,7 @@ def code_resolve_standard(spark, sf_dir):
     models = layers(spark, sf_dir)
     return union(
         [
-            C.resolve_code(models.staging(view), models.vocabulary, vocabulary_id, code, "concept_id").select(
+            C.resolve_code(models.staging(view), models.codes(vocabulary_id), code, "concept_id").select(
                 F.lit(domain).alias("domain"), "person_source_value", F.col(code).alias("source_code"), "concept_id"
             )
             for domain, view, vocabulary_id, code, _, _ in CODED
@@ -341,14 +341,8 @@ def code_resolve_standard(spark, sf_dir):
 @query("code_resolve_any", whole("results_coded", ("measurement_date",)))
 def code_resolve_any(spark, sf_dir):
     models = layers(spark, sf_dir)
-    return C.resolve_code(
-        models.staging("stg_synthea_observations"),
-        models.vocabulary,
-        "LOINC",
-        "loinc_code",
-        "measurement_concept_id",
-        standard_only=False,
-    )
+    loinc = models.codes("LOINC", standard_only=False)
+    return C.resolve_code(models.staging("stg_synthea_observations"), loinc, "loinc_code", "measurement_concept_id")
 
 
 def people(models: Layers) -> DataFrame:
