@@ -7,7 +7,7 @@ from functools import reduce
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from caremeld.operators.checks import Check
+from caremeld.operators.checks import Check, report
 from caremeld.sources.seeds import REVIEW_STATUSES, SOURCES
 
 # Accepted concept ids and the earliest plausible year.
@@ -183,6 +183,34 @@ def cdm_coverage(spec: DataFrame, scope: DataFrame, materialised: DataFrame) ->
     )
 
 
+def validate(
+    tables: dict[str, DataFrame],
+    concept_map: DataFrame,
+    spec: DataFrame,
+    scope: DataFrame,
+    materialised: DataFrame,
+    as_of_year: int,
+) -> DataFrame:
+    """Every declared check, the two checks across tables and the coverage gate, one row each."""
+    checked = {**tables, "concept_map": concept_map, "cdm_v54_tables": spec, "cdm_scope": scope}
+    events = dated_events(
+        tables["condition_occurrence"],
+        tables["visit_occurrence"],
+        tables["drug_exposure"],
+        tables["procedure_occurrence"],
+    )
+    across = {
+        "death_before_birth": ("death", "plausibility", death_before_birth(tables["death"], tables["person"])),
+        "events_outside_period": (
+            "observation_period",
+            "plausibility",
+            events_outside_period(events, tables["observation_period"]),
+        ),
+        "cdm_coverage": ("cdm_scope", "completeness", cdm_coverage(spec, scope, materialised)),
+    }
+    return report(declared_checks(as_of_year), checked, across)
+
+
 def date_columns(layer: str, tables: dict[str, DataFrame]) -> DataFrame:
     """Date and timestamp columns of a layer with the values they expose; a de-identified layer must have none.
 

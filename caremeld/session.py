@@ -11,6 +11,7 @@ import uuid
 from pyspark.sql import SparkSession
 
 _own_folders: dict[str, str] = {}
+_written: list[str] = []
 
 
 def local_session(app_name: str = "caremeld", cpus: int | str = "*", shuffle_partitions: int = 8) -> SparkSession:
@@ -50,4 +51,14 @@ def shared_folder(spark: SparkSession) -> str:
 
 def new_path(spark: SparkSession, label: str) -> str:
     """A path in the shared folder that no other call has used."""
-    return f"{shared_folder(spark)}/{label}-{uuid.uuid4().hex}"
+    path = f"{shared_folder(spark)}/{label}-{uuid.uuid4().hex}"
+    _written.append(path)
+    return path
+
+
+def remove_intermediate(spark: SparkSession) -> None:
+    """Deletes what this process wrote below the shared folder; results that still read it become unreadable."""
+    jvm, configuration = spark.sparkContext._jvm, spark.sparkContext._jsc.hadoopConfiguration()
+    while _written:
+        path = jvm.org.apache.hadoop.fs.Path(_written.pop())
+        path.getFileSystem(configuration).delete(path, True)

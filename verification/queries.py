@@ -862,21 +862,14 @@ def dq_table_inventory(spark, sf_dir):
 def dq_report(spark, sf_dir):
     """Every declared check and the checks across tables, on the tables as written."""
     models, written, databases = built(spark, sf_dir)
-    spec, scope = seeds.cdm_spec(spark), seeds.cdm_scope(spark)
-    checked = {**written, "concept_map": models.concept_map, "cdm_v54_tables": spec, "cdm_scope": scope}
-    facts = [written[t] for t in ("condition_occurrence", "visit_occurrence", "drug_exposure", "procedure_occurrence")]
-    events = quality.dated_events(*facts)
-    singular = {
-        "death_before_birth": (
-            "death", "plausibility", quality.death_before_birth(written["death"], written["person"])),
-        "events_outside_period": (
-            "observation_period", "plausibility",
-            quality.events_outside_period(events, written["observation_period"])),
-        "cdm_coverage": (
-            "cdm_scope", "completeness",
-            quality.cdm_coverage(spec, scope, quality.materialised_tables(spark, databases["omop"]))),
-    }
-    return checks.report(quality.declared_checks(AS_OF_YEAR), checked, singular)
+    return quality.validate(
+        written,
+        models.concept_map,
+        seeds.cdm_spec(spark),
+        seeds.cdm_scope(spark),
+        quality.materialised_tables(spark, databases["omop"]),
+        AS_OF_YEAR,
+    )
 
 
 # ---- Reconciliation ------------------------------------------------------------------------------------------------
