@@ -4,7 +4,6 @@ from __future__ import annotations
 
 from itertools import accumulate
 
-import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -47,16 +46,11 @@ def assign_surrogate_id(
     placed.write.parquet(path)
 
     written = spark.read.schema(placed.schema).parquet(path)
-    task = F.shiftright("_place", _PLACE_BITS)
+    task = F.shiftright("_place", _PLACE_BITS).cast("int")
     # One row per written range, so the size here follows the partition count and not the data.
-    sizes = sorted((r["task"], r["n"]) for r in written.groupBy(task.alias("task")).agg(F.count("*").alias("n")).collect())
+    sizes = dict(written.groupBy(task.alias("task")).agg(F.count("*")).collect())
+    before = accumulate((sizes.get(t, 0) for t in range(max(sizes, default=0))), initial=0)
+    # A folded constant and not a join: the result keeps the size estimate of the files it reads.
+    starts = F.split(F.lit(",".join(map(str, before))), ",").cast("array<bigint>")
     place = F.col("_place").bitwiseAND(F.lit(_PLACE_MASK)) + F.lit(1)
-    if len(sizes) <= 1:
-        return written.select(place.alias(id_column), *kept)
-    starts = [0, *accumulate(n for _, n in sizes)][: len(sizes)]
-    offsets = spark.createDataFrame(
-        pa.table({"_range": pa.array([t for t, _ in sizes], pa.int64()), "_start": pa.array(starts, pa.int64())})
-    )
-    return written.join(F.broadcast(offsets), task == F.col("_range")).select(
-        (F.col("_start") + place).alias(id_column), *kept
-    )
+    return written.select((F.get(starts, task) + place).alias(id_column), *kept)

@@ -19,7 +19,7 @@ class Layers:
 
     A model is worked out when it is first asked for. Models with a surrogate id are written to the shared folder at that
     point; everything else stays a lazy DataFrame. ``rows(name)`` gives a fact table without its id and without that
-    write. The lookups that facts join (people, codes, samples) are broadcast up to ``broadcast_bytes``, by measurement.
+    write. Code and sample lookups are measured and broadcast up to ``broadcast_bytes``.
     """
 
     def __init__(
@@ -48,8 +48,8 @@ class Layers:
 
     @cached_property
     def person_keys(self) -> DataFrame:
-        """Ids of the people, measured once for all the facts that join them."""
-        return broadcast_if_small(clinical.person_keys(self.person), self.broadcast_bytes)
+        """Ids of the people. They are read from written files, whose size tells Spark whether to broadcast them."""
+        return clinical.person_keys(self.person)
 
     def codes(self, vocabulary_id: str, standard_only: bool = True) -> DataFrame:
         """Code lookup of one vocabulary, measured once."""

@@ -12,7 +12,7 @@ from pyspark.sql import DataFrame, SparkSession
 from caremeld.plans import quality
 from caremeld.plans.layers import Layers, build
 from caremeld.plans.reconcile import reconciliation
-from caremeld.session import remove_intermediate
+from caremeld.session import remove_intermediate, written_so_far
 from caremeld.sources import landing, seeds
 from caremeld.sources.tables import save_table
 
@@ -59,8 +59,9 @@ def run(
     }
     stored = {name: save_table(df, omop, name, location) for name, df in seed_tables.items()}
 
+    others = written_so_far()
     tables = build(Layers(raw, vocabulary, stored["concept_map"], year), prefix, location)
-    remove_intermediate(spark)
+    remove_intermediate(spark, others)
     checks = quality.validate(
         tables,
         stored["concept_map"],

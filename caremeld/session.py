@@ -56,9 +56,15 @@ def new_path(spark: SparkSession, label: str) -> str:
     return path
 
 
-def remove_intermediate(spark: SparkSession) -> None:
+def written_so_far() -> int:
+    """How many paths this process has taken; ``remove_intermediate`` can then spare them."""
+    return len(_written)
+
+
+def remove_intermediate(spark: SparkSession, since: int = 0) -> None:
     """Deletes what this process wrote below the shared folder; results that still read it become unreadable."""
     jvm, configuration = spark.sparkContext._jvm, spark.sparkContext._jsc.hadoopConfiguration()
-    while _written:
-        path = jvm.org.apache.hadoop.fs.Path(_written.pop())
+    for name in _written[since:]:
+        path = jvm.org.apache.hadoop.fs.Path(name)
         path.getFileSystem(configuration).delete(path, True)
+    del _written[since:]
