@@ -1,9 +1,11 @@
+from unittest.mock import Mock
+
 import pytest
 from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from caremeld.operators.surrogate import assign_surrogate_id
-from caremeld.session import shared_folder
+from caremeld.session import remove_intermediate, shared_folder, written_so_far
 from tests.conftest import rows
 
 
@@ -57,6 +59,27 @@ def test_no_task_gathers_all_rows(spark, events):
     assert "SinglePartition" not in plan and "Window" not in plan
 
 
+def test_a_cluster_without_a_shared_folder_is_refused():
+    cluster = Mock()
+    cluster.conf.get.return_value = None
+    cluster.sparkContext.getConf.return_value.get.return_value = None
+    cluster.sparkContext.master = "spark://host:7077"
+    with pytest.raises(RuntimeError, match="spark.checkpoint.dir"):
+        shared_folder(cluster)
+    cluster.conf.get.return_value = "s3://bucket/shared/"
+    assert shared_folder(cluster) == "s3://bucket/shared"
+
+
+def test_only_later_paths_are_removed(spark, tmp_path):
+    first = assign_surrogate_id(spark.range(3).toDF("v"), "id", ["v"])
+    mark = written_so_far()
+    second = assign_surrogate_id(spark.range(3).toDF("v"), "id", ["v"])
+    remove_intermediate(spark, mark)
+    assert first.count() == 3 and written_so_far() == mark
+    with pytest.raises(Exception):
+        second.collect()
+
+
 def test_written_below_the_folder_the_session_names(spark, events):
     folder = shared_folder(spark)
     numbered = assign_surrogate_id(events, "id", ["day"], 2)
