@@ -7,13 +7,15 @@ from functools import reduce
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from caremeld.operators.checks import Check, report
+from caremeld.operators.checks import Check, report, unique
 from caremeld.sources.seeds import REVIEW_STATUSES, SOURCES
 
 # Accepted concept ids and the earliest plausible year.
 GENDER_CONCEPTS = [8507, 8532, 0]
 VISIT_CONCEPTS = [9201, 9202, 9203, 0]
 EARLIEST_YEAR = 1900
+# What names one row of the concept map.
+MAP_KEY = ["source", "source_field", "source_value", "omop_table", "omop_field"]
 
 
 def _keys(table: str, *columns: str) -> list[Check]:
@@ -191,7 +193,10 @@ def validate(
     materialised: DataFrame,
     as_of_year: int,
 ) -> DataFrame:
-    """Every declared check, the two checks across tables and the coverage gate, one row each."""
+    """Every declared check, the checks across tables and the coverage gate, one row each.
+
+    Two more report what would multiply rows: a patient id that several sources share and a map key listed twice.
+    """
     checked = {**tables, "concept_map": concept_map, "cdm_v54_tables": spec, "cdm_scope": scope}
     events = dated_events(
         tables["condition_occurrence"],
@@ -207,6 +212,12 @@ def validate(
             events_outside_period(events, tables["observation_period"]),
         ),
         "cdm_coverage": ("cdm_scope", "completeness", cdm_coverage(spec, scope, materialised)),
+        "shared_patient_ids": ("person", "conformance", unique(tables["person"], "person_source_value")),
+        "repeated_map_keys": (
+            "concept_map",
+            "conformance",
+            unique(concept_map.select(F.concat_ws("|", *MAP_KEY).alias("map_key")), "map_key"),
+        ),
     }
     return report(declared_checks(as_of_year), checked, across)
 

@@ -48,13 +48,14 @@ RECORD_SCHEMA = T.StructType(
 )
 
 
-def read_mutation_pages(spark: SparkSession, path: str, array_pages: bool = True) -> DataFrame:
+def read_mutation_pages(spark: SparkSession, path: str, page_per_file: bool = True) -> DataFrame:
     """Landed API pages as mutation file rows, all strings; what a record lacks is an empty string.
 
-    A page is a JSON array and is read whole by one task, pages in parallel; ``array_pages=False`` reads one record per
-    line. The declared schema takes every scalar as its text, so no pass over the data infers types.
+    A page is a JSON array of records. With ``page_per_file`` it may span lines and one task reads the whole file, files in
+    parallel; otherwise every line is a page (or a single record) and large files are split. The declared schema takes
+    every scalar as its text, so no pass over the data infers types.
     """
-    records = spark.read.schema(RECORD_SCHEMA).json(path, multiLine=array_pages)
+    records = spark.read.schema(RECORD_SCHEMA).json(path, multiLine=page_per_file)
     fields = {"Hugo_Symbol": F.col("gene.hugoGeneSymbol"), **{c: F.col(f) for c, f in RECORD_FIELDS.items()}}
     empty = F.lit("")
     return records.select(*[F.coalesce(fields[c], empty).alias(c) if c in fields else empty.alias(c) for c in MAF_COLUMNS])

@@ -116,7 +116,9 @@ def test_api_pages(spark, tmp_path):
     ]
     put(tmp_path / "pages/0.json", json.dumps(page))
     put(tmp_path / "pages/1.json", json.dumps(page[:1]))
+    lines = put(tmp_path / "lines.json", "\n".join(json.dumps(p) for p in (page, page[0])))
     found = variants.read_mutation_pages(spark, str(tmp_path / "pages"))
+    assert rows(variants.read_mutation_pages(spark, lines, page_per_file=False)) == rows(found)
     assert found.columns == variants.MAF_COLUMNS and len(found.columns) == 45
     picked = ["Hugo_Symbol", "Entrez_Gene_Id", "Tumor_Sample_Barcode", "HGVSp_Short", "Start_Position", "t_alt_count", "Score"]
     assert rows(found, *picked) == ordered(

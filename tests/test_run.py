@@ -20,7 +20,8 @@ def test_from_files_to_reports(spark, raw, vocabulary, models, tmp_path):
     for name in [*CLINICAL, *GENOMIC, *ANALYTICS]:
         assert rows(outcome.tables[name].select(models.table(name).columns)) == rows(models.table(name)), name
     status = {r["check_name"]: (r["status"], r["violations"]) for r in outcome.checks.collect()}
-    assert len(status) == 81
+    assert len(status) == 83
+    assert status["shared_patient_ids"] == ("ERROR", 1) and status["repeated_map_keys"] == ("PASS", 0)
     assert status["cdm_coverage"] == ("PASS", 0) and status["events_outside_period"] == ("PASS", 0)
     assert status["death_before_birth"] == ("ERROR", 1)
     assert status["not_null_measurement_value_as_number"][0] == "WARN"

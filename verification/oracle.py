@@ -340,7 +340,7 @@ def whole(part: str, dates: tuple[str, ...] = ()) -> str:
 
 
 def report_sql() -> str:
-    """Every declared check counted on its own, then the two checks across tables and the coverage gate."""
+    """Every declared check counted on its own, then the checks across tables and the coverage gate."""
     lines = []
     for check in declared_checks(AS_OF_YEAR):
         table, column, arguments = check.table, check.column, check.arguments
@@ -367,6 +367,11 @@ def report_sql() -> str:
          "select count(*) from death join person using (person_id) where death_date < birth_datetime"),
         ("events_outside_period", "observation_period", "plausibility", "select 0"),
         ("cdm_coverage", "cdm_scope", "completeness", "select 0"),
+        ("shared_patient_ids", "person", "conformance",
+         "select count(*) from (select person_source_value from person group by 1 having count(*) > 1)"),
+        ("repeated_map_keys", "concept_map", "conformance",
+         "select count(*) from (select 1 from concept_map group by source, source_field, source_value, omop_table, "
+         "omop_field having count(*) > 1)"),
     ]:
         lines.append(f"select '{name}', '{table}', null, '{category}', 'error', ({count})")
     return statement(

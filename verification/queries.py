@@ -199,7 +199,7 @@ MAF_SQL = (
 
 @query("api_pages_to_maf", statement(MAF_SQL))
 def api_pages_to_maf(spark, sf_dir):
-    """Records as the API nests them, with numbers as JSON numbers and absent fields left out."""
+    """Pages of 10,000 records as the API nests them, numbers as JSON numbers, absent fields left out; a page per line."""
     calls = raw_table(spark, sf_dir, "tcga_brca__data_mutations")
     numeric = ("Entrez_Gene_Id", "Start_Position")
     fields = [
@@ -208,8 +208,11 @@ def api_pages_to_maf(spark, sf_dir):
         if c in calls.columns
     ]
     path = new_path(spark, "pages")
-    calls.select(F.struct(F.col("Hugo_Symbol").alias("hugoGeneSymbol")).alias("gene"), *fields).write.json(path)
-    return variants.read_mutation_pages(spark, path, array_pages=False)
+    record = F.to_json(F.struct(F.struct(F.col("Hugo_Symbol").alias("hugoGeneSymbol")).alias("gene"), *fields))
+    numbered = calls.select(record.alias("record"), F.monotonically_increasing_id().alias("_row"))
+    pages = numbered.groupBy(F.floor(F.col("_row") / 10_000)).agg(F.concat_ws(",", F.collect_list("record")).alias("all"))
+    pages.select(F.concat(F.lit("["), "all", F.lit("]")).alias("value")).write.text(path)
+    return variants.read_mutation_pages(spark, path, page_per_file=False)
 
 
 SEED_SQL = """select p_type as source_value, nullif(p_brand, 'Brand#11') as target_vocabulary, p_partkey as concept_id
