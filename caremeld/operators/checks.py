@@ -136,8 +136,9 @@ def report(
         facts.append((name, table, None, category, "error"))
         counts.append(rows.agg(F.count("*").alias("violations")).select(F.lit(name).alias("name"), "violations"))
 
+    labels = ("table", "column", "category", "severity")
     declared = {
-        name: F.struct(*[F.lit(v).cast("string").alias(k) for k, v in zip(("table", "column", "category", "severity"), rest)])
+        name: F.struct(*[F.lit(value).cast("string").alias(label) for label, value in zip(labels, rest)])
         for name, *rest in facts
     }
     described = F.create_map(*[x for name, row in declared.items() for x in (F.lit(name), row)])

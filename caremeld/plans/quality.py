@@ -228,9 +228,7 @@ def date_columns(layer: str, tables: dict[str, DataFrame]) -> DataFrame:
     Found in the schemas, not by sampling; one pass per table that has such a column.
     """
     found = []
-    spark = None
     for name, df in tables.items():
-        spark = df.sparkSession
         dated = [f for f in df.schema if f.dataType.typeName() in ("date", "timestamp", "timestamp_ntz")]
         if dated:
             counts = df.agg(*[F.count(f.name).alias(f.name) for f in dated])
@@ -246,7 +244,7 @@ def date_columns(layer: str, tables: dict[str, DataFrame]) -> DataFrame:
             ]
             found.append(counts.select(F.inline(F.array(*rows))))
     if not found:
-        return spark.createDataFrame(
+        return next(iter(tables.values())).sparkSession.createDataFrame(
             [], "layer string, table_name string, column_name string, data_type string, n_values long"
         )
     return reduce(DataFrame.unionByName, found)

@@ -45,7 +45,8 @@ def run(
     year = as_of_year or dt.date.today().year
     files = landing.discover_files(spark, base)
     landed = landing.land_all(spark, files, f"{prefix}raw", location)
-    raw = {t.name: spark.table(f"{prefix}raw.{t.name}") for t in spark.catalog.listTables(f"{prefix}raw") if not t.isTemporary}
+    present = [t.name for t in spark.catalog.listTables(f"{prefix}raw") if not t.isTemporary]
+    raw = {name: spark.table(f"{prefix}raw.{name}") for name in present}
 
     extracts = [landing.read_vocabulary(spark, path) for path in vocabularies or []]
     merged = landing.merge_vocabularies(extracts) if extracts else landing.empty_vocabulary(spark)
