@@ -39,6 +39,7 @@ class Network:
     units: int = 16
     drawn: int = 4
     epochs: int = 10
+    least_steps: int = 500
     batch: int = 32
     rate: float = 0.004
 
@@ -151,9 +152,10 @@ def trained(texts: list[np.ndarray], labels: np.ndarray, network: Network = Netw
     share = labels.mean()
     weight = np.where(labels == 1, 0.5 / share, 0.5 / (1 - share))
     state = {k: (np.zeros_like(v), np.zeros_like(v)) for k, v in model.weights.items()}
-    steps = network.epochs * -(-len(texts) // network.batch)
-    step = 0
-    for _ in range(network.epochs):
+    in_epoch = -(-len(texts) // network.batch)
+    epochs = max(network.epochs, -(-network.least_steps // in_epoch))
+    steps, step = epochs * in_epoch, 0
+    for _ in range(epochs):
         order = rng.permutation(len(texts))
         for a, b in slices(len(order), network.batch):
             picked = order[a:b]
