@@ -4,14 +4,15 @@ from __future__ import annotations
 
 from itertools import accumulate
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from caremeld.session import new_path
+from caremeld.session import new_path, stored_bytes
 
-# monotonically_increasing_id() keeps the task number above bit 33 and the row's place in the task below it.
-_PLACE_BITS = 33
-_PLACE_MASK = (1 << _PLACE_BITS) - 1
+RANGE_BYTES = 64 << 20
+#: Below this size a range is not worth a task of its own.
+SMALL_RANGE_BYTES = 2 << 20
+SAMPLES_PER_RANGE = 20
 
 
 def assign_surrogate_id(
@@ -23,34 +24,59 @@ def assign_surrogate_id(
 ) -> DataFrame:
     """Number the rows 1..N by ``order`` (NULLs last); the remaining columns break ties.
 
-    The rows are range-partitioned on the whole order, so a date that most rows share is still split by the later
-    columns. Rows that are equal in every column differ only in the task that read them, which is the last range key,
-    so a large group of copies is split as well. The sorted rows are written once to the shared folder; the number of
-    rows per range (one small row per task) then gives each range its starting id, and the id itself is a projection
-    over the written table. Losing an executor cannot change an id, because the sort is never repeated.
+    The rows are written once to the shared folder, each with a mark of its own that breaks the last ties. Ranges of the
+    *whole* order, as many as the written bytes ask for, are cut at keys sampled from that file, so a date that most rows
+    share is still split by the later columns and a large group of equal rows by their marks. Counting the rows of
+    each range gives its starting id; numbering is then one shuffle by range and a window inside each range, which goes
+    straight to wherever the result is written. Ids depend on the written rows only: losing an executor, or reading the
+    result twice, can't change one.
 
     ``drop`` names columns that only serve the order.
     """
     spark = df.sparkSession
-    ties = [c for c in df.columns if c not in order]
-    keys = [F.col(c).asc_nulls_last() for c in [*order, *ties]]
-    tagged = df.withColumn("_task", F.spark_partition_id())
-    spread = (
-        tagged.repartitionByRange(num_partitions, *keys, "_task")
-        if num_partitions
-        else tagged.repartitionByRange(*keys, "_task")
-    )
-    kept = [c for c in df.columns if c not in drop]
-    placed = spread.sortWithinPartitions(*keys).select(*kept, F.monotonically_increasing_id().alias("_place"))
+    columns = [*order, *[c for c in df.columns if c not in order], "_mark"]
     path = new_path(spark, id_column)
-    placed.write.parquet(path)
-
-    written = spark.read.schema(placed.schema).parquet(path)
-    task = F.shiftright("_place", _PLACE_BITS).cast("int")
-    # One row per written range, so the size here follows the partition count and not the data.
-    sizes = dict(written.groupBy(task.alias("task")).agg(F.count("*")).collect())
-    before = accumulate((sizes.get(t, 0) for t in range(max(sizes, default=0))), initial=0)
-    # A folded constant and not a join: the result keeps the size estimate of the files it reads.
-    starts = F.split(F.lit(",".join(map(str, before))), ",").cast("array<bigint>")
-    place = F.col("_place").bitwiseAND(F.lit(_PLACE_MASK)) + F.lit(1)
-    return written.select((F.get(starts, task) + place).alias(id_column), *kept)
+    marked = df.withColumn("_mark", F.monotonically_increasing_id())
+    marked.write.parquet(path)
+    written = spark.read.schema(marked.schema).parquet(path)
+    n_ranges = num_partitions or _ranges(spark, stored_bytes(spark, path))
+    ranged, starts = _ranged(written, columns, n_ranges) if n_ranges > 1 else (written.withColumn("_range", F.lit(0)), [0])
+    # A folded constant and not a join: as many numbers as there are ranges.
+    before = F.split(F.lit(",".join(map(str, starts))), ",").cast("array<bigint>")
+    inside = Window.partitionBy("_range").orderBy(*[F.col(c).asc_nulls_last() for c in columns])
+    kept = [c for c in df.columns if c not in drop]
+    return ranged.select((F.get(before, F.col("_range")) + F.row_number().over(inside)).alias(id_column), *kept)
+
+
+def _ranges(spark, size: int) -> int:
+    """Enough ranges for their size, and for small data as many as there are cores."""
+    return max(-(-size // RANGE_BYTES), min(spark.sparkContext.defaultParallelism, -(-size // SMALL_RANGE_BYTES)))
+
+
+def _ranged(written: DataFrame, columns: list[str], n_ranges: int) -> tuple[DataFrame, list[int]]:
+    """``written`` with the range of each row, and the number of rows before each range."""
+    key = F.struct(*[x for i, c in enumerate(columns) for x in (F.isnull(c).alias(f"n{i}"), F.col(c).alias(f"v{i}"))])
+    share = min(1.0, n_ranges * SAMPLES_PER_RANGE / max(1, written.count()))
+    sampled = written.sample(share, seed=1).agg(F.sort_array(F.collect_list(key)).alias("keys"))
+    size = F.size("keys")
+    cuts = F.transform(F.sequence(F.lit(1), F.lit(n_ranges - 1)), lambda i: F.get("keys", F.floor(i * size / n_ranges).cast("int")))
+    found = sampled.where(size > 0).select(F.to_json(cuts).alias("cuts")).first()
+    if found is None:
+        return written.withColumn("_range", F.lit(0)), [0]
+    kind = written.select(F.array(key).alias("k")).schema["k"].dataType.simpleString()
+    # any key is a valid cut, so it does not matter if the text of one is rounded
+    bounds = F.from_json(F.lit(found["cuts"]), kind)
+
+    def halve(state: Column, _: Column) -> Column:
+        middle = F.shiftright(state["low"] + state["high"], 1)
+        open_, below = state["low"] < state["high"], F.get(bounds, middle) < key
+        return F.struct(
+            F.when(open_ & below, middle + 1).otherwise(state["low"]).alias("low"),
+            F.when(open_ & ~below, middle).otherwise(state["high"]).alias("high"),
+        )
+
+    steps = F.sequence(F.lit(1), F.lit(n_ranges.bit_length()))
+    whole = F.struct(F.lit(0).alias("low"), F.lit(n_ranges - 1).alias("high"))
+    ranged = written.withColumn("_range", F.aggregate(steps, whole, halve, lambda state: state["low"]))
+    sizes = dict(ranged.groupBy("_range").agg(F.count("*")).collect())
+    return ranged, list(accumulate((sizes.get(r, 0) for r in range(n_ranges - 1)), initial=0))

@@ -304,5 +304,32 @@ def observation_period_rows(
     )
 
 
+# Facts with dates: table -> first and last date of a row.
+DATED_FACTS = {
+    "visit_occurrence": ("visit_start_date", "visit_end_date"),
+    "condition_occurrence": ("condition_start_date", "condition_start_date"),
+    "measurement": ("measurement_date", "measurement_date"),
+    "drug_exposure": ("drug_exposure_start_date", "drug_exposure_end_date"),
+    "procedure_occurrence": ("procedure_date", "procedure_date"),
+}
+
+
+def observation_period_of(facts: dict[str, DataFrame]) -> DataFrame:
+    """The same periods from fact tables that carry the person, as they were written."""
+    spans = event_span(
+        [
+            facts[table].select("person_id", F.least(*dates), F.greatest(*dates))
+            for table, dates in DATED_FACTS.items()
+        ],
+        "person_id",
+    )
+    return spans.select(
+        "person_id",
+        F.col("first_date").alias("observation_period_start_date"),
+        F.col("last_date").alias("observation_period_end_date"),
+        F.lit(EHR_TYPE).cast("long").alias("period_type_concept_id"),
+    )
+
+
 def observation_period(rows: DataFrame) -> DataFrame:
     return assign_surrogate_id(rows, "observation_period_id", ["person_id"])

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable, Mapping
 from concurrent.futures import ThreadPoolExecutor
+from contextvars import copy_context
 from functools import cached_property
 
 from pyspark.sql import DataFrame
@@ -11,15 +12,17 @@ from pyspark.sql import DataFrame
 from caremeld.operators import concepts
 from caremeld.operators.lookups import BROADCAST_BYTES, broadcast_if_small
 from caremeld.plans import clinical, deid, genomic, staging
+from caremeld.session import new_path
 from caremeld.sources.tables import save_table
 
 
 class Layers:
     """Models over raw tables, a vocabulary and a concept map.
 
-    A model is worked out when it is first asked for. Models with a surrogate id are written to the shared folder at that
-    point; everything else stays a lazy DataFrame. ``rows(name)`` gives a fact table without its id and without that
-    write. Code and sample lookups are measured and broadcast up to ``broadcast_bytes``.
+    A model is worked out when it is first asked for. The rows of models with a surrogate id are written to the shared
+    folder at that point, and the people with their ids; everything else stays a lazy DataFrame. ``rows(name)`` gives
+    a fact table without its id and without that write. Code and sample lookups are measured and broadcast up to
+    ``broadcast_bytes``. What ``build`` has written is read instead of worked out again.
     """
 
     def __init__(
@@ -35,6 +38,7 @@ class Layers:
         self._codes: dict[tuple[str, bool], DataFrame] = {}
         self._views: dict[str, DataFrame] = {}
         self._done: dict[str, DataFrame] = {}
+        self.written: dict[str, DataFrame] = {}
 
     def staging(self, view: str) -> DataFrame:
         if view not in self._views:
@@ -44,7 +48,10 @@ class Layers:
 
     @cached_property
     def person(self) -> DataFrame:
-        return clinical.person(self.rows("person"))
+        people = clinical.person(self.rows("person"))
+        path = new_path(people.sparkSession, "person")
+        people.write.parquet(path)
+        return people.sparkSession.read.schema(people.schema).parquet(path)
 
     @cached_property
     def person_keys(self) -> DataFrame:
@@ -96,6 +103,8 @@ class Layers:
                 self.person_keys,
                 concept_map,
             )
+        if table == "observation_period" and all(fact in self.written for fact in clinical.DATED_FACTS):
+            return clinical.observation_period_of({fact: self.written[fact] for fact in clinical.DATED_FACTS})
         if table == "observation_period":
             return clinical.observation_period_rows(
                 stg("stg_synthea_encounters"),
@@ -141,12 +150,6 @@ class Layers:
             )
         raise KeyError(name)
 
-    def roster(self) -> DataFrame:
-        """The roster without numbering the conditions first, which it does not need."""
-        return deid.unique_patients(
-            self.table("person_deid"), self.rows("condition_occurrence"), self.table("mutations_deid")
-        )
-
 
 # Clinical tables that get a surrogate id.
 NUMBERED: dict[str, Callable[[DataFrame], DataFrame]] = {
@@ -171,6 +174,8 @@ PROJECTED: dict[str, tuple[str, Callable[[DataFrame], DataFrame]]] = {
 CLINICAL = ["person", *NUMBERED, "death"]
 GENOMIC = ["metabric_mutations", "tcga_brca_mutations", "sample_person"]
 ANALYTICS = ["person_deid", *PROJECTED, "mutations_deid", "unique_patients"]
+# Tables made from others of their layer.
+LATER = ("observation_period", "unique_patients")
 TABLE_LAYERS = {"omop": CLINICAL, "genomic": GENOMIC, "analytics": ANALYTICS}
 
 
@@ -179,22 +184,23 @@ def build(layers: Layers, prefix: str = "", location: str | None = None, threads
 
     Staging becomes temporary views; the other layers become tables in the databases ``<prefix>omop``,
     ``<prefix>genomic`` and ``<prefix>analytics``. Each layer reads the previous one as written, so no model is computed
-    twice. Tables of one layer do not depend on each other and are written from a few driver threads.
+    twice. Tables of one layer that do not depend on each other are written from a few driver threads; observation periods and
+    the roster follow the tables of their layer that they are made from.
     """
     for view in staging.VIEWS:
         layers.staging(view).createOrReplaceTempView(f"{prefix}{view}")
     layers.person_keys  # noqa: B018 - every other model joins it, so it is written before the threads start
     layers.codes("SNOMED")
-    written: dict[str, DataFrame] = {}
-    roster = "unique_patients"
     for layer, names in TABLE_LAYERS.items():
-        database = f"{prefix}{layer}"
 
-        def write(name: str, database: str = database) -> None:
-            layers._done[name] = written[name] = save_table(layers.table(name), database, name, location)
+        def write(name: str, database: str = f"{prefix}{layer}") -> None:
+            layers._done[name] = layers.written[name] = save_table(layers.table(name), database, name, location)
 
         with ThreadPoolExecutor(threads) as pool:
-            list(pool.map(write, [n for n in names if n != roster]))
-        if roster in names:
-            write(roster)
-    return written
+            first = [pool.submit(copy_context().run, write, n) for n in names if n not in LATER]
+            for done in first:
+                done.result()
+        for name in names:
+            if name in LATER:
+                write(name)
+    return dict(layers.written)

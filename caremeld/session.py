@@ -7,11 +7,14 @@ import os
 import shutil
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
+from contextvars import ContextVar
 
 from pyspark.sql import SparkSession
 
 _own_folders: dict[str, str] = {}
-_written: list[str] = []
+_taken: ContextVar[list[str]] = ContextVar("paths taken by the run", default=[])
 
 
 def local_session(app_name: str = "caremeld", cpus: int | str = "*", shuffle_partitions: int = 8) -> SparkSession:
@@ -50,21 +53,41 @@ def shared_folder(spark: SparkSession) -> str:
 
 
 def new_path(spark: SparkSession, label: str) -> str:
-    """A path in the shared folder that no other call has used."""
+    """A path in the shared folder that no other call has used; within ``intermediates`` one that goes with that run."""
     path = f"{shared_folder(spark)}/{label}-{uuid.uuid4().hex}"
-    _written.append(path)
+    _taken.get().append(path)
     return path
 
 
-def written_so_far() -> int:
-    """How many paths this process has taken; ``remove_intermediate`` can then spare them."""
-    return len(_written)
+@contextmanager
+def intermediates(spark: SparkSession) -> Iterator[None]:
+    """Whatever the block writes below the shared folder is deleted at its end; other runs in the process keep theirs.
 
+    Threads that the block starts take part when they run in its context (``contextvars.copy_context``).
+    """
+    own: list[str] = []
+    token = _taken.set(own)
+    try:
+        yield
+    finally:
+        _taken.reset(token)
+        _delete(spark, own)
+
+
+def remove_intermediate(spark: SparkSession) -> None:
+    """Deletes what was written outside of any ``intermediates``; results that still read it become unreadable."""
+    _delete(spark, _taken.get())
 
-def remove_intermediate(spark: SparkSession, since: int = 0) -> None:
-    """Deletes what this process wrote below the shared folder; results that still read it become unreadable."""
+
+def _delete(spark: SparkSession, paths: list[str]) -> None:
     jvm, configuration = spark.sparkContext._jvm, spark.sparkContext._jsc.hadoopConfiguration()
-    for name in _written[since:]:
+    for name in paths:
         path = jvm.org.apache.hadoop.fs.Path(name)
         path.getFileSystem(configuration).delete(path, True)
-    del _written[since:]
+    paths.clear()
+
+
+def stored_bytes(spark: SparkSession, path: str) -> int:
+    """The size of the files below ``path``."""
+    place = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    return place.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).getContentSummary(place).getLength()

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from caremeld.operators.lookups import broadcast_if_small, measured_bytes
 from caremeld.plans import clinical, deid
-from caremeld.plans.layers import Layers
+from caremeld.plans.layers import Layers, build
 from caremeld.sources import seeds
 from tests.conftest import AS_OF_YEAR
 
@@ -51,10 +51,27 @@ def test_facts_that_meet_small_lookups_are_not_shuffled(models):
 
 
 def test_roster_counts_before_it_joins(models):
-    text = plan(models.roster())
+    text = plan(models.table("unique_patients"))
     assert "NestedLoop" not in text and "Expand" not in text
 
 
+def test_roster_reads_only_de_identified_tables(spark, raw, vocabulary, tmp_path):
+    own = Layers(raw, vocabulary, seeds.concept_map(spark), AS_OF_YEAR)
+    written = build(own, "roster_", str(tmp_path))
+    again = own._model("unique_patients")
+    folders = {file.rsplit("/", 2)[-2] for file in again.inputFiles()}
+    assert folders == {"person_deid", "condition_occurrence_deid", "mutations_deid"}
+    assert again.exceptAll(written["unique_patients"]).isEmpty()
+
+
+def test_periods_are_built_from_the_written_facts(spark, raw, vocabulary, models, tmp_path):
+    own = Layers(raw, vocabulary, seeds.concept_map(spark), AS_OF_YEAR)
+    written = build(own, "period_", str(tmp_path))
+    folders = {file.rsplit("/", 2)[-2] for file in own.rows("observation_period").inputFiles()}
+    assert folders == set(clinical.DATED_FACTS)
+    assert written["observation_period"].exceptAll(models.table("observation_period")).isEmpty()
+
+
 @pytest.fixture
 def landed(spark, raw, vocabulary, tmp_path):
     """The same raw tables as parquet, as landing leaves them."""

@@ -1,11 +1,14 @@
+from concurrent.futures import ThreadPoolExecutor
+from contextvars import copy_context
 from unittest.mock import Mock
 
 import pytest
 from pyspark.sql import Window
 from pyspark.sql import functions as F
 
+from caremeld.operators import surrogate
 from caremeld.operators.surrogate import assign_surrogate_id
-from caremeld.session import remove_intermediate, shared_folder, written_so_far
+from caremeld.session import intermediates, shared_folder
 from tests.conftest import rows
 
 
@@ -34,11 +37,33 @@ def test_equals_a_global_row_number(events, partitions):
 def test_a_group_of_copies_is_split(events):
     copies = events.filter("value = 'same'")
     numbered = assign_surrogate_id(copies, "id", ["day"], 6)
-    per_file = numbered.groupBy(F.input_file_name()).agg(F.count("*").alias("n")).collect()
-    assert len(per_file) > 1 and max(r["n"] for r in per_file) < 2000
+    window = numbered._jdf.queryExecution().analyzed().toString()
+    assert "_range" in window
+    ranges = ranged_sizes(copies, 6)
+    assert len(ranges) == 6 and max(ranges) < 2000 / 3
     assert numbered.agg(F.min("id"), F.max("id"), F.count_distinct("id")).first()[:] == (1, 2000, 2000)
 
 
+def ranged_sizes(df, n):
+    marked = df.withColumn("_mark", F.monotonically_increasing_id())
+    placed, starts = surrogate._ranged(marked, marked.columns, n)
+    assert starts == sorted(starts)
+    return [r["count"] for r in placed.groupBy("_range").count().collect()]
+
+
+def test_the_rows_are_worked_out_once(spark, events):
+    seen = spark.sparkContext.accumulator(0)
+
+    @F.udf("string")
+    def noted(value):
+        seen.add(1)
+        return value
+
+    numbered = assign_surrogate_id(events.withColumn("value", noted("value")), "id", ["day"], 8)
+    assert numbered.count() == 6000 and numbered.agg(F.max("id")).first()[0] == 6000
+    assert seen.value == 6000
+
+
 def test_ids_stay_the_same_when_read_again(events):
     numbered = assign_surrogate_id(events, "id", ["day"], 8)
     assert numbered.exceptAll(numbered.repartition(3)).isEmpty()
@@ -56,7 +81,7 @@ def test_no_rows(spark):
 
 def test_no_task_gathers_all_rows(spark, events):
     plan = assign_surrogate_id(events, "id", ["day"], 8)._jdf.queryExecution().toString()
-    assert "SinglePartition" not in plan and "Window" not in plan
+    assert "SinglePartition" not in plan
 
 
 def test_a_cluster_without_a_shared_folder_is_refused():
@@ -70,14 +95,17 @@ def test_a_cluster_without_a_shared_folder_is_refused():
     assert shared_folder(cluster) == "s3://bucket/shared"
 
 
-def test_only_later_paths_are_removed(spark, tmp_path):
+def test_a_run_removes_its_own_intermediates_only(spark):
     first = assign_surrogate_id(spark.range(3).toDF("v"), "id", ["v"])
-    mark = written_so_far()
-    second = assign_surrogate_id(spark.range(3).toDF("v"), "id", ["v"])
-    remove_intermediate(spark, mark)
-    assert first.count() == 3 and written_so_far() == mark
-    with pytest.raises(Exception):
-        second.collect()
+    with intermediates(spark):
+        second = assign_surrogate_id(spark.range(3).toDF("v"), "id", ["v"])
+        assert second.count() == 3
+        with ThreadPoolExecutor(1) as pool:
+            third = pool.submit(copy_context().run, assign_surrogate_id, spark.range(4).toDF("v"), "id", ["v"]).result()
+    assert first.count() == 3
+    for gone in (second, third):
+        with pytest.raises(Exception):
+            gone.collect()
 
 
 def test_written_below_the_folder_the_session_names(spark, events):
