@@ -13,10 +13,10 @@ def not_null(df: DataFrame, column: str) -> DataFrame:
     return df.filter(F.col(column).isNull())
 
 
-def unique(df: DataFrame, column: str) -> DataFrame:
-    """Values held by more than one row."""
-    counted = df.filter(F.col(column).isNotNull()).groupBy(column).agg(F.count("*").alias("n_records"))
-    return counted.filter("n_records > 1")
+def unique(df: DataFrame, *columns: str) -> DataFrame:
+    """Values held by more than one row. Of one column NULL is not judged; of several, NULL is a value like any other."""
+    known = df.filter(F.col(columns[0]).isNotNull()) if len(columns) == 1 else df
+    return known.groupBy(*columns).agg(F.count("*").alias("n_records")).filter("n_records > 1")
 
 
 def accepted_values(df: DataFrame, column: str, values: list) -> DataFrame:
@@ -90,14 +90,23 @@ class Check:
         elif self.kind == "between":
             outside = ~column.between(arguments["low"], arguments["high"])
             bad = F.expr(arguments.get("row_condition", "true")) & outside
+        elif self.kind == "accepted_values":
+            bad = ~column.isin(arguments["values"])
         else:
             return None
         return bad & F.expr(self.where) if self.where else bad
 
+    def count(self) -> Column | None:
+        """The violations as an aggregate over the table: its failing rows, or the distinct values outside a list."""
+        bad = self.failing_row()
+        if bad is None:
+            return None
+        return F.count_distinct(F.when(bad, F.col(self.column))) if self.kind == "accepted_values" else F.count_if(bad)
+
 
 def _row_level_counts(df: DataFrame, checks: list[Check]) -> DataFrame:
-    """All row-level checks of one table in a single pass."""
-    counts = df.agg(*[F.count_if(check.failing_row()).alias(check.name) for check in checks])
+    """All checks of one table that need no other row or table, in a single pass."""
+    counts = df.agg(*[check.count().alias(check.name) for check in checks])
     return counts.select(
         F.inline(F.array(*[F.struct(F.lit(c.name).alias("name"), F.col(c.name).alias("violations")) for c in checks]))
     )

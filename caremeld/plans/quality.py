@@ -216,7 +216,7 @@ def validate(
         "repeated_map_keys": (
             "concept_map",
             "conformance",
-            unique(concept_map.select(F.concat_ws("|", *MAP_KEY).alias("map_key")), "map_key"),
+            unique(concept_map, *MAP_KEY),
         ),
     }
     return report(declared_checks(as_of_year), checked, across)

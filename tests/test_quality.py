@@ -5,6 +5,7 @@ import pytest
 from caremeld.operators import checks
 from caremeld.operators.checks import Check
 from caremeld.plans import quality
+from caremeld.plans.layers import CLINICAL
 from caremeld.sources import seeds
 from tests.conftest import AS_OF_YEAR, ordered, rows
 
@@ -114,7 +115,7 @@ def test_events_outside_their_period(models):
 
 def test_coverage_gate_finds_each_kind_of_absence(spark):
     spec, scope = seeds.cdm_spec(spark), seeds.cdm_scope(spark)
-    all_built = spark.createDataFrame([(t.upper(),) for t in seeds.BUILT_TABLES], "table_name string")
+    all_built = spark.createDataFrame([(t.upper(),) for t in CLINICAL], "table_name string")
     assert quality.cdm_coverage(spec, scope, all_built).isEmpty()
 
     absent = all_built.filter("table_name <> 'DEATH'")
@@ -145,3 +146,13 @@ def test_seeds_pass_their_own_checks(spark):
     }
     assert {r["status"] for r in checks.report(quality.seed_checks(), tables).collect()} == {"PASS"}
     assert tables["concept_map"].filter("source_code = 'mm'").count() == 1
+
+
+def test_map_keys_with_nulls_and_bars_are_told_apart(spark):
+    own = seeds.concept_map(spark)
+    schema = own.schema
+    odd = [("s", None, "f", "t", "o"), ("s", "f", None, "t", "o"), ("s|f", "v", "w", "t", "o"), ("s", "f|v", "w", "t", "o")]
+    added = spark.createDataFrame([(*key, None, None, None, None, "REVIEW", None) for key in odd], schema)
+    assert checks.unique(own.unionByName(added), *quality.MAP_KEY).isEmpty()
+    twice = checks.unique(own.unionByName(added).unionByName(added.limit(1)), *quality.MAP_KEY)
+    assert twice.count() == 1 and twice.first()["n_records"] == 2
