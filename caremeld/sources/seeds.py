@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+import csv
+from importlib.resources import files
+
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
@@ -29,155 +32,15 @@ SCOPE_SCHEMA = T.StructType([T.StructField(c, T.StringType()) for c in ("cdm_tab
 REVIEW_STATUSES = ["STANDARD", "RESOLVE_AT_ETL", "REVIEW", "NOT_MAPPED", "PARALLEL_LAYER"]
 SOURCES = ["synthea", "metabric", "tcga_brca"]
 
-# Reviewed source value -> standard concept id.
-GENDER = {"F": 8532, "M": 8507}
-RACE = {"white": 8527, "black": 8516, "asian": 8515}
-ETHNICITY = {"hispanic": 38003563, "nonhispanic": 38003564}
-HISTOLOGY = {
-    "Breast Invasive Ductal Carcinoma": 4237178,
-    "Breast Invasive Lobular Carcinoma": 4080865,
-    "Breast Mixed Ductal and Lobular Carcinoma": 40480215,
-    "Breast Invasive Mixed Mucinous Carcinoma": 40480651,
-    "Metaplastic Breast Cancer": 35622134,
-    "Breast Angiosarcoma": 36717175,
-    "Invasive Breast Carcinoma": 37017351,
-    "Breast Invasive Carcinoma (NOS)": 37017351,
-    "Breast": 4112853,
-}
-RECEPTOR_RESULT = {"Positive": 9191, "Negative": 9189}
-GRADE = {"1": 1242373, "2": 1242374, "3": 1242375}
-VITAL_STATUS = {"Living": 4230556, "Died of Disease": 434489, "Died of Other Causes": 434489}
-TUMOR_STAGE = {"0": 1634946, "1": 1635838, "2": 1635131, "3": 1634191, "4": 1633987}
-AJCC_STAGE = {
-    "STAGE I": 1635800,
-    "STAGE IA": 1633594,
-    "STAGE IB": 1635653,
-    "STAGE II": 1634619,
-    "STAGE IIA": 1635381,
-    "STAGE IIB": 1633915,
-    "STAGE III": 1634947,
-    "STAGE IIIA": 1634842,
-    "STAGE IIIB": 1635602,
-    "STAGE IIIC": 1634299,
-    "STAGE IV": 1635230,
-}
-# What an attribute observes, as (source, field, vocabulary, code, concept id).
-OBSERVED = [
-    ("metabric", "data_clinical_patient.AGE", "LOINC", "30525-0", 3022304),
-    ("metabric", "data_clinical_patient.VITAL_STATUS", "LOINC", "31210-8", 3009506),
-    ("metabric", "data_clinical_sample.TUMOR_STAGE", "SNOMED", "399390009", 4219603),
-    ("tcga_brca", "data_clinical_patient.AJCC_PATHOLOGIC_TUMOR_STAGE", "SNOMED", "399588009", 4221515),
-    ("metabric", "data_clinical_patient.OS_MONTHS", "SNOMED", "445320007", 40482950),
-]
-
-# The published v5.4 table list by schema, and the two tables it requires.
-SPEC_TABLES = {
-    "CDM": [
-        "person", "observation_period", "visit_occurrence", "visit_detail", "condition_occurrence", "drug_exposure",
-        "procedure_occurrence", "device_exposure", "measurement", "observation", "death", "note", "note_nlp",
-        "specimen", "fact_relationship", "location", "care_site", "provider", "payer_plan_period", "cost", "drug_era",
-        "dose_era", "condition_era", "episode", "episode_event", "metadata", "cdm_source",
-    ],
-    "VOCAB": [
-        "concept", "vocabulary", "domain", "concept_class", "concept_relationship", "relationship", "concept_synonym",
-        "concept_ancestor", "source_to_concept_map", "drug_strength",
-    ],
-    "RESULTS": ["cohort", "cohort_definition"],
-}
-REQUIRED_TABLES = {"person", "observation_period"}
-BUILT_TABLES = [
-    "person", "observation_period", "visit_occurrence", "condition_occurrence", "drug_exposure",
-    "procedure_occurrence", "measurement", "observation", "death",
-]
-
-
-def concept_map_rows() -> list[tuple]:
-    """The reviewed map, one tuple per row of ``CONCEPT_MAP_SCHEMA``."""
-    rows = []
-
-    def add(source, field, value, table, target, domain, vocabulary, code, concept, status="STANDARD", notes=None):
-        rows.append((source, field, value, table, target, domain, vocabulary, code, concept, status, notes))
-
-    def values(source, field, table, domain, vocabulary, mapping, target="value_as_concept_id"):
-        for value, concept in mapping.items():
-            add(source, field, value, table, target, domain, vocabulary, None, concept)
-
-    for target, domain, field, mapping in [
-        ("gender_concept_id", "Gender", "patients.GENDER", GENDER),
-        ("race_concept_id", "Race", "patients.RACE", RACE),
-        ("ethnicity_concept_id", "Ethnicity", "patients.ETHNICITY", ETHNICITY),
-    ]:
-        for value, concept in mapping.items():
-            add("synthea", field, value, "person", target, domain, domain, value, concept)
-    for field, table, target in [
-        ("patients.Id", "person", "person_id"),
-        ("patients.BIRTHDATE", "person", "birth_datetime"),
-        ("patients.DEATHDATE", "death", "death_date"),
-        ("encounters.Id", "visit_occurrence", "visit_occurrence_id"),
-    ]:
-        add("synthea", field, None, table, target, None, None, None, None, notes="copied as it is")
-    for field, table, target, domain, vocabulary in [
-        ("conditions.CODE", "condition_occurrence", "condition_concept_id", "Condition", "SNOMED"),
-        ("observations.CODE", "measurement", "measurement_concept_id", "Measurement", "LOINC"),
-        ("medications.CODE", "drug_exposure", "drug_concept_id", "Drug", "RxNorm"),
-        ("procedures.CODE", "procedure_occurrence", "procedure_concept_id", "Procedure", "SNOMED"),
-    ]:
-        add("synthea", field, None, table, target, domain, vocabulary, None, None, "RESOLVE_AT_ETL", "by code")
-
-    for word, code in [("Female", "F"), ("Male", "M")]:
-        add("metabric", "data_clinical_patient.SEX", word, "person", "gender_concept_id", "Gender", "Gender", code,
-            GENDER[code])
-    add("tcga_brca", "data_clinical_patient.SEX", None, "person", "gender_concept_id", "Gender", "Gender", None, None,
-        notes="reduced to F or M before mapping")
-    add("metabric", "data_clinical_patient.AGE_AT_DIAGNOSIS", None, "observation", "value_as_number", "Observation",
-        "LOINC", "30525-0", None, "RESOLVE_AT_ETL", "number in years")
-    add("metabric", "data_clinical_patient.OS_STATUS", "DECEASED", "death", "death_date", None, None, None, None,
-        "NOT_MAPPED", "the study has no calendar dates")
-    add("metabric", "data_clinical_sample.TUMOR_SIZE", None, "measurement", "value_as_number", "Measurement", "LOINC",
-        "21889-1", None, notes="number in millimetres")
-    for source in ("metabric", "tcga_brca"):
-        add(source, "data_mutations.ALL", None, "GENOMIC_RAW", None, None, None, None, None, "PARALLEL_LAYER",
-            "kept in the genomic layer")
-        values(source, "data_clinical_sample.CANCER_TYPE_DETAILED", "condition_occurrence", "Condition", "SNOMED",
-               HISTOLOGY, "condition_concept_id")
-
-    for receptor in ("ER_STATUS", "PR_STATUS", "HER2_STATUS"):
-        values("metabric", f"data_clinical_sample.{receptor}", "measurement", "Meas Value", "SNOMED", RECEPTOR_RESULT)
-    values("metabric", "data_clinical_sample.GRADE", "measurement", "Observation", "SNOMED", GRADE)
-    add("metabric", "data_clinical_sample.GRADE", None, "measurement", "measurement_concept_id", "Measurement", "LOINC",
-        "44648-4", 3047285)
-    values("metabric", "data_clinical_patient.VITAL_STATUS", "observation", "Observation", "SNOMED", VITAL_STATUS)
-    values("metabric", "data_clinical_sample.TUMOR_STAGE", "observation", "Observation", "Cancer Modifier", TUMOR_STAGE)
-    values("tcga_brca", "data_clinical_patient.AJCC_PATHOLOGIC_TUMOR_STAGE", "observation", "Observation",
-           "Cancer Modifier", AJCC_STAGE)
-    for source, field, vocabulary, code, concept in OBSERVED:
-        add(source, field, None, "observation", "observation_concept_id", "Observation", vocabulary, code, concept)
-    add("metabric", "data_clinical_sample.TUMOR_SIZE", None, "measurement", "unit_concept_id", "Unit", "UCUM", "mm", 8588)
-    add("metabric", "data_clinical_patient.OS_MONTHS", None, "observation", "unit_concept_id", "Unit", "UCUM", "mo", 9580)
-    return rows
-
-
-def spec_rows() -> list[tuple]:
-    return [
-        (table, schema, "TRUE" if table in REQUIRED_TABLES else "FALSE")
-        for schema, tables in SPEC_TABLES.items()
-        for table in tables
-    ]
-
 
-def scope_rows() -> list[tuple]:
-    reasons = {
-        "CDM": "none of the three sources supplies it",
-        "VOCAB": "only the concept list is loaded, as a vocabulary table",
-        "RESULTS": "written by cohort tools, not by this build",
-    }
-    return [
-        (table, "BUILT", "built in the clinical layer")
-        if table in BUILT_TABLES
-        else (table, "OUT_OF_SCOPE", reasons[schema])
-        for schema, tables in SPEC_TABLES.items()
-        for table in tables
-    ]
+def packaged(name: str, schema: T.StructType) -> list[tuple]:
+    """The rows of one of the reviewed tables beside this module, under the same rules as ``load_seed``."""
+    text = files("caremeld.sources").joinpath("data", f"{name}.csv").read_text(encoding="utf-8")
+    header, *rows = csv.reader(text.splitlines())
+    if header != schema.names:
+        raise ValueError(f"{name}.csv has the columns {header}, not {schema.names}")
+    number = [field.dataType == T.LongType() for field in schema]
+    return [tuple(int(c) if n and c else c or None for c, n in zip(row, number, strict=True)) for row in rows]
 
 
 def _frame(spark: SparkSession, rows: list[tuple], schema: T.StructType) -> DataFrame:
@@ -190,15 +53,15 @@ def _frame(spark: SparkSession, rows: list[tuple], schema: T.StructType) -> Data
 
 
 def concept_map(spark: SparkSession) -> DataFrame:
-    return _frame(spark, concept_map_rows(), CONCEPT_MAP_SCHEMA)
+    return _frame(spark, packaged("concept_map", CONCEPT_MAP_SCHEMA), CONCEPT_MAP_SCHEMA)
 
 
 def cdm_spec(spark: SparkSession) -> DataFrame:
-    return _frame(spark, spec_rows(), SPEC_SCHEMA)
+    return _frame(spark, packaged("cdm_v54_tables", SPEC_SCHEMA), SPEC_SCHEMA)
 
 
 def cdm_scope(spark: SparkSession) -> DataFrame:
-    return _frame(spark, scope_rows(), SCOPE_SCHEMA)
+    return _frame(spark, packaged("cdm_scope", SCOPE_SCHEMA), SCOPE_SCHEMA)
 
 
 def load_seed(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
