@@ -7,20 +7,26 @@ from dataclasses import dataclass
 from functools import reduce
 
 from pyspark.errors import AnalysisException
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Row, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from caremeld.sources.tables import create_database
+from caremeld.sources.variants import MAF_COLUMNS, read_mutation_pages
 
 
 @dataclass(frozen=True)
 class Source:
-    """A source of files below one folder: ``synthetic`` keeps CSVs in ``csv/``, ``study`` has ``data_*.txt`` files."""
+    """A source of files below one folder: ``synthetic`` keeps CSVs in ``csv/``, ``study`` has ``data_*.txt`` files.
+
+    ``multi_line`` says that cells may hold line breaks inside quotes. Such a file is read by one task (files in parallel);
+    without it files are split, and a row with too few or too many cells stops the run instead of shifting columns.
+    """
 
     name: str
     kind: str
     folder: str
+    multi_line: bool = True
 
 
 # The sources and the study files that are expected of each study.
@@ -42,35 +48,55 @@ CONCEPT_COLUMNS = [
     "standard_concept",
     "concept_code",
 ]
-FILE_SCHEMA = "source string, table_name string, role string, path string"
+# A study that ships no mutation file may have landed the same records as API pages.
+PAGED_FILE = "data_mutations"
+FILE_SCHEMA = "source string, table_name string, role string, path string, multi_line boolean, replaced array<string>"
+LANDED_SCHEMA = "table_name string, n_rows long, path string, note string"
 
 
 def is_missing(error: AnalysisException) -> bool:
     return error.getCondition() == "PATH_NOT_FOUND"
 
 
-def read_flat(spark: SparkSession, path: str, multi_line: bool = False) -> DataFrame:
-    """A comma-separated ``.csv`` or tab-separated ``.txt`` file with a header, every column a string.
+def read_flat(spark: SparkSession, path: str, multi_line: bool = True) -> DataFrame:
+    """A comma-separated ``.csv`` or tab-separated ``.txt`` file, or a folder of its parts, every column a string.
 
     Lines that start with ``#`` are skipped. Empty cells are empty strings and never NULL, and words such as ``NA`` stay
-    words. ``multi_line`` is for files with line breaks inside quotes; such a file cannot be split between tasks.
+    words. Every part must have the same header, else reading fails. Cells may hold line breaks inside quotes unless
+    ``multi_line`` is off; then large files are split between tasks and rows of another length fail.
     """
     separator = "\t" if path.rstrip("/").endswith(".txt") else ","
-    read = spark.read.csv(path, sep=separator, header=True, comment="#", quote='"', escape='"', multiLine=multi_line)
+    read = spark.read.csv(
+        path,
+        sep=separator,
+        header=True,
+        comment="#",
+        quote='"',
+        escape='"',
+        multiLine=multi_line,
+        enforceSchema=False,
+        mode="PERMISSIVE" if multi_line else "FAILFAST",
+    )
     return read.na.fill("")
 
 
 def discover_files(spark: SparkSession, base: str, sources: list[Source] = SOURCES) -> DataFrame:
-    """One row per raw table to land: (source, table_name, role, path).
+    """One row per raw table to land: (source, table_name, role, path, multi_line, replaced).
 
-    A table is a file or a folder of part files with the file's name. A clinical file is found by two patterns and listed
-    once; where two files claim one table name, the later one in load order (clinical first, then by path) wins.
+    A table is a file or a folder of part files with the file's name; API pages (``data_mutations.json``, a file or a
+    folder of pages) stand in for a study's mutation file. A clinical file is found by two patterns and listed once; where
+    several files claim one table name, the last in load order wins (pages first, then clinical files, then by path) and
+    ``replaced`` names the others.
     """
     found = []
     for source in sources:
         files = spark.read.format("binaryFile").option("recursiveFileLookup", "true")
         synthetic = source.kind == "synthetic"
-        pattern = r"^(.*/csv/([^/]+)\.csv)(/[^/]+)?$" if synthetic else r"^(.*/(data_[^/]*)\.txt)(/[^/]+)?$"
+        pattern = (
+            r"^(.*/csv/([^/]+)\.csv)(/[^/]+)?$"
+            if synthetic
+            else rf"^(.*/(data_[^/]*)\.txt|.*/({PAGED_FILE})\.jsonl?)(/[^/]+)?$"
+        )
         folder = f"{base}/{source.folder}" + ("/csv" if synthetic else "")
         try:
             paths = files.load(folder).select("path")
@@ -79,6 +105,7 @@ def discover_files(spark: SparkSession, base: str, sources: list[Source] = SOURC
                 continue
             raise
         stem = F.regexp_extract("path", pattern, 2)
+        stem = stem if synthetic else F.concat(stem, F.regexp_extract("path", pattern, 3))
         clinical = F.lit(synthetic) | stem.startswith("data_clinical_")
         found.append(
             paths.filter(stem != "").select(
@@ -86,13 +113,19 @@ def discover_files(spark: SparkSession, base: str, sources: list[Source] = SOURC
                 F.concat_ws("__", F.lit(source.name), stem).alias("table_name"),
                 F.when(clinical, "clinical").otherwise("genomic").alias("role"),
                 F.regexp_extract("path", pattern, 1).alias("path"),
+                F.lit(source.multi_line).alias("multi_line"),
             )
         )
     if not found:
         return spark.createDataFrame([], FILE_SCHEMA)
-    last = F.max(F.struct(F.col("role") == "genomic", "path", "role")).alias("last")
-    tables = reduce(DataFrame.unionByName, found).groupBy("source", "table_name").agg(last)
-    return tables.select("source", "table_name", "last.role", "last.path")
+    order = F.struct(~F.col("path").rlike(r"\.jsonl?$"), F.col("role") == "genomic", "path", "role", "multi_line")
+    tables = (
+        reduce(DataFrame.unionByName, found)
+        .groupBy("source", "table_name")
+        .agg(F.max(order).alias("last"), F.collect_set("path").alias("paths"))
+    )
+    others = F.array_sort(F.array_except("paths", F.array("last.path")))
+    return tables.select("source", "table_name", "last.role", "last.path", "last.multi_line", others.alias("replaced"))
 
 
 def manifest(spark: SparkSession, files: DataFrame, sources: list[Source] = SOURCES) -> DataFrame:
@@ -108,33 +141,56 @@ def manifest(spark: SparkSession, files: DataFrame, sources: list[Source] = SOUR
     )
 
 
+def read_landed(spark: SparkSession, path: str, multi_line: bool) -> DataFrame:
+    """A flat file, or API pages: ``.json`` holds a page per file, ``.jsonl`` a page per line."""
+    if path.endswith((".json", ".jsonl")):
+        return read_mutation_pages(spark, path, page_per_file=path.endswith(".json"))
+    return read_flat(spark, path, multi_line)
+
+
 def land_all(
-    spark: SparkSession, files: DataFrame, database: str, location: str | None = None, threads: int = 4
+    spark: SparkSession,
+    files: DataFrame,
+    database: str,
+    location: str | None = None,
+    threads: int = 4,
+    sources: list[Source] = SOURCES,
 ) -> DataFrame:
-    """Lands every discovered file as ``<database>.<source>__<stem>``; returns (table_name, n_rows).
+    """Lands every discovered file as ``<database>.<source>__<stem>``; returns (table_name, n_rows, path, note).
 
-    Only the list of files is collected, one short row per table.
+    The note says what came from API pages, which same-named files were not landed, and which expected study files are
+    missing. A missing mutation file becomes an empty table of its declared columns. Tables that an earlier run left in
+    the database and this one doesn't land are not listed. Only the list of files is collected, one short row per table.
     """
     create_database(spark, database, location)
-    listed = sorted((r["table_name"], r["path"]) for r in files.select("table_name", "path").collect())
+    listed = sorted(files.collect(), key=lambda f: f.table_name)
 
-    def land(entry: tuple[str, str]) -> None:
-        table, path = entry
-        read_flat(spark, path).write.mode("overwrite").saveAsTable(f"{database}.{table}", format="parquet")
+    def land(file: Row) -> None:
+        read = read_landed(spark, file.path, file.multi_line)
+        read.write.mode("overwrite").saveAsTable(f"{database}.{file.table_name}", format="parquet")
 
     with ThreadPoolExecutor(threads) as pool:
         list(pool.map(land, listed))
-    if not listed:
-        return spark.createDataFrame([], "table_name string, n_rows long")
-    return reduce(
-        DataFrame.unionByName,
-        [
-            spark.table(f"{database}.{table}")
-            .agg(F.count("*").alias("n_rows"))
-            .select(F.lit(table).alias("table_name"), "n_rows")
-            for table, _ in listed
-        ],
-    )
+    notes = {}
+    for file in listed:
+        said = ["from API pages"] if file.path.endswith((".json", ".jsonl")) else []
+        said += [f"not landed, same name: {', '.join(file.replaced)}"] if file.replaced else []
+        notes[file.table_name] = (file.path, "; ".join(said))
+    absent = []
+    for file in manifest(spark, files, sources).filter("not found").collect():
+        if file.file_stem == PAGED_FILE:
+            empty = spark.createDataFrame([], T.StructType([T.StructField(c, T.StringType()) for c in MAF_COLUMNS]))
+            empty.write.mode("overwrite").saveAsTable(f"{database}.{file.table_name}", format="parquet")
+            notes[file.table_name] = (None, "missing: no file and no API pages; landed as an empty table")
+        else:
+            absent.append((file.table_name, None, None, "missing: not landed"))
+    counted = [
+        spark.table(f"{database}.{table}")
+        .agg(F.count("*").alias("n_rows"))
+        .select(F.lit(table).alias("table_name"), "n_rows", F.lit(path).cast("string").alias("path"), F.lit(note).alias("note"))
+        for table, (path, note) in sorted(notes.items())
+    ]
+    return reduce(DataFrame.unionByName, [*counted, spark.createDataFrame(sorted(absent), LANDED_SCHEMA)])
 
 
 def empty_vocabulary(spark: SparkSession) -> DataFrame:
@@ -146,14 +202,9 @@ def empty_vocabulary(spark: SparkSession) -> DataFrame:
 def read_vocabulary(spark: SparkSession, path: str) -> DataFrame:
     """The concept list of one extract: seven of its tab-separated columns, quotes taken literally.
 
-    Ids become numbers here, once, so that no join or union meets a text id. Without the file every code resolves to 0.
+    Ids become numbers here, once, so that no join or union meets a text id. A path that does not exist is an error.
     """
-    try:
-        extract = spark.read.csv(path, sep="\t", header=True, quote="")
-    except AnalysisException as error:
-        if is_missing(error):
-            return empty_vocabulary(spark)
-        raise
+    extract = spark.read.csv(path, sep="\t", header=True, quote="")
     named = extract.select(*[F.col(c).alias(c.upper()) for c in CONCEPT_COLUMNS]).na.fill("")
     return named.withColumn("CONCEPT_ID", F.col("CONCEPT_ID").try_cast("long"))
 
@@ -162,7 +213,7 @@ def merge_vocabularies(extracts: list[DataFrame]) -> DataFrame:
     """Several extracts as one list with each concept id once; the earlier extract wins.
 
     Kept as an aggregation, so that every task reduces its own rows before the shuffle. Rows without a numeric id are
-    left out: a code can only resolve to 0 through them.
+    left out: a code can only resolve to 0 through them (``unusable_concepts`` counts them).
     """
     columns = [c.upper() for c in CONCEPT_COLUMNS]
     ranked = [e.select(F.lit(rank).alias("_rank"), *columns) for rank, e in enumerate(extracts)]
@@ -172,6 +223,14 @@ def merge_vocabularies(extracts: list[DataFrame]) -> DataFrame:
     return first.select("CONCEPT_ID", *[F.col(f"_first.{c}").alias(c) for c in columns[1:]])
 
 
+def unusable_concepts(extracts: list[DataFrame]) -> DataFrame:
+    """(extract, n_rows): rows without a numeric id in each extract, in order."""
+    return reduce(
+        DataFrame.unionByName,
+        [e.agg(F.count_if(F.col("CONCEPT_ID").isNull()).alias("n_rows")).select(F.lit(i).alias("extract"), "n_rows") for i, e in enumerate(extracts)],
+    )
+
+
 def write_vocabulary(vocabulary: DataFrame, path: str) -> DataFrame:
     """Stores the list in one folder per vocabulary, so that resolving one vocabulary's codes reads only its folder."""
     vocabulary.write.mode("overwrite").partitionBy("VOCABULARY_ID").parquet(path)

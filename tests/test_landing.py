@@ -21,9 +21,22 @@ def test_csv_keeps_every_cell_as_text(spark, tmp_path):
     )
 
 
-def test_line_breaks_inside_quotes_on_request(spark, tmp_path):
-    path = put(tmp_path / "a.csv", 'Id,Note\n1,"two\nlines"\n')
-    assert rows(landing.read_flat(spark, path, multi_line=True)) == [("1", "two\nlines")]
+def test_line_breaks_inside_quotes(spark, tmp_path):
+    path = put(tmp_path / "a.csv", 'Id,Note,More\n1,"two\nlines, one ""cell""",x\n2,,\n')
+    assert rows(landing.read_flat(spark, path)) == ordered([("1", 'two\nlines, one "cell"', "x"), ("2", "", "")])
+    with pytest.raises(Exception, match="MALFORMED_RECORD|Malformed"):
+        landing.read_flat(spark, path, multi_line=False).collect()
+
+
+@pytest.mark.parametrize("multi_line", [True, False])
+def test_parts_with_another_header_are_refused(spark, tmp_path, multi_line):
+    put(tmp_path / "a.csv/part-0.csv", "Id,Name\n1,ann\n")
+    put(tmp_path / "a.csv/part-1.csv", "Id,Name\n2,bob\n")
+    path = str(tmp_path / "a.csv")
+    assert rows(landing.read_flat(spark, path, multi_line)) == ordered([("1", "ann"), ("2", "bob")])
+    put(tmp_path / "a.csv/part-2.csv", "Name,Id\ncy,3\n")
+    with pytest.raises(Exception, match="header"):
+        landing.read_flat(spark, path, multi_line).collect()
 
 
 def test_tsv_skips_comment_lines_before_the_header(spark, tmp_path):
@@ -58,11 +71,19 @@ def test_the_last_of_two_files_with_one_name_wins(spark, zone):
     put(zone / "metabric/zz/data_mutations.txt", "Hugo_Symbol\nBRCA1\nBRCA2\n")
     found = landing.discover_files(spark, str(zone)).filter("table_name = 'metabric__data_mutations'").collect()
     assert [r["path"].endswith("/zz/data_mutations.txt") for r in found] == [True]
+    assert [p.endswith("/brca/data_mutations.txt") for p in found[0]["replaced"]] == [True]
+    put(zone / "metabric/zzz/data_mutations.json", "[]")
+    found = landing.discover_files(spark, str(zone)).filter("table_name = 'metabric__data_mutations'")
+    assert [r["path"].endswith("/zz/data_mutations.txt") for r in found.collect()] == [True]
+    landed = landing.land_all(spark, landing.discover_files(spark, str(zone)), "raw_twice", str(zone / "db"))
+    (note,) = [r["note"] for r in landed.collect() if r["table_name"] == "metabric__data_mutations"]
+    assert "zzz/data_mutations.json" in note and "brca/data_mutations.txt" in note
 
 
 def test_nothing_to_land(spark, tmp_path):
     found = landing.discover_files(spark, str(tmp_path / "nowhere"))
-    assert found.isEmpty() and landing.land_all(spark, found, "raw_none", str(tmp_path / "db")).isEmpty()
+    landed = landing.land_all(spark, found, "raw_none", str(tmp_path / "db"))
+    assert found.isEmpty() and landed.filter("n_rows > 0").isEmpty() and landed.filter("note like 'missing%'").count() == 8
 
 
 def test_manifest_shows_missing_files(spark, zone):
@@ -74,7 +95,7 @@ def test_manifest_shows_missing_files(spark, zone):
 def test_landing_writes_one_table_per_file_and_replaces_it(spark, zone):
     for _ in range(2):
         counts = landing.land_all(spark, landing.discover_files(spark, str(zone)), "raw_test", str(zone / "db"))
-    assert rows(counts) == ordered(
+    assert rows(counts.filter("path is not null"), "table_name", "n_rows") == ordered(
         [("metabric__data_clinical_patient", 1), ("metabric__data_mutations", 1), ("synthea__patients", 1), ("synthea__visits", 2)]
     )
     assert {f.dataType for f in spark.table("raw_test.synthea__patients").schema} == {T.StringType()}
@@ -99,6 +120,14 @@ def test_vocabulary(spark, tmp_path):
     assert "PartitionFilters: [isnotnull(VOCABULARY_ID" in plan
 
 
+def test_a_missing_extract_is_an_error_and_unusable_rows_are_counted(spark, tmp_path):
+    with pytest.raises(Exception, match="PATH_NOT_FOUND"):
+        landing.read_vocabulary(spark, str(tmp_path / "none.csv"))
+    odd = landing.read_vocabulary(spark, put(tmp_path / "odd.csv", VOCABULARY + "x\tn\tDrug\tRxNorm\tDrug\tS\t9\t1\n"))
+    assert rows(landing.unusable_concepts([odd, odd.filter("CONCEPT_ID = 1")])) == [(0, 1), (1, 0)]
+    assert landing.merge_vocabularies([odd]).count() == 2
+
+
 def test_bundles_merge_with_the_earlier_one_first(spark, tmp_path):
     first = landing.read_vocabulary(spark, put(tmp_path / "a.csv", VOCABULARY))
     second = landing.read_vocabulary(spark, put(tmp_path / "b.csv", VOCABULARY.replace("other", "newer").replace("\n1\t", "\n7\t")))
