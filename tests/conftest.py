@@ -10,7 +10,7 @@ AS_OF_YEAR = 2024
 
 
 def pytest_addoption(parser):
-    parser.addoption("--all-queries", action="store_true", help="compare every registered query with its SQL")
+    parser.addoption("--all-queries", action="store_true", help="compare every registered query with its SQL on hot keys too")
 
 
 @pytest.fixture(scope="session")

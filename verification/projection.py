@@ -2,7 +2,8 @@
 
 The customer key, modulo three, only says which of the three sources a row belongs to: every customer, order, line, event
 and part ends up in a raw table. Orders and events, which only the synthetic source has, go to the synthetic patient with
-the next lower key; key 0 does not exist, so some of them are facts of an unknown patient.
+the next lower key. A share of orders, lines, events, samples and variants goes to ids that no table has, one patient id is
+used by two sources, and the five codes of the tumour attributes are in the vocabulary.
 """
 
 from __future__ import annotations
@@ -25,30 +26,30 @@ RAW_SQL = {
         from {customer} where c_custkey % 3 = 0
     """,
     "synthea__encounters": """
-        select 'E' || cast(o_orderkey as string) as Id, 'S' || lpad(cast(o_custkey - o_custkey % 3 as string),8,'0') as PATIENT,
+        select 'E' || cast(o_orderkey as string) as Id, case when o_orderkey % 41 = 3 then 'S-UNKNOWN' else 'S' || lpad(cast(o_custkey - o_custkey % 3 as string),8,'0') end as PATIENT,
         case o_orderpriority when '1-URGENT' then 'emergency' when '2-HIGH' then 'inpatient' when '3-MEDIUM' then 'ambulatory' when '4-NOT SPECIFIED' then 'Wellness' else 'urgentcare' end as ENCOUNTERCLASS,
         cast(cast(o_orderdate as date) as string) || 'T08:00:00Z' as START,
         case when o_orderkey % 50 = 0 then '' else cast(cast(o_orderdate as date) + cast(o_orderkey % 5 as int) as string) || 'T09:00:00Z' end as STOP
         from {orders}
     """,
     "synthea__conditions": """
-        select 'S' || lpad(cast(o_custkey as string),8,'0') as PATIENT, cast(l_partkey as string) as CODE, 'cond ' || cast(l_partkey as string) as DESCRIPTION,
+        select case when l_orderkey % 43 = 5 then 'S-UNKNOWN' else 'S' || lpad(cast(o_custkey as string),8,'0') end as PATIENT, cast(l_partkey as string) as CODE, 'cond ' || cast(l_partkey as string) as DESCRIPTION,
         case when l_partkey % 101 = 0 then 'bad' else cast(cast(l_shipdate as date) as string) end as START
         from {lineitem} join {orders} on o_orderkey = l_orderkey where o_custkey % 3 = 0 and l_returnflag = 'A'
     """,
     "synthea__medications": """
-        select 'S' || lpad(cast(o_custkey as string),8,'0') as PATIENT, cast(l_partkey as string) as CODE, 'drug ' || cast(l_partkey as string) as DESCRIPTION,
+        select case when l_orderkey % 43 = 5 then 'S-UNKNOWN' else 'S' || lpad(cast(o_custkey as string),8,'0') end as PATIENT, cast(l_partkey as string) as CODE, 'drug ' || cast(l_partkey as string) as DESCRIPTION,
         cast(cast(l_shipdate as date) as string) || 'T10:00:00Z' as START, case when l_linenumber = 1 then '' else cast(cast(l_shipdate as date) + 30 as string) || 'T10:00:00Z' end as STOP,
         cast(l_quantity as string) as DISPENSES, cast(l_suppkey as string) as REASONCODE
         from {lineitem} join {orders} on o_orderkey = l_orderkey where o_custkey % 3 = 0 and l_returnflag = 'N'
     """,
     "synthea__procedures": """
-        select 'S' || lpad(cast(o_custkey as string),8,'0') as PATIENT, cast(l_partkey as string) as CODE, 'proc ' || cast(l_partkey as string) as DESCRIPTION,
+        select case when l_orderkey % 43 = 5 then 'S-UNKNOWN' else 'S' || lpad(cast(o_custkey as string),8,'0') end as PATIENT, cast(l_partkey as string) as CODE, 'proc ' || cast(l_partkey as string) as DESCRIPTION,
         cast(cast(l_shipdate as date) as string) || 'T11:00:00Z' as START, cast(l_suppkey as string) as REASONCODE
         from {lineitem} join {orders} on o_orderkey = l_orderkey where o_custkey % 3 = 0 and l_returnflag = 'R'
     """,
     "synthea__observations": """
-        select 'S' || lpad(cast(user_id - user_id % 3 as string),8,'0') as PATIENT, cast(event_id % 200 as string) as CODE, event_type as DESCRIPTION,
+        select case when event_id % 47 = 9 then 'S-UNKNOWN' else 'S' || lpad(cast(user_id - user_id % 3 as string),8,'0') end as PATIENT, cast(event_id % 200 as string) as CODE, event_type as DESCRIPTION,
         case event_type when 'error' then 'NA' else cast(value as string) end as VALUE, case event_type when 'view' then 'mg' else '' end as UNITS,
         case event_type when 'signup' then 'text' else 'numeric' end as TYPE, cast(cast(ts as date) as string) || 'T12:00:00Z' as DATE
         from {events}
@@ -62,7 +63,7 @@ RAW_SQL = {
         from {customer} where c_custkey % 3 = 1
     """,
     "metabric__data_clinical_sample": """
-        select 'MB-' || lpad(cast(c_custkey as string),8,'0') as PATIENT_ID, 'MB-' || lpad(cast(c_custkey as string),8,'0') as SAMPLE_ID, case c_nationkey % 6 when 0 then 'Breast Invasive Ductal Carcinoma' when 1 then 'Breast Invasive Lobular Carcinoma' when 2 then 'Invasive Breast Carcinoma' when 3 then 'Breast' when 4 then 'Unlisted histology' else 'Breast Invasive Ductal Carcinoma' end as CANCER_TYPE_DETAILED,
+        select case when c_custkey % 31 = 4 then 'MB-UNKNOWN' else 'MB-' || lpad(cast(c_custkey as string),8,'0') end as PATIENT_ID, 'MB-' || lpad(cast(c_custkey as string),8,'0') as SAMPLE_ID, case c_nationkey % 6 when 0 then 'Breast Invasive Ductal Carcinoma' when 1 then 'Breast Invasive Lobular Carcinoma' when 2 then 'Invasive Breast Carcinoma' when 3 then 'Breast' when 4 then 'Unlisted histology' else 'Breast Invasive Ductal Carcinoma' end as CANCER_TYPE_DETAILED,
         case (c_custkey + 0) % 5 when 0 then 'Positive' when 1 then 'Negative' when 2 then 'NA' when 3 then '' else 'Positive' end as ER_STATUS, case (c_custkey + 1) % 5 when 0 then 'Positive' when 1 then 'Negative' when 2 then 'NA' when 3 then '' else 'Positive' end as PR_STATUS, case (c_custkey + 2) % 5 when 0 then 'Positive' when 1 then 'Negative' when 2 then 'NA' when 3 then '' else 'Positive' end as HER2_STATUS,
         case c_custkey % 7 when 5 then 'NA' when 6 then '' else cast(c_custkey % 7 as string) end as TUMOR_STAGE,
         case c_custkey % 4 when 0 then 'NA' else cast(c_custkey % 4 as string) end as GRADE,
@@ -70,7 +71,7 @@ RAW_SQL = {
         from {customer} where c_custkey % 3 = 1
     """,
     "tcga_brca__data_clinical_patient": """
-        select 'TCGA-' || lpad(cast(c_custkey as string),8,'0') as PATIENT_ID,
+        select case when c_custkey = 2 then 'MB-00000001' else 'TCGA-' || lpad(cast(c_custkey as string),8,'0') end as PATIENT_ID,
         case c_nationkey % 5 when 0 then 'Female' when 1 then 'MALE' when 2 then 'F' when 3 then '' else 'FEMALE' end as SEX,
         case c_custkey % 5 when 0 then 'STAGE I' when 1 then 'STAGE IIA' when 2 then 'STAGE X' when 3 then '' else 'STAGE IV' end as AJCC_PATHOLOGIC_TUMOR_STAGE
         from {customer} where c_custkey % 3 = 2
@@ -82,13 +83,13 @@ RAW_SQL = {
     "metabric__data_mutations": """
         select 'G' || cast(l_partkey % 25 as string) as Hugo_Symbol, cast(l_partkey as string) as Entrez_Gene_Id, cast(1 + l_suppkey % 22 as string) as Chromosome,
         cast(l_orderkey * 10 + l_linenumber as string) as Start_Position, l_returnflag as Variant_Classification, l_linestatus as Variant_Type,
-        'p.' || cast(l_linenumber as string) as HGVSp_Short, 'MB-' || lpad(cast(o_custkey as string),8,'0') as Tumor_Sample_Barcode, 'N-' || cast(o_custkey as string) as Matched_Norm_Sample_Barcode
+        'p.' || cast(l_linenumber as string) as HGVSp_Short, case when l_orderkey % 37 = 5 then 'MB-NO-SAMPLE' else 'MB-' || lpad(cast(o_custkey as string),8,'0') end as Tumor_Sample_Barcode, 'N-' || cast(o_custkey as string) as Matched_Norm_Sample_Barcode
         from {lineitem} join {orders} on o_orderkey = l_orderkey where o_custkey % 3 = 1
     """,
     "tcga_brca__data_mutations": """
         select 'G' || cast(l_partkey % 25 as string) as Hugo_Symbol, cast(l_partkey as string) as Entrez_Gene_Id, cast(1 + l_suppkey % 22 as string) as Chromosome,
         cast(l_orderkey * 10 + l_linenumber as string) as Start_Position, l_returnflag as Variant_Classification, l_linestatus as Variant_Type,
-        'p.' || cast(l_linenumber as string) as HGVSp_Short, 'TCGA-' || lpad(cast(o_custkey as string),8,'0') || '-01' as Tumor_Sample_Barcode, 'N-' || cast(o_custkey as string) as Matched_Norm_Sample_Barcode
+        'p.' || cast(l_linenumber as string) as HGVSp_Short, case when l_orderkey % 37 = 5 then 'TCGA-NO-SAMPLE' else 'TCGA-' || lpad(cast(o_custkey as string),8,'0') || '-01' end as Tumor_Sample_Barcode, 'N-' || cast(o_custkey as string) as Matched_Norm_Sample_Barcode
         from {lineitem} join {orders} on o_orderkey = l_orderkey where o_custkey % 3 = 2
     """,
     "vocab__concept": """
@@ -100,6 +101,11 @@ RAW_SQL = {
         union all
         select cast(p_partkey * 3 + 2 + 1 as string) as CONCEPT_ID, p_name as CONCEPT_NAME, 'Drug' as DOMAIN_ID, 'RxNorm' as VOCABULARY_ID, p_type as CONCEPT_CLASS_ID,
         case when (p_partkey + 2) % 10 = 0 then '' else 'S' end as STANDARD_CONCEPT, cast(p_partkey as string) as CONCEPT_CODE from {part} where p_partkey % 7 <> 2
+        union all select '90000001', 'Estrogen receptor', 'Measurement', 'LOINC', 'Lab Test', 'S', '85337-4'
+        union all select '90000002', 'Progesterone receptor', 'Measurement', 'LOINC', 'Lab Test', 'S', '85339-0'
+        union all select '90000003', 'HER2', 'Measurement', 'LOINC', 'Lab Test', 'S', '48676-1'
+        union all select '90000004', 'Size', 'Measurement', 'LOINC', 'Lab Test', 'S', '21889-1'
+        union all select '90000005', 'Grade', 'Measurement', 'LOINC', 'Lab Test', 'S', '44648-4'
     """,
 }
 

@@ -20,7 +20,7 @@ from caremeld.plans.layers import ANALYTICS, CLINICAL, GENOMIC, PROJECTED, Layer
 from caremeld.plans.staging import VIEWS
 from caremeld.session import new_path
 from caremeld.sources import landing, seeds, tables, variants
-from verification.oracle import AS_OF_YEAR, date, number, report_sql, statement, whole
+from verification.oracle import AS_OF_YEAR, date, lines_sql, number, report_sql, statement, whole
 from verification.projection import RAW_SQL, RawTables, oracle_raw, raw_table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -50,13 +50,19 @@ def layers(spark: SparkSession, sf_dir: str) -> Layers:
     return Layers(raw, raw.vocabulary(), seeds.concept_map(spark), AS_OF_YEAR)
 
 
+def written(models: Layers, names: list[str]) -> dict[str, DataFrame]:
+    """Some models as tables in a database of their own."""
+    base = new_path(models.vocabulary.sparkSession, "tables")
+    database = "part_" + base.rsplit("-", 1)[-1][:12]
+    return {name: tables.save_table(models.table(name), database, name, base) for name in names}
+
+
 def built(spark: SparkSession, sf_dir: str) -> tuple[Layers, dict[str, DataFrame], dict[str, str]]:
     """All layers, written below a folder of their own; also layer -> database."""
     models = layers(spark, sf_dir)
     location = new_path(spark, "layers")
     prefix = f"run_{os.path.basename(location).rsplit('-', 1)[-1][:12]}_"
-    written = build(models, prefix, location)
-    return models, written, {layer: f"{prefix}{layer}" for layer in ("omop", "genomic", "analytics")}
+    return models, build(models, prefix, location), {layer: f"{prefix}{layer}" for layer in ("omop", "genomic", "analytics")}
 
 
 def union(parts: list[DataFrame]) -> DataFrame:
@@ -69,7 +75,15 @@ def union(parts: list[DataFrame]) -> DataFrame:
 def write_flat(df: DataFrame, path: str) -> None:
     """A raw table as a flat file the way its source ships it: CSV, or tab-separated text."""
     separator = "\t" if path.endswith(".txt") else ","
-    df.write.csv(path, sep=separator, header=True, escape='"', emptyValue="")
+    df.write.csv(
+        path,
+        sep=separator,
+        header=True,
+        escape='"',
+        emptyValue="",
+        ignoreLeadingWhiteSpace=False,
+        ignoreTrailingWhiteSpace=False,
+    )
 
 
 def flat_path(base: str, name: str) -> str:
@@ -84,13 +98,16 @@ def landing_zone(spark: SparkSession, sf_dir: str, names: list[str] | None = Non
     return base
 
 
-def landed(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return landing.read_flat(spark, flat_path(landing_zone(spark, sf_dir, [name]), name))
-
-
-@query("land_csv", whole("synthea__conditions"))
+@query(
+    "land_csv",
+    "select cast(doc_id as varchar) as doc_id, coalesce(text, '') as text, coalesce(lang, '') as lang, "
+    "coalesce(source, '') as source, coalesce(cast(n_chars as varchar), '') as n_chars from documents",
+)
 def land_csv(spark, sf_dir):
-    return landed(spark, sf_dir, "synthea__conditions")
+    """All documents as a CSV: most of their texts hold line breaks, many commas and quotes."""
+    path = new_path(spark, "documents") + ".csv"
+    write_flat(spark.read.parquet(f"{sf_dir}/documents.parquet"), path)
+    return landing.read_flat(spark, path)
 
 
 @query("land_tsv_commented", whole("metabric__data_clinical_sample"))
@@ -115,37 +132,52 @@ def land_tsv_commented(spark, sf_dir):
 
 FILES_SQL = "\nunion all ".join(
     f"select '{n.split('__')[0]}' as source, '{n}' as table_name, "
-    f"'{'genomic' if n.endswith('mutations') else 'clinical'}' as role"
+    f"'{'genomic' if n.endswith('mutations') else 'clinical'}' as role, count(*) as n_rows from ({oracle_raw(n)})"
     for n in RAW_SQL
     if n != "vocab__concept"
 )
 
 
+def rows_found(spark: SparkSession, files: DataFrame) -> DataFrame:
+    """(table_name, n_rows) of listed files; there is one short row for each."""
+    counted = [
+        landing.read_flat(spark, f.path, f.multi_line).agg(F.count("*").alias("n_rows")).select(F.lit(f.table_name).alias("table_name"), "n_rows")
+        for f in files.collect()
+    ]
+    return union(counted)
+
+
 @query("discover_files", FILES_SQL)
 def discover_files(spark, sf_dir):
-    return landing.discover_files(spark, landing_zone(spark, sf_dir)).drop("path")
+    """The files found, each with the rows that reading it gives."""
+    files = landing.discover_files(spark, landing_zone(spark, sf_dir))
+    return files.select("source", "table_name", "role").join(rows_found(spark, files), "table_name")
 
 
 @query(
     "manifest",
-    "select s as source, role, stem as file_stem, s || '__' || stem as table_name, stem <> 'data_cna' as found from "
+    "select s as source, role, stem as file_stem, s || '__' || stem as table_name, n is not null as found, n as n_rows from "
     "(values ('metabric'), ('tcga_brca')) a(s), (values ('clinical', 'data_clinical_patient'), "
-    "('clinical', 'data_clinical_sample'), ('genomic', 'data_mutations'), ('genomic', 'data_cna')) b(role, stem)",
+    "('clinical', 'data_clinical_sample'), ('genomic', 'data_mutations'), ('genomic', 'data_cna')) b(role, stem) "
+    f"left join (select table_name as t, n_rows as n from ({FILES_SQL})) f on f.t = s || '__' || stem",
 )
 def manifest(spark, sf_dir):
-    return landing.manifest(spark, landing.discover_files(spark, landing_zone(spark, sf_dir)))
+    """The expected study files, with the rows of those that are there."""
+    files = landing.discover_files(spark, landing_zone(spark, sf_dir))
+    return landing.manifest(spark, files).join(rows_found(spark, files), "table_name", "left")
 
 
 @query(
     "land_all",
     "\nunion all ".join(
-        f"select '{n}' as table_name, count(*) as n_rows from ({oracle_raw(n)})" for n in RAW_SQL if n != "vocab__concept"
+        [f"select '{n}' as table_name, count(*) as n_rows, '' as note from ({oracle_raw(n)})" for n in RAW_SQL if n != "vocab__concept"]
+        + [f"select '{s}__data_cna', null, 'missing: not landed'" for s in ("metabric", "tcga_brca")]
     ),
 )
 def land_all(spark, sf_dir):
     base = landing_zone(spark, sf_dir)
     database = "raw_" + base.rsplit("-", 1)[-1][:12]
-    return landing.land_all(spark, landing.discover_files(spark, base), database, base)
+    return landing.land_all(spark, landing.discover_files(spark, base), database, base).drop("path")
 
 
 @query("write_overwrite", whole("synthea__encounters"))
@@ -199,7 +231,8 @@ MAF_SQL = (
 
 @query("api_pages_to_maf", statement(MAF_SQL))
 def api_pages_to_maf(spark, sf_dir):
-    """Pages of 10,000 records as the API nests them, numbers as JSON numbers, absent fields left out; a page per line."""
+    """A study that has only API pages: 10,000 records each as the API nests them, numbers as JSON numbers, absent fields
+    left out, a page per line. They are found and landed in place of the mutation file."""
     calls = raw_table(spark, sf_dir, "tcga_brca__data_mutations")
     numeric = ("Entrez_Gene_Id", "Start_Position")
     fields = [
@@ -207,12 +240,14 @@ def api_pages_to_maf(spark, sf_dir):
         for c, f in variants.RECORD_FIELDS.items()
         if c in calls.columns
     ]
-    path = new_path(spark, "pages")
+    base = new_path(spark, "pages")
     record = F.to_json(F.struct(F.struct(F.col("Hugo_Symbol").alias("hugoGeneSymbol")).alias("gene"), *fields))
     numbered = calls.select(record.alias("record"), F.monotonically_increasing_id().alias("_row"))
     pages = numbered.groupBy(F.floor(F.col("_row") / 10_000)).agg(F.concat_ws(",", F.collect_list("record")).alias("all"))
-    pages.select(F.concat(F.lit("["), "all", F.lit("]")).alias("value")).write.text(path)
-    return variants.read_mutation_pages(spark, path, page_per_file=False)
+    pages.select(F.concat(F.lit("["), "all", F.lit("]")).alias("value")).write.text(f"{base}/tcga_brca/data_mutations.jsonl")
+    database = "raw_" + base.rsplit("-", 1)[-1][:12]
+    landing.land_all(spark, landing.discover_files(spark, base), database, base)
+    return spark.table(f"{database}.tcga_brca__data_mutations")
 
 
 SEED_SQL = """select p_type as source_value, nullif(p_brand, 'Brand#11') as target_vocabulary, p_partkey as concept_id
@@ -245,14 +280,15 @@ def mutations_raw(spark, sf_dir):
     )
 
 
-@query("raw_passthrough", whole("metabric_mutations"))
+@query(
+    "raw_passthrough",
+    statement("select 'metabric' as source, * from metabric_mutations union all by name "
+              "select 'tcga_brca' as source, * from tcga_brca_mutations"),
+)
 def raw_passthrough(spark, sf_dir):
-    """The raw table as written to the genomic layer."""
-    base = new_path(spark, "genomic")
-    database = "genomic_" + base.rsplit("-", 1)[-1][:12]
-    mutations = layers(spark, sf_dir).table("metabric_mutations")
-    tables.write_overwrite(mutations, database, "metabric_mutations", base)
-    return spark.table(f"{database}.metabric_mutations")
+    """The raw tables of both studies as written to the genomic layer."""
+    kept = written(layers(spark, sf_dir), ["metabric_mutations", "tcga_brca_mutations"])
+    return union([df.select(F.lit(name.removesuffix("_mutations")).alias("source"), "*") for name, df in kept.items()])
 
 
 @query("materialise_layer", whole("death", ("death_date",)))
@@ -544,18 +580,13 @@ MODEL_DATES = {
     "observation_period": ("observation_period_start_date", "observation_period_end_date"),
     "death": ("death_date",),
 }
-for _model in [*CLINICAL, "sample_person", *[t for t in ANALYTICS if t != "unique_patients"]]:
+for _model in [*CLINICAL, "sample_person", *ANALYTICS]:
 
     @query(_model, whole(_model, MODEL_DATES.get(_model, ())))
     def _table(spark, sf_dir, name=_model):
         return layers(spark, sf_dir).table(name)
 
 
-@query("unique_patients", whole("unique_patients"))
-def unique_patients(spark, sf_dir):
-    return layers(spark, sf_dir).roster()
-
-
 @query("unpivot_measurements", whole("tumour_attributes"))
 def unpivot_measurements(spark, sf_dir):
     return tumour_measurements(layers(spark, sf_dir).staging("stg_metabric_sample")).drop("source")
@@ -589,25 +620,29 @@ def surrogate_id_copies(spark, sf_dir):
 # ---- Aggregations and reports --------------------------------------------------------------------------------------
 
 
+DATED = {
+    "stg_synthea_encounters": ("visit_start_date", "visit_end_date"),
+    "stg_synthea_conditions": ("condition_start_date",),
+    "stg_synthea_observations": ("measurement_date",),
+    "stg_synthea_medications": ("drug_exposure_start_date", "drug_exposure_end_date"),
+    "stg_synthea_procedures": ("procedure_date",),
+}
+
+
 @query(
     "event_span",
     statement(
-        "select person_source_value, cast(min(d) as varchar) as first_date, cast(max(d) as varchar) as last_date from "
-        "(select person_source_value, visit_start_date as d from stg_synthea_encounters union all "
-        "select person_source_value, visit_end_date from stg_synthea_encounters union all "
-        "select person_source_value, procedure_date from stg_synthea_procedures) where d is not null group by 1"
+        "select person_source_value, cast(min(d) as varchar) as first_date, cast(max(d) as varchar) as last_date from ("
+        + " union all ".join(f"select person_source_value, {d} as d from {t}" for t, dates in DATED.items() for d in dates)
+        + ") where d is not null group by 1"
     ),
 )
 def event_span(spark, sf_dir):
-    models = layers(spark, sf_dir)
-    key, done = "person_source_value", F.col("procedure_date")
-    visits = models.staging("stg_synthea_encounters").select(
-        key,
-        F.least("visit_start_date", "visit_end_date").alias("first"),
-        F.greatest("visit_start_date", "visit_end_date").alias("last"),
-    )
-    procedures = models.staging("stg_synthea_procedures").select(key, done.alias("first"), done.alias("last"))
-    return clinical.event_span([visits, procedures], key)
+    """All five event tables, per patient id, known or not."""
+    models, key = layers(spark, sf_dir), "person_source_value"
+    both = {view: (dates[0], dates[-1]) for view, dates in DATED.items()}
+    streams = [models.staging(view).select(key, F.least(*d), F.greatest(*d)) for view, d in both.items()]
+    return clinical.event_span(streams, key)
 
 
 @query(
@@ -631,10 +666,9 @@ def distinct_counts_per_patient(spark, sf_dir):
     )
 
 
-RAW_PATIENTS_SQL = "\nunion all ".join(
-    f"select '{source}' as source, count(distinct {column}) as n from {table}"
-    for source, (table, column) in reconcile.RAW_IDS.items()
-)
+RAW_PATIENTS_SQL = """select 'synthea' as source, count(distinct Id) as n from synthea__patients
+    union all select 'metabric', count(distinct PATIENT_ID) from metabric__data_clinical_patient
+    union all select 'tcga_brca', count(distinct PATIENT_ID) from tcga_brca__data_clinical_patient"""
 
 
 @query("raw_distinct_patients", statement(RAW_PATIENTS_SQL))
@@ -642,12 +676,12 @@ def raw_distinct_patients(spark, sf_dir):
     return reconcile.raw_patients(RawTables(spark, sf_dir))
 
 
-ROW_PARTS = {
-    "condition_occurrence": "condition_rows",
-    "observation": "observation_rows",
-    "drug_exposure": "drug_rows",
-    "procedure_occurrence": "procedure_rows",
-    "measurement": "measurement_rows",
+MAPPED_CONCEPTS = {
+    "condition_occurrence": "condition_concept_id",
+    "observation": "observation_concept_id",
+    "drug_exposure": "drug_concept_id",
+    "procedure_occurrence": "procedure_concept_id",
+    "measurement": "measurement_concept_id",
 }
 
 
@@ -655,37 +689,24 @@ ROW_PARTS = {
     "conditional_counts",
     statement(
         "\nunion all ".join(
-            f"select '{t}{suffix}' as name, count(*) as n from {part} where {condition}"
-            for t, part in ROW_PARTS.items()
-            if t in ("drug_exposure", "procedure_occurrence")
-            for suffix, condition in (
-                ("", "true"),
-                (" mapped", f"{reconcile.MAPPED[t][0]} <> 0"),
-                (" unmapped", f"{reconcile.MAPPED[t][0]} = 0"),
-            )
+            f"select '{t}{suffix}' as name, count(*) as n from {t} where {condition}"
+            for t, concept in MAPPED_CONCEPTS.items()
+            for suffix, condition in (("", "true"), (" mapped", f"{concept} <> 0"), (" unmapped", f"{concept} = 0"))
         )
     ),
 )
 def conditional_counts(spark, sf_dir):
-    models = layers(spark, sf_dir)
-    return reconcile.row_counts({t: models.rows(t) for t in ("drug_exposure", "procedure_occurrence")})
-
-
-DELTA_LINES = [line for line in reconcile.DEID_LINES if line.item == "mutations"]
+    """Every mapped table as it was written."""
+    return reconcile.row_counts(written(layers(spark, sf_dir), list(MAPPED_CONCEPTS)))
 
 
 @query(
     "scalar_count_delta",
-    statement(
-        "select 'mutations' as item, a as source_count, b as modeled_count, a - b as delta from "
-        "(select (select count(*) from metabric_mutations) + (select count(*) from tcga_brca_mutations) as a, "
-        "(select count(*) from mutations_deid) as b)"
-    ),
+    f"select item, source_count, modeled_count, delta from ({statement(lines_sql('deid', 'ohdsi'))}) where source_count is not null",
 )
 def scalar_count_delta(spark, sf_dir):
-    models = layers(spark, sf_dir)
-    names = ["metabric_mutations", "tcga_brca_mutations", "mutations_deid"]
-    counted = reconcile.section({n: models.table(n) for n in names}, DELTA_LINES)
+    """Every line that is the difference of two counts, over the layers as written."""
+    counted = reconcile.section(built(spark, sf_dir)[1], [*reconcile.DEID_LINES, *reconcile.PERIOD_LINES])
     return counted.select("item", "source_count", "modeled_count", "delta")
 
 
@@ -804,18 +825,22 @@ def dq_events_inside_period(spark, sf_dir):
 
 @query(
     "dq_cdm_coverage",
-    "select t as cdm_table_name, 'NOT_MATERIALIZED' as violation, 'declared built but absent' as detail from (values "
-    "('condition_occurrence'), ('drug_exposure'), ('procedure_occurrence'), ('measurement'), ('observation'), "
-    "('observation_period')) v(t)",
+    statement(
+        "select t as cdm_table_name, 'NOT_MATERIALIZED' as violation, 'declared built but absent' as detail from ("
+        + "\nunion all ".join(f"select '{t}' as t, count(*) filter (where person_id = 1) as n from {t}" for t in CLINICAL)
+        + ") where n = 0"
+    ),
 )
 def dq_cdm_coverage(spark, sf_dir):
-    """The gate over a database in which only three of the nine tables were written."""
+    """The gate over a database that holds the tables of the first person only; a table without a row is not there."""
     models = layers(spark, sf_dir)
     base = new_path(spark, "partial")
     database = "omop_" + base.rsplit("-", 1)[-1][:12]
-    for name, df in [("person", models.person), ("death", models.table("death")),
-                     ("visit_occurrence", models.rows("visit_occurrence"))]:
-        tables.write_overwrite(df, database, name, base)
+    tables.create_database(spark, database, base)
+    for name in CLINICAL:
+        own = models.table(name).filter("person_id = 1")
+        if not own.isEmpty():
+            tables.write_overwrite(own, database, name, base)
     present = quality.materialised_tables(spark, database)
     return quality.cdm_coverage(seeds.cdm_spec(spark), seeds.cdm_scope(spark), present)
 
@@ -864,9 +889,9 @@ def dq_table_inventory(spark, sf_dir):
 @query("dq_report", report_sql())
 def dq_report(spark, sf_dir):
     """Every declared check and the checks across tables, on the tables as written."""
-    models, written, databases = built(spark, sf_dir)
+    models, kept, databases = built(spark, sf_dir)
     return quality.validate(
-        written,
+        kept,
         models.concept_map,
         seeds.cdm_spec(spark),
         seeds.cdm_scope(spark),
@@ -880,25 +905,6 @@ def dq_report(spark, sf_dir):
 REPORT = "check_group, item, source_count, modeled_count, delta, note"
 
 
-def lines_sql(lines: list[reconcile.Line]) -> str:
-    parts = []
-    for line in lines:
-        counts = {}
-        for name in (*line.source, *line.modeled, *([line.delta] if line.delta else [])):
-            table, _, state = name.partition(" ")
-            concept = reconcile.MAPPED[table][0] if state else ""
-            test = {"": "true", "mapped": f"{concept} <> 0", "unmapped": f"{concept} = 0"}[state]
-            counts[name] = f"(select count(*) from {table} where {test})"
-        modeled = " + ".join(counts[n] for n in line.modeled)
-        source = " + ".join(counts[n] for n in line.source) or "cast(null as bigint)"
-        delta = counts[line.delta] if line.delta else f"({source}) - ({modeled})"
-        parts.append(
-            f"select '{line.group}' as check_group, '{line.item}' as item, {source} as source_count, "
-            f"{modeled} as modeled_count, {delta} as delta, '{line.note}' as note"
-        )
-    return "\nunion all ".join(parts)
-
-
 PERSON_LINES_SQL = (
     f"select 'person' as check_group, r.source as item, r.n as source_count, coalesce(p.n, 0) as modeled_count, "
     f"r.n - coalesce(p.n, 0) as delta, 'distinct raw patients against persons; delta must be 0' as note "
@@ -916,38 +922,31 @@ def recon_person(spark, sf_dir):
     return reconcile.person_lines(models.raw, models.person).drop("sort")
 
 
-@query("recon_mapping", statement(lines_sql(reconcile.MAPPING_LINES)))
+@query("recon_mapping", statement(lines_sql("mapping")))
 def recon_mapping(spark, sf_dir):
-    models = layers(spark, sf_dir)
-    return reconcile.section({t: models.rows(t) for t in reconcile.MAPPED}, reconcile.MAPPING_LINES).drop("sort")
+    counted = written(layers(spark, sf_dir), list(reconcile.MAPPED))
+    return reconcile.section(counted, reconcile.MAPPING_LINES).drop("sort")
 
 
-@query("recon_deid", statement(lines_sql(reconcile.DEID_LINES)))
+@query("recon_deid", statement(lines_sql("deid")))
 def recon_deid(spark, sf_dir):
     return reconcile.section(built(spark, sf_dir)[1], reconcile.DEID_LINES).drop("sort")
 
 
-@query("recon_ohdsi", statement(lines_sql(reconcile.PERIOD_LINES)))
+@query("recon_ohdsi", statement(lines_sql("ohdsi")))
 def recon_ohdsi(spark, sf_dir):
-    models = layers(spark, sf_dir)
-    counted = {"person": models.person, "observation_period": models.rows("observation_period")}
+    counted = written(layers(spark, sf_dir), ["person", "observation_period"])
     return reconcile.section(counted, reconcile.PERIOD_LINES).drop("sort")
 
 
-@query("recon_totals", statement(lines_sql(reconcile.TOTAL_LINES)))
+@query("recon_totals", statement(lines_sql("total")))
 def recon_totals(spark, sf_dir):
-    models = layers(spark, sf_dir)
-    counted = {"person": models.person, "sample_person": models.table("sample_person"), "unique_patients": models.roster()}
+    counted = written(layers(spark, sf_dir), ["person", "sample_person", "unique_patients"])
     return reconcile.section(counted, reconcile.TOTAL_LINES).drop("sort")
 
 
-ALL_LINES = [*reconcile.MAPPING_LINES, *reconcile.DEID_LINES, *reconcile.PERIOD_LINES, *reconcile.TOTAL_LINES]
-
-
-@query("reconciliation", statement(PERSON_LINES_SQL + "\nunion all " + lines_sql(ALL_LINES)))
+@query("reconciliation", statement(PERSON_LINES_SQL + "\nunion all " + lines_sql("mapping", "deid", "ohdsi", "total")))
 def reconciliation(spark, sf_dir):
     """The whole report over the layers as written."""
-    models, written, _ = built(spark, sf_dir)
-    return reconcile.reconciliation(models.raw, written)
-
-
+    models, kept, _ = built(spark, sf_dir)
+    return reconcile.reconciliation(models.raw, kept)
