@@ -3,7 +3,8 @@
 Chunks of bytes that overlap by half cover the whole text. Learned filters slide over each chunk; the largest response of every
 filter in the chunk goes through a small dense layer, the largest outcome of every unit over all chunks, and its mean, are
 combined into one probability. It is trained by gradient descent on a sample of labelled rows whose size is a parameter; of
-a long training text it draws some chunks anew each epoch, while scores always come from all chunks.
+a long training text it draws some chunks anew each epoch, while scores always come from all chunks. Few labelled texts are
+short; so that shortness alone does not count against a text, a share of the accepted ones is cut to a few words.
 
 Null and empty texts are one empty chunk and get the same score. Rows without a label, or without an id, don't train;
 if no labelled row of some class exists, the score is 0.5. The sample is drawn by a hash of the id, so runs agree. Labels,
@@ -42,6 +43,7 @@ class Network:
     least_steps: int = 500
     batch: int = 32
     rate: float = 0.004
+    shortened: float = 0.1
 
 
 def chunks_of(text: str, network: Network) -> np.ndarray:
@@ -144,6 +146,17 @@ class Model:
         return out | {"filter": d_filter.reshape(-1, n.filters), "embed": d_embed}
 
 
+def cut_short(chunks: np.ndarray, rng: np.random.Generator) -> np.ndarray:
+    """A few words out of one of the chunks, padded."""
+    raw = chunks[rng.integers(len(chunks))]
+    raw = raw[raw != PAD]
+    n = int(rng.integers(1, 81))
+    begin = int(rng.integers(max(1, len(raw) - n + 1)))
+    out = np.full((1, chunks.shape[1]), PAD, chunks.dtype)
+    out[0, : len(raw[begin : begin + n])] = raw[begin : begin + n]
+    return out
+
+
 def trained(texts: list[np.ndarray], labels: np.ndarray, network: Network = Network()) -> Model | None:
     """A model fitted to chunks of texts; None without examples of both classes."""
     if len(set(labels.tolist())) < 2:
@@ -160,6 +173,9 @@ def trained(texts: list[np.ndarray], labels: np.ndarray, network: Network = Netw
         for a, b in slices(len(order), network.batch):
             picked = order[a:b]
             parts = [texts[i][np.sort(rng.permutation(len(texts[i]))[: network.drawn])] for i in picked]
+            parts = [
+                cut_short(p, rng) if label == 1 and rng.random() < network.shortened else p for p, label in zip(parts, labels[picked])
+            ]
             owner = np.repeat(np.arange(len(picked)), [len(p) for p in parts])
             step += 1
             rate = network.rate * min(1, 10 * step / steps) * (1 - (step - 1) / steps)
