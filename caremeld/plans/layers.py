@@ -16,6 +16,13 @@ from caremeld.session import new_path
 from caremeld.sources.tables import save_table
 
 
+def _kept(df: DataFrame, label: str) -> DataFrame:
+    """``df`` as written to the shared folder, for what is used more than once."""
+    path = new_path(df.sparkSession, label)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
 class Layers:
     """Models over raw tables, a vocabulary and a concept map.
 
@@ -48,10 +55,7 @@ class Layers:
 
     @cached_property
     def person(self) -> DataFrame:
-        people = clinical.person(self.rows("person"))
-        path = new_path(people.sparkSession, "person")
-        people.write.parquet(path)
-        return people.sparkSession.read.schema(people.schema).parquet(path)
+        return _kept(clinical.person(self.rows("person")), "person")
 
     @cached_property
     def person_keys(self) -> DataFrame:
@@ -139,7 +143,10 @@ class Layers:
         if name == "person_deid":
             return deid.person_deid(self.person, self.as_of_year)
         if name == "mutations_deid":
-            linked = broadcast_if_small(deid.linked_samples(self.table("sample_person")), self.broadcast_bytes)
+            linked = deid.linked_samples(self.table("sample_person"))
+            if "sample_person" not in self.written:
+                linked = _kept(linked, "linked_samples")  # measured and then joined
+            linked = broadcast_if_small(linked, self.broadcast_bytes)
             return deid.mutations_deid(self.table("metabric_mutations"), self.table("tcga_brca_mutations"), linked)
         if name in PROJECTED:
             source, project = PROJECTED[name]
