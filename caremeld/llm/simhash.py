@@ -1,13 +1,16 @@
 """Near copies by 64-bit SimHash, found with an index in Gray order.
 
-Distinct fingerprints are sorted by their rank in the Gray code, where neighbours differ in few bits, and dealt into blocks
-of even size. A group of neighbours is summed up by the bits all its members share (mask and pattern); groups of groups share
-fewer. A search walks down this tree, adds up the differences to the shared bits and drops a whole group once they
-exceed the distance. The same tree over the blocks says which blocks a fingerprint must visit, and inside a block which members
-it must be compared with, so no link is lost and blocks stay even however the fingerprints lie.
+Fingerprints that differ in few bits agree on at least one of a few more segments of their bits. So the distinct
+fingerprints are sorted once for each segment, turned so that the segment leads, by their rank in the Gray code, where
+neighbours differ in few bits, and dealt into blocks of even size. A group of neighbours is summed up by the bits all its
+members share (mask and pattern); groups of groups share fewer. A search walks down this tree, adds up the differences
+to the shared bits and drops a whole group once they exceed the distance or touch the leading segment. The same tree over
+the blocks says which further blocks a fingerprint must visit: only those that its segment's run of neighbours goes on
+in. So no link is lost, the work for a fingerprint stays the same as the table grows, and blocks stay even however
+many fingerprints share a segment.
 
 A block reports a spanning set of links (member, representative), never all pairs, and components are found over these by
-alternating stars. The driver holds one node for each block, that is one for ``Index.block`` distinct fingerprints.
+alternating stars. The driver holds one node for each block, that is one for ``Index.block`` placed fingerprints.
 
 Null texts count as empty; texts without words have fingerprint zero and link like any other; repeated rows and ties share
 a component; the component of rows that have no id among them is null; an empty table gives an empty result.
@@ -32,13 +35,31 @@ UPPER_TO_LOWER = bytes(c + 32 if 65 <= c <= 90 else c for c in range(256))
 
 @dataclass(frozen=True)
 class Index:
-    """``block``: distinct fingerprints of a block; ``fan``: children of a node; ``batch``: searches done at a time."""
+    """``block``: placed fingerprints of a block; ``fan``: children of a node; ``batch``: searches done at a time."""
 
     distance: int = 2
-    block: int = 20_000
+    block: int = 50_000
     fan: int = 16
     batch: int = 2_048
 
+    def segments(self) -> list[tuple[int, int]]:
+        """(first bit, number of bits), one more than bits may differ."""
+        ends = [64 * i // (self.distance + 1) for i in range(self.distance + 2)]
+        return [(a, b - a) for a, b in zip(ends, ends[1:])]
+
+
+def leading(bits: int) -> np.uint64:
+    return np.uint64(((1 << bits) - 1) << (64 - bits))
+
+
+def turned(fp: Column, by: int) -> Column:
+    """The bits moved up, those that leave coming back below."""
+    return F.shiftleft(fp, by).bitwiseOR(F.shiftrightunsigned(fp, 64 - by)) if by else fp
+
+
+def turned_back(values: np.ndarray, by: int) -> np.ndarray:
+    return values >> np.uint64(by) | values << np.uint64(64 - by) if by else values
+
 
 def fingerprint(text: str, words: int = 3) -> int:
     """A signed 64-bit SimHash over word shingles, repeats included; a bit is set if it is in over half of the hashes."""
@@ -98,8 +119,8 @@ class Tree:
             above = np.repeat(levels[depth - 1][0] ^ levels[depth - 1][1], fan)[: len(a)] if depth else ~np.uint64(0)
             self.levels.append((a, shared & above))  # only the bits that the node above doesn't share
 
-    def search(self, wanted: np.ndarray, distance: int) -> tuple[np.ndarray, np.ndarray]:
-        """(index into ``wanted``, group) wherever the shared bits differ in at most ``distance`` places."""
+    def search(self, wanted: np.ndarray, distance: int, lead: np.uint64 = np.uint64(0)) -> tuple[np.ndarray, np.ndarray]:
+        """(index into ``wanted``, group) wherever shared bits differ in at most ``distance`` places, none of them in ``lead``."""
         a, mask = self.levels[0]
         query = np.repeat(np.arange(len(wanted)), len(a))
         node = np.tile(np.arange(len(a)), len(wanted))
@@ -110,8 +131,9 @@ class Tree:
                 query, so_far = np.repeat(query, self.fan), np.repeat(so_far, self.fan)
                 real = node < len(a)
                 query, node, so_far = query[real], node[real], so_far[real]
-            so_far = so_far + np.bitwise_count((wanted[query] ^ a[node]) & mask[node])
-            near = so_far <= distance
+            differ = (wanted[query] ^ a[node]) & mask[node]
+            so_far = so_far + np.bitwise_count(differ)
+            near = (so_far <= distance) & (differ & lead == 0)
             query, node, so_far = query[near], node[near], so_far[near]
         return query, node
 
@@ -128,53 +150,72 @@ def joined_labels(labels: np.ndarray, a: np.ndarray, b: np.ndarray) -> np.ndarra
     return labels
 
 
-def block_links(members: np.ndarray, visitors: np.ndarray, index: Index) -> tuple[np.ndarray, np.ndarray]:
-    """Links (value, representative) that span all within the distance among members, and of visitors to members."""
+def block_links(members: np.ndarray, visitors: np.ndarray, index: Index, lead: np.uint64) -> tuple[np.ndarray, np.ndarray]:
+    """Links (value, representative) that span all within the distance and alike in ``lead``, visitors to members too."""
     members = members[np.argsort(gray_rank(members))]
     tree = Tree(members, members, index.fan)
     every = np.concatenate([members, visitors])
     labels = np.arange(len(every))
     for begin, end in slices(len(every), index.batch):
-        query, found = tree.search(every[begin:end], index.distance)
+        query, found = tree.search(every[begin:end], index.distance, lead)
         labels = joined_labels(labels, query + begin, found)
     linked = np.flatnonzero(labels != np.arange(len(every)))
     return every[linked], every[labels[linked]]
 
 
+class Blocks:
+    """The blocks of one segment in Gray order."""
+
+    def __init__(self, nodes: list, bits: int, index: Index):
+        self.numbers = np.array([n.block for n in nodes], np.int64)
+        ands, ors = (np.array([n[k] for n in nodes], np.int64).view(np.uint64) for k in ("a", "o"))
+        firsts = np.array([n.least for n in nodes], np.int64).view(np.uint64) ^ leading(1)
+        self.firsts, self.lead, self.index = firsts & leading(bits), leading(bits), index
+        self.tree = Tree(ands, ors, index.fan)
+
+    def visits(self, values: np.ndarray, own: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """(position in ``values``, number) of the later blocks in which a value's run goes on and may hold a link."""
+        place = np.searchsorted(self.numbers, own)
+        beyond = np.searchsorted(self.firsts, gray_rank(values) & self.lead, "right")
+        some = np.flatnonzero(beyond > place + 1)
+        query, node = self.tree.search(values[some], self.index.distance, self.lead)
+        later = (node > place[some][query]) & (node < beyond[some][query])
+        return some[query[later]], self.numbers[node[later]]
+
+
 def links(distinct: DataFrame, index: Index = Index()) -> DataFrame:
     """Spanning links (a, b) between values of the long column ``fp``, whose rows are distinct."""
-    spark = distinct.sparkSession
-    n_blocks = max(1, -(-distinct.count() // index.block))
+    spark, segments = distinct.sparkSession, index.segments()
+    n_blocks = max(1, -(-distinct.count() * len(segments) // index.block))
+    turns = F.array(*[F.struct(F.lit(t).alias("turn"), turned(F.col("fp"), by).alias("value")) for t, (by, _) in enumerate(segments)])
+    block = F.spark_partition_id().cast("long") * len(segments) + F.col("turn")
     placed = stored(
-        distinct.select("fp", gray_rank_column(F.col("fp")).alias("rank"))
-        .repartitionByRange(n_blocks, "rank")
-        .select("fp", F.spark_partition_id().alias("block")),
+        distinct.select(F.explode(turns).alias("t"))
+        .select("t.turn", "t.value", gray_rank_column(F.col("t.value")).alias("rank"))
+        .repartitionByRange(n_blocks, "turn", "rank")
+        .select("turn", "value", "rank", block.alias("block")),
         "gray-blocks",
     )
-    nodes = placed.groupBy("block").agg(F.bit_and("fp").alias("a"), F.bit_or("fp").alias("o")).orderBy("block").collect()
-    if not nodes:
-        return spark.createDataFrame([], "a long, b long")
-    blocks = np.array([r.block for r in nodes], np.int32)
-    ands, ors = (np.array([r[k] for r in nodes], np.int64).view(np.uint64) for k in ("a", "o"))
-
-    def visits(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        tree = Tree(ands, ors, index.fan)
+    summed = placed.groupBy("turn", "block").agg(F.bit_and("value").alias("a"), F.bit_or("value").alias("o"), F.min("rank").alias("least"))
+    nodes = sorted(summed.collect(), key=lambda n: n.block)
+
+    def visiting(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        blocks = {t: Blocks(own, bits, index) for t, (_, bits) in enumerate(segments) if (own := [n for n in nodes if n.turn == t])}
         for batch in batches:
-            for begin, end in slices(len(batch), index.batch):
-                own = batch.block.to_numpy()[begin:end]
-                value = batch.fp.to_numpy()[begin:end]
-                query, node = tree.search(value.view(np.uint64), index.distance)
-                later = blocks[node] > own[query]  # a pair meets in the later block of the two
-                yield pd.DataFrame({"fp": value[query[later]], "block": blocks[node[later]]})
-                yield pd.DataFrame({"fp": value, "block": -own - 1})
+            for turn, part in batch.groupby("turn"):
+                for begin, end in slices(len(part), index.batch):
+                    values, own = part.value.to_numpy()[begin:end], part.block.to_numpy()[begin:end]
+                    at, number = blocks[turn].visits(values.view(np.uint64), own)
+                    yield pd.DataFrame({"value": values[at], "block": number})
 
     def found(group: pd.DataFrame) -> pd.DataFrame:
-        value, own = group.fp.to_numpy().view(np.uint64), group.own.to_numpy()
-        a, b = block_links(value[own], value[~own], index)
-        return pd.DataFrame({"a": a.view(np.int64), "b": b.view(np.int64)})
+        by, bits = segments[int(group.block.iloc[0]) % len(segments)]
+        values, own = group.value.to_numpy().view(np.uint64), group.own.to_numpy()
+        a, b = (turned_back(x, by).view(np.int64) for x in block_links(values[own], values[~own], index, leading(bits)))
+        return pd.DataFrame({"a": a, "b": b})
 
-    at = F.when(F.col("block") < 0, -F.col("block") - 1).otherwise(F.col("block"))
-    dealt = placed.mapInPandas(visits, "fp long, block int").select("fp", at.alias("block"), (F.col("block") < 0).alias("own"))
+    visitors = placed.select("turn", "value", "block").mapInPandas(visiting, "value long, block long")
+    dealt = placed.select("value", "block", F.lit(True).alias("own")).union(visitors.select("value", "block", F.lit(False)))
     return dealt.groupBy("block").applyInPandas(found, "a long, b long")
 
 
