@@ -1,8 +1,8 @@
 """Main text of HTML pages by the distribution of text over lines.
 
 Markup is stripped and every block element starts a new line. Lines inside elements that hold no article text by their
-tag or class (menus, headers, footers, notices, adverts, forms, comments) and lines that are mostly links keep their
-place but weigh nothing. The weights are summed over sliding windows of lines; a sum that rises over the surge bound
+tag or class (menus, page headers, footers, notices, adverts, forms, comments) keep their place but weigh nothing, and so do
+lines outside of an article that are mostly links. The weights are summed over sliding windows of lines; a sum that rises over the surge bound
 opens a stretch, a sum that falls to the dive bound closes it, and the text between is kept, short lines included. A page
 whose sums never surge keeps the lines that weigh anything between the first and the last of them.
 
@@ -32,8 +32,10 @@ FRAME = frozenset("nav header footer aside form menu dialog".split())
 MARKS = frozenset(
     "ad ads advert advertisement adverts banner sponsor sponsored promo promotion nav navbar navigation menu breadcrumb breadcrumbs "
     "header footer masthead sidebar aside widget related recommended comment comments disqus replies reply share sharing social "
-    "cookie cookies consent notice newsletter subscribe signup login popup modal pagination pager toolbar legal copyright".split()
+    "cookie cookies consent gdpr notice notices alert disclaimer newsletter subscribe signup login popup modal pagination pager "
+    "toolbar legal copyright".split()
 )
+WHOLE = frozenset("html body article main".split())
 ROLES = frozenset("navigation banner contentinfo complementary search form dialog alert alertdialog menu menubar".split())
 SPACE = re.compile(r"\s+")
 
@@ -56,7 +58,7 @@ class Lines(HTMLParser):
         self.lines: list[tuple[str, int, bool]] = []
         self.open: list[tuple[str, bool, bool]] = []
         self.text: list[str] = []
-        self.linked = self.unseen = self.framed = self.links = 0
+        self.linked = self.unseen = self.framed = self.links = self.articles = 0
 
     def flush(self) -> None:
         line = SPACE.sub(" ", "".join(self.text)).strip()
@@ -74,12 +76,15 @@ class Lines(HTMLParser):
         given = {k: v or "" for k, v in attrs}
         words = re.findall(r"[a-z]+", f"{given.get('class', '')} {given.get('id', '')}".lower())
         framed = tag in FRAME or given.get("role", "").lower() in ROLES or "hidden" in given
-        framed = framed or (tag not in ("html", "body", "article", "main") and any(w in MARKS for w in words))
+        framed = framed or (tag not in WHOLE and any(w in MARKS for w in words))
+        if tag == "header" and self.articles and not given:  # the heading of an article, not of the page
+            framed = False
         unseen = tag in UNSEEN
         self.open.append((tag, framed, unseen))
         self.framed += framed
         self.unseen += unseen
         self.links += tag == "a"
+        self.articles += tag in ("article", "main")
 
     def close_like(self, tag: str) -> None:
         """An element that ends where the next of its kind begins."""
@@ -91,6 +96,7 @@ class Lines(HTMLParser):
         self.framed -= framed
         self.unseen -= unseen
         self.links -= tag == "a"
+        self.articles -= tag in ("article", "main")
 
     def handle_startendtag(self, tag, attrs):
         self.handle_starttag(tag, attrs)
@@ -108,7 +114,7 @@ class Lines(HTMLParser):
     def handle_data(self, data):
         if not self.unseen:
             self.text.append(data)
-            if self.links:
+            if self.links and not self.articles:
                 self.linked += len(data.strip())
 
 

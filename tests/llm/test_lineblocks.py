@@ -21,6 +21,8 @@ PAGE = (
         ("<article><p>one</p><div class='cookie-notice'>We use</div><p>two</p></article>", "one\ntwo"),
         ("<div class='post'><p>&eacute; &#233; &#x1F600; &amp;lt;</p></div>", "é é \U0001f600 &lt;"),
         ("<article><table><tr><td>c1</td><td>c2</td></tr></table></article>", "c1\nc2"),
+        ("<article><header><h1>Title</h1></header><p><a href=/x>a link</a></p></article>", "Title\na link"),
+        ("<p>text here</p><ul><li><a href=/x>one</a></li><li><a href=/y>two</a></li></ul>", "text here"),
         ("", ""),
     ],
 )
