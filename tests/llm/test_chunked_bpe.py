@@ -88,3 +88,11 @@ def test_on_tables(spark, documents, texts, nothing, clashing):
 def test_special_tokens_are_recognised(path):
     assert USUAL.encode("a<|endoftext|>b").tolist() == library("a<|endoftext|>b")
     assert 50256 in USUAL.encode("x <|endoftext|>").tolist()
+
+
+def test_characters_of_every_plane():
+    """Both libraries see the same letters, digits, spaces and marks."""
+    for code in [*range(0x500), *range(0x500, 0x30000, 7), *range(0xE0000, 0xE0200)]:
+        if not 0xD800 <= code < 0xE000:
+            text = f"a{chr(code)}b1{chr(code)}2 {chr(code)}{chr(code)} .{chr(code)}. {chr(code)}'s"
+            assert USUAL.fast.encode_ordinary(text) == library(text), hex(code)
