@@ -2,7 +2,11 @@
 
 from __future__ import annotations
 
+import sys
+import uuid
+from collections import OrderedDict
 from collections.abc import Callable, Iterable, Iterator
+from types import ModuleType
 
 import pandas as pd
 from pyspark.sql import Column, DataFrame
@@ -31,17 +35,33 @@ def col(name: str) -> Column:
     return F.col(f"`{name.replace('`', '``')}`")
 
 
+def kept_in_process(key: object, make: Callable[[], object], most: int = 4) -> object:
+    """What ``make`` gives, made once in a Python worker and kept for its later tasks; the latest few are kept.
+
+    Functions travel by value, so a variable of this module would start empty in every task.
+    """
+    place = sys.modules.setdefault("kept_in_this_process", ModuleType("kept_in_this_process"))
+    held = vars(place).setdefault("held", OrderedDict())
+    if key not in held:
+        held[key] = make()
+    held.move_to_end(key)
+    while len(held) > most:
+        held.popitem(last=False)
+    return held[key]
+
+
 def per_text(make: Callable[[], Callable[[str], object]], schema: str):
-    """An Arrow-fed function of a text column; ``make`` runs once a task, a null text counts as empty.
+    """An Arrow-fed function of a text column; ``make`` runs once a worker, a null text counts as empty.
 
     A schema of named fields takes tuples, that of one type plain values.
     """
+    key = uuid.uuid4().hex
     if " " in schema:
         names = [field.split()[0] for field in schema.split(", ")]
 
         @F.pandas_udf(schema)
         def apply(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
-            one = make()
+            one = kept_in_process(key, make)
             for texts in batches:
                 yield pd.DataFrame([one(text if isinstance(text, str) else "") for text in texts], columns=names)
 
@@ -49,7 +69,7 @@ def per_text(make: Callable[[], Callable[[str], object]], schema: str):
 
         @F.pandas_udf(schema)
         def apply(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
-            one = make()
+            one = kept_in_process(key, make)
             for texts in batches:
                 out = [one(text if isinstance(text, str) else "") for text in texts]
                 yield pd.Series(out) if out else pd.Series([], dtype=object)
