@@ -21,6 +21,7 @@ from __future__ import annotations
 
 from collections.abc import Iterator
 from dataclasses import dataclass
+from itertools import chain
 from zlib import crc32
 
 import numpy as np
@@ -28,7 +29,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from caremeld.llm.shared import col, slices, stored
+from caremeld.llm.shared import col, kept_in_process, slices, stored
 
 MARK = "▁"
 UPPER_TO_LOWER = bytes(c + 32 if 65 <= c <= 90 else c for c in range(256))
@@ -68,6 +69,8 @@ class Pieces:
                 self.ids[piece] = i
         self.end, self.size = model.eos_id(), n
         self.longest = max(map(len, self.ids), default=1)
+        # every ending of a piece, with the piece if it is one itself: no longer ending is looked for after a miss
+        self.endings = {p[-k:]: -1 for p in self.ids for k in range(1, len(p) + 1)} | self.ids
         self.singles = {p for p in self.ids if len(p) == 1}
         used = np.array(sorted([*self.ids.values(), *self.bytes.tolist(), self.end]))
         rank = np.zeros(n)
@@ -87,27 +90,38 @@ class Lattice:
             self.log = np.append(np.log(probabilities), -np.inf)  # the last stands for no piece
         self.pieces, self.none = pieces, len(probabilities)
 
-    def edges(self, word: str) -> tuple[list[int], list[tuple[int, int]]]:
-        """For every place and length the piece that ends there, flat, and (place, character) of spelled characters."""
-        ids, longest, none = self.pieces.ids, self.pieces.longest, self.none
-        flat, spelled = [], []
-        for end in range(1, len(word) + 1):
-            most = min(longest, end)
-            flat += [ids.get(word[end - k : end], none) for k in range(1, most + 1)]
-            flat += [none] * (longest - most)
-            if word[end - 1] not in self.pieces.singles:
-                spelled.append((end, ord(word[end - 1])))
-        return flat, spelled
+    def edges(self, word: str) -> list[int]:
+        """(begin * (characters + 1) + end) * (pieces + 1) + piece for every piece in the word."""
+        get, steps, size, out = self.pieces.endings.get, len(word) + 1, self.none + 1, []
+        add = out.append
+        for end in range(1, steps):
+            for begin in range(end - 1, -1, -1):
+                piece = get(word[begin:end])
+                if piece is None:
+                    break
+                if piece >= 0:
+                    add((begin * steps + end) * size + piece)
+        return out
+
+    def spelled(self, word: str) -> list[tuple[int, int]]:
+        """(end, character) of the characters without a piece of their own."""
+        singles = self.pieces.singles
+        return [] if singles.issuperset(word) else [(end, ord(c)) for end, c in enumerate(word, 1) if c not in singles]
 
     def run(self, words: list[str], weights: np.ndarray | None = None) -> tuple[np.ndarray, np.ndarray]:
         """Log probabilities of words of equal length, and with ``weights`` the expected counts of pieces."""
-        n, length, longest = len(words), len(words[0]), self.pieces.longest
+        n, length = len(words), len(words[0])
         found = [self.edges(word) for word in words]
-        ids = np.array([f for f, _ in found], np.int32).reshape(n, length, longest)
+        sizes = np.fromiter(map(len, found), np.int64, n)
+        place, piece = np.divmod(np.fromiter(chain.from_iterable(found), np.int64, sizes.sum()), self.none + 1)
+        begin, end = np.divmod(place, length + 1)
+        longest = int((end - begin).max(initial=1))
+        ids = np.full((n, length, longest), self.none, np.int32)
+        ids[np.repeat(np.arange(n), sizes), end - 1, end - begin - 1] = piece
         scores = self.log[ids]
         byte_use = []
-        for row, (_, spelled) in enumerate(found):
-            for end, code in spelled:
+        for row, word in enumerate(words):
+            for end, code in self.spelled(word):
                 used = self.pieces.bytes[list(chr(code).encode("utf-8"))]
                 scores[row, end - 1, 0] = self.log[used].sum()
                 byte_use.append((row, end, used))
@@ -208,7 +222,7 @@ def learned(counts: DataFrame, n_ends: int, model: Model) -> np.ndarray:
         now = probabilities
 
         def expected(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-            own = Pieces(model.path)
+            own = kept_in_process(("pieces", model.path), lambda: Pieces(model.path))
             lattice, total = Lattice(own, now), np.zeros(own.size)
             for batch in batches:
                 words, weights = [MARK + w for w in batch.word], batch.c.to_numpy(np.float64)
@@ -241,7 +255,7 @@ def scored(documents: DataFrame, model: Model, id: str = "doc_id", text: str = "
     end_base = float(np.log10(ends + 0.1) - below)
 
     def marginals(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        lattice = Lattice(Pieces(model.path), probabilities)
+        lattice = Lattice(kept_in_process(("pieces", model.path), lambda: Pieces(model.path)), probabilities)
         for batch in batches:
             marked = [MARK + w for w in batch.word]
             out = np.zeros(len(marked))
