@@ -3,16 +3,18 @@
 An item is a set of word shingles. Items are partitioned by size; for a partition of items of at most ``u`` shingles, a document
 of any length is seen as windows of ``2u`` shingles that overlap by half, so an occurrence is never small against what it is
 compared with, and a fixed number of hashes finds it. Window signatures are minima over aligned blocks, which the larger
-partitions reuse. A window that shares any minimum with an item makes the item a candidate; a candidate counts only if the
+partitions reuse. Items of fewer than half the smallest partition's shingles would be small against any window: they are
+looked up by so many of their shingle hashes that a document that reaches the threshold holds one of them. A window that shares any minimum with an item makes the item a candidate; a candidate counts only if the
 share of the item's shingles that the *whole* document holds, compared as words, reaches the threshold.
 
 With 64 hashes an occurrence in one piece that just reaches 0.8 is missed with a probability of about 1e-6 (share of
-shingles in the window 0.19 at least), a complete one with 1e-7. Shingles of an item that lie scattered
+shingles in the window 0.19 at least), a complete one with 1e-7; items that are looked up are not missed. Shingles of an item that lie scattered
 over a long document may stay unseen; passages copied from a benchmark are in one piece.
 
 Words are runs of ASCII letters, digits and all non-ASCII characters, A-Z lower-cased. An item of fewer words than a shingle
 is one shingle of its own length; an item without words is never found. Null and empty texts hold nothing. Repeated
-documents and items give repeated rows. The items are read in passes of bounded size, each against all documents.
+documents and items give repeated rows. The items are read in passes of bounded size. With several, each is collected,
+scanned with and its result written before the next is read, so the driver and a worker hold the items of one pass.
 """
 
 from __future__ import annotations
@@ -35,7 +37,8 @@ SEPARATORS = bytes(
 
 @dataclass(frozen=True)
 class Search:
-    """``items``/``item_bytes``: what one pass holds of the items; ``smallest``: shingles of the smallest partition."""
+    """``items``/``item_bytes``: what one pass holds of the items; ``smallest``: shingles of the smallest partition,
+    whose items have half of that at least; smaller ones are looked up."""
 
     words: int = 5
     threshold: float = 0.8
@@ -85,6 +88,27 @@ class Hashes:
         return np.concatenate(parts) if parts else np.empty((0, len(self.flip)), np.uint64)
 
 
+def indexed(rows: list[tuple[np.ndarray, int]]) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.uint64]:
+    """The values of all rows in order, the row's number for each, and a table of their leading bits with its shift."""
+    values = np.concatenate([v for v, _ in rows])
+    owner = np.repeat([i for _, i in rows], [len(v) for v, _ in rows])
+    order = np.argsort(values, kind="stable")
+    bits = max(16, int(values.size * 64).bit_length())
+    seen = np.zeros(1 << bits, bool)
+    seen[values >> np.uint64(64 - bits)] = True
+    return values[order], owner[order], seen, np.uint64(64 - bits)
+
+
+def owners(wanted: np.ndarray, values: np.ndarray, owner: np.ndarray, seen: np.ndarray, shift: np.uint64) -> set[int]:
+    """The numbers of the rows that have any of the wanted values."""
+    wanted = wanted[seen[wanted >> shift]]
+    low, high = np.searchsorted(values, wanted, "left"), np.searchsorted(values, wanted, "right")
+    found: set[int] = set()
+    for a, b in {(a, b) for a, b in zip(low.tolist(), high.tolist()) if a < b}:
+        found.update(owner[a:b].tolist())
+    return found
+
+
 class Items:
     """One pass of items: their shingles, and their minima by partition of size."""
 
@@ -92,43 +116,40 @@ class Items:
         self.search, self.hashes = search, Hashes(search.hashes)
         self.ids, self.shingles, self.lengths = [], [], []
         parts: dict[tuple[int, int], list[tuple[np.ndarray, int]]] = defaultdict(list)
+        looked_up: dict[int, list[tuple[np.ndarray, int]]] = defaultdict(list)
         for item_id, text in rows:
             words = words_of(text or "")
             if not words:
                 continue
             length = min(search.words, len(words))
             shingles = shingles_of(words, length)
-            size = search.smallest
-            while size < len(shingles):
-                size *= 2
-            signature = self.hashes.minima(shingle_hashes(words, length), 1_024)
-            parts[length, size].append((signature.min(axis=0), len(self.ids)))
+            hashed = shingle_hashes(words, length)
+            if 2 * len(shingles) < search.smallest:
+                wanted = next(m for m in range(1, len(shingles) + 1) if m / len(shingles) >= search.threshold or m == len(shingles))
+                looked_up[length].append((np.unique(hashed)[: len(shingles) - wanted + 1], len(self.ids)))
+            else:
+                size = search.smallest
+                while size < len(shingles):
+                    size *= 2
+                parts[length, size].append((self.hashes.minima(hashed, 1_024).min(axis=0), len(self.ids)))
             self.ids.append(item_id)
             self.shingles.append(shingles)
             self.lengths.append(length)
-        self.parts = {}
+        self.parts: dict[int, dict[int, tuple]] = {}
         for (length, size), signed in parts.items():
-            values = np.concatenate([s for s, _ in signed])
-            owner = np.repeat([i for _, i in signed], search.hashes)
-            order = np.argsort(values, kind="stable")
-            bits = max(16, int(values.size * 64).bit_length())
-            seen = np.zeros(1 << bits, bool)
-            seen[values >> np.uint64(64 - bits)] = True
-            self.parts.setdefault(length, {})[size] = (values[order], owner[order], seen, np.uint64(64 - bits))
+            self.parts.setdefault(length, {})[size] = indexed(signed)
+        self.looked_up = {length: indexed(hashed) for length, hashed in looked_up.items()}
 
     def candidates(self, words: list[bytes]) -> set[int]:
         found: set[int] = set()
-        for length, by_size in self.parts.items():
-            size = self.search.smallest
-            blocks = self.hashes.minima(shingle_hashes(words, length), size)
+        for length in self.parts.keys() | self.looked_up.keys():
+            hashed, by_size, size = shingle_hashes(words, length), self.parts.get(length), self.search.smallest
+            if length in self.looked_up:
+                found |= owners(hashed, *self.looked_up[length])
+            blocks = self.hashes.minima(hashed, size) if by_size else ()
             while len(blocks):
                 if size in by_size:
-                    values, owner, seen, shift = by_size[size]
-                    windows = np.minimum(blocks[:-1], blocks[1:]) if len(blocks) > 1 else blocks
-                    windows = windows[seen[windows >> shift]]
-                    low, high = np.searchsorted(values, windows, "left"), np.searchsorted(values, windows, "right")
-                    for a, b in {(a, b) for a, b in zip(low.tolist(), high.tolist()) if a < b}:
-                        found.update(owner[a:b].tolist())
+                    found |= owners(np.minimum(blocks[:-1], blocks[1:]) if len(blocks) > 1 else blocks, *by_size[size])
                 if size >= max(by_size):
                     break
                 blocks = np.minimum.reduceat(blocks, np.arange(0, len(blocks), 2), axis=0)

@@ -83,3 +83,22 @@ def test_windows_hold_every_occurrence():
     assert small.shape == (63, 8)
     direct = hashes.minima(values, 32)
     assert (np.minimum.reduceat(small, np.arange(0, 63, 2), axis=0) == direct).all()
+
+
+def test_small_items_in_long_documents():
+    """Thousands of items of 1 to 12 words, whole and with a changed end, against brute force."""
+    rng = random.Random(12)
+    word = lambda letters, n: "".join(rng.choice(letters) for _ in range(n))
+    rows = [(i, " ".join(word("abcdefgh", 12) for _ in range(1 + i % 12))) for i in range(3_000)]
+    search = D.Items(rows, D.Search())
+    missed = []
+    for start in range(0, len(rows), 50):
+        parts = [word("ijkl", 3) for _ in range(2_000)]
+        for i, item in rows[start : start + 50]:
+            item = item.split()
+            at = rng.choice([0, len(parts), rng.randrange(len(parts))])
+            parts[at:at] = item[:-1] + ["other"] if i % 5 == 0 else item
+        text = " ".join(parts)
+        found = sorted(((0, i, round(share, 9)) for i, share in search.contained(text)), key=str)
+        missed += set(brute([(0, text)], rows[start : start + 50])) ^ set(found)
+    assert missed == []
