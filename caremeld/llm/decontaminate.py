@@ -20,7 +20,6 @@ scanned with and its result written before the next is read, so the driver and a
 from __future__ import annotations
 
 from collections import defaultdict
-from collections.abc import Iterator
 from dataclasses import dataclass
 from functools import reduce
 
@@ -28,7 +27,7 @@ import numpy as np
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from caremeld.llm.shared import col, free_name, per_text, slices
+from caremeld.llm.shared import col, free_name, per_text, slices, stored
 
 SEPARATORS = bytes(
     c if c >= 128 or chr(c).isalnum() and not 65 <= c <= 90 else c + 32 if 65 <= c <= 90 else 32 for c in range(256)
@@ -171,31 +170,45 @@ class Items:
         return out
 
 
-def passes(items: DataFrame, id: str, text: str, search: Search) -> Iterator[list[tuple[int, str]]]:
-    """The items in lists of about ``search.items`` rows and ``search.item_bytes`` bytes, dealt by hash."""
+def passes(items: DataFrame, id: str, text: str, search: Search) -> list[DataFrame]:
+    """The items (id, text) in tables of about ``search.items`` rows and ``search.item_bytes`` bytes, dealt by hash."""
     size = items.agg(F.count(F.lit(1)).alias("n"), F.sum(F.octet_length(col(text))).alias("bytes")).first()
     n = max(-(-size.n // search.items), -(-(size.bytes or 0) // search.item_bytes), 1)
     place = F.pmod(F.xxhash64(col(id), col(text)), F.lit(n))
-    for i in range(n):
-        yield [(r[0], r[1]) for r in items.where(place == i).select(col(id), col(text)).collect()]
+    return [items.where(place == i).select(col(id), col(text)) for i in range(n)]
 
 
-def matches(documents: DataFrame, items: DataFrame, text: str = "text", item_id: str = "item_id", item_text: str = "text", search: Search = Search()) -> Column:
-    """For each text the array of (item_id, containment) that reach the threshold."""
-
-    def one_pass(rows: list[tuple[int, str]]) -> Column:
-        return per_text(lambda: Items(rows, search).contained, "array<struct<item_id:long,containment:double>>")(col(text))
-
-    return reduce(F.concat, [one_pass(rows) for rows in passes(items, item_id, item_text, search)])
+def held_by(text: str, one_pass: DataFrame, search: Search) -> Column:
+    """For each text the array of (item_id, containment) that reach the threshold, of one pass of items."""
+    rows = [(r[0], r[1]) for r in one_pass.collect()]
+    make = lambda: Items(rows, search).contained
+    return per_text(make, "array<struct<item_id:long,containment:double>>", only="items of a pass")(col(text))
 
 
 def leaks(documents: DataFrame, items: DataFrame, id: str = "doc_id", search: Search = Search()) -> DataFrame:
     """A row (doc_id, item_id, containment) for every item that a document contains."""
-    found = documents.select(col(id).alias("doc_id"), matches(documents, items, search=search).alias("found"))
-    return found.select("doc_id", F.explode("found").alias("one")).select("doc_id", "one.*")
+
+    def of(one_pass: DataFrame) -> DataFrame:
+        found = documents.select(col(id).alias("doc_id"), held_by("text", one_pass, search).alias("found"))
+        return found.select("doc_id", F.explode("found").alias("one")).select("doc_id", "one.*")
+
+    parts = passes(items, "item_id", "text", search)
+    return of(parts[0]) if len(parts) == 1 else reduce(DataFrame.unionAll, [stored(of(part), "leaks-of-a-pass") for part in parts])
 
 
 def without_leaks(documents: DataFrame, items: DataFrame, search: Search = Search()) -> DataFrame:
-    """The documents that contain no item, with all their columns."""
-    found = free_name(documents, "found")
-    return documents.withColumn(found, matches(documents, items, search=search)).where(F.size(F.col(found)) == 0).drop(found)
+    """The documents that contain no item, with all their columns.
+
+    With several passes the documents are written once with a mark, and each pass writes the marks of those it drops.
+    """
+    parts = passes(items, "item_id", "text", search)
+    if len(parts) == 1:
+        found = free_name(documents, "found")
+        return documents.withColumn(found, held_by("text", parts[0], search)).where(F.size(F.col(found)) == 0).drop(found)
+    mark = free_name(documents, "mark")
+    marked = stored(documents.withColumn(mark, F.monotonically_increasing_id()), "marked-documents")
+    dropped = [
+        stored(marked.select(mark, held_by("text", part, search).alias("found")).where(F.size("found") > 0).select(mark), "marks-of-a-pass")
+        for part in parts
+    ]
+    return marked.join(reduce(DataFrame.unionAll, dropped), mark, "left_anti").drop(mark)

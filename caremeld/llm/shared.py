@@ -35,14 +35,18 @@ def col(name: str) -> Column:
     return F.col(f"`{name.replace('`', '``')}`")
 
 
-def kept_in_process(key: object, make: Callable[[], object], most: int = 4) -> object:
+def kept_in_process(key: object, make: Callable[[], object], most: int = 4, only: str = "") -> object:
     """What ``make`` gives, made once in a Python worker and kept for its later tasks; the latest few are kept.
 
+    With ``only``, keys are tuples that begin with it, and what others of that beginning hold is let go first.
+
     Functions travel by value, so a variable of this module would start empty in every task.
     """
     place = sys.modules.setdefault("kept_in_this_process", ModuleType("kept_in_this_process"))
     held = vars(place).setdefault("held", OrderedDict())
     if key not in held:
+        for other in [k for k in held if only and k[0] == only]:
+            del held[other]
         held[key] = make()
     held.move_to_end(key)
     while len(held) > most:
@@ -50,18 +54,19 @@ def kept_in_process(key: object, make: Callable[[], object], most: int = 4) -> o
     return held[key]
 
 
-def per_text(make: Callable[[], Callable[[str], object]], schema: str):
+def per_text(make: Callable[[], Callable[[str], object]], schema: str, only: str = ""):
     """An Arrow-fed function of a text column; ``make`` runs once a worker, a null text counts as empty.
 
-    A schema of named fields takes tuples, that of one type plain values.
+    A schema of named fields takes tuples, that of one type plain values. Of what is made for the same ``only``, a worker
+    holds the latest alone.
     """
-    key = uuid.uuid4().hex
+    key = (only, uuid.uuid4().hex)
     if " " in schema:
         names = [field.split()[0] for field in schema.split(", ")]
 
         @F.pandas_udf(schema)
         def apply(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
-            one = kept_in_process(key, make)
+            one = kept_in_process(key, make, only=only)
             for texts in batches:
                 yield pd.DataFrame([one(text if isinstance(text, str) else "") for text in texts], columns=names)
 
@@ -69,7 +74,7 @@ def per_text(make: Callable[[], Callable[[str], object]], schema: str):
 
         @F.pandas_udf(schema)
         def apply(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
-            one = kept_in_process(key, make)
+            one = kept_in_process(key, make, only=only)
             for texts in batches:
                 out = [one(text if isinstance(text, str) else "") for text in texts]
                 yield pd.Series(out) if out else pd.Series([], dtype=object)

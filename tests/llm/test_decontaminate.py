@@ -102,3 +102,31 @@ def test_small_items_in_long_documents():
         found = sorted(((0, i, round(share, 9)) for i, share in search.contained(text)), key=str)
         missed += set(brute([(0, text)], rows[start : start + 50])) ^ set(found)
     assert missed == []
+
+
+def test_one_pass_at_a_time(spark, leaking, items, monkeypatch):
+    """Every pass is written before the next one's items are collected."""
+    docs = spark.createDataFrame(leaking, "doc_id long, text string").repartition(2)
+    table = spark.createDataFrame(items, "item_id long, text string")
+    steps = []
+
+    def collected(frame, collect=type(table).collect):
+        steps.extend(["collect"] if "item_id" in frame.columns else [])
+        return collect(frame)
+
+    def written(df, label, stored=D.stored):
+        steps.append(label)
+        return stored(df, label)
+
+    whole = sorted(map(str, D.leaks(docs, table).collect()))
+    monkeypatch.setattr(type(table), "collect", collected)
+    monkeypatch.setattr(D, "stored", written)
+    search = D.Search(items=12)
+    found = D.leaks(docs, table, search=search)
+    assert steps == ["collect", "leaks-of-a-pass"] * 3
+    steps.clear()
+    kept = D.without_leaks(docs, table, search)
+    assert steps == ["marked-documents", *["collect", "marks-of-a-pass"] * 3]
+    monkeypatch.undo()
+    assert sorted(map(str, found.collect())) == whole
+    assert sorted(map(str, kept.collect())) == sorted(map(str, D.without_leaks(docs, table).collect()))
