@@ -47,3 +47,32 @@ def test_broken_markup_and_edges(spark):
     assert got["<p>open <b>never <i>closed"] == "open never closed"
     assert len(got[odd[7]]) == 99_999
     assert pages.limit(0).select(B.extracted(F.col("html")).alias("t")).count() == 0
+
+
+TEXT = [f"Paragraph {i} of the text, " + "with some more words in it " * 8 + "." for i in range(5)]
+PARAGRAPHS = "".join(f"<p>{t}</p>" for t in TEXT)
+
+
+def test_windows_decide_on_unmarked_pages():
+    menu = "".join(f"<div>{w}</div>" for w in "Home News Sports Weather About Contact".split())
+    foot = "<p>All rights reserved</p><p>Terms</p><p>Privacy</p><p>Top</p>"
+    page = f"<body>{menu}<p>Heading</p>{PARAGRAPHS}{foot}</body>"
+    kept = B.main_text(page).split("\n")
+    assert kept == ["Contact", "Heading", *TEXT]  # one line before the heading is the stated limit
+    assert B.main_text(page, B.Windows(lines=1)).split("\n") == TEXT
+    assert "Home" in B.main_text(page, B.Windows(surge=10)) and "Top" in B.main_text(page, B.Windows(dive=0))
+    assert B.main_text(page, B.Windows(surge=100_000)).startswith("Home\nNews")
+
+
+@pytest.mark.parametrize("wrapper", ["div class='content no-sidebar'", "section class='legal-analysis'", "form", "div id=with-comments"])
+def test_text_in_a_marked_wrapper_is_rescued(wrapper):
+    page = f"<body><div>Home</div><nav>Menu</nav><{wrapper}>{PARAGRAPHS}</{wrapper.split()[0]}><footer>f</footer></body>"
+    assert B.main_text(page).split("\n") == TEXT
+    short = page.replace(PARAGRAPHS, f"<p>{TEXT[0]}</p>")
+    assert B.main_text(short) == TEXT[0]
+
+
+def test_marked_text_beside_the_text_is_not():
+    for tag in ("div", "article"):
+        page = f"<body><{tag}>{PARAGRAPHS}</{tag}><div class=comments>{PARAGRAPHS.replace('Paragraph', 'Reply')}</div></body>"
+        assert B.main_text(page).split("\n") == TEXT
