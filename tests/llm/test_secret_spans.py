@@ -81,3 +81,22 @@ def test_redaction_and_edges(spark, clashing, nothing):
 def test_native(spark, documents):
     plan = S.secret_spans(documents)._jdf.queryExecution().executedPlan().toString()
     assert not re.search("Python|Pandas|Arrow", plan)
+
+
+def test_narrow_alphabets(spark):
+    """Random runs of narrow encodings are told from names and paths in the same letters."""
+    rng = random.Random(7)
+    upper, digits = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "0123456789"
+    alphabets = {"hex": digits + "ABCDEF", "base 32": upper + "234567", "lower": digits + upper.lower()}
+    keys = [(f"{k}", "".join(rng.choice(a) for _ in range(40))) for k, a in alphabets.items() for _ in range(100)]
+    words = "get user name from database order item price update select".split()
+    makers = {
+        "camel": lambda w: w.title(), "numbered": lambda w: f"{w.upper()}_{rng.randint(1, 99)}_", "path": lambda w: f"/{w}/20{rng.randint(10, 26)}/{rng.randint(1, 12):02d}",
+        "barcode": lambda w: f"TCGA-{rng.choice(upper)}{rng.randint(1, 9)}-{rng.choice(upper)}0{rng.choice(upper)}{rng.randint(1, 9)}-01A-",
+    }
+    writing = [(k, "".join(make(rng.choice(words)) for _ in range(9))[:40]) for k, make in makers.items() for _ in range(100)]
+    docs = spark.createDataFrame(keys + writing, "kind string, text string")
+    random_run = F.exists("spans", lambda s: s["kind"] == "random")
+    hits = {r.kind: r.n for r in S.secret_spans(docs).where(random_run).groupBy("kind").agg(F.count("*").alias("n")).collect()}
+    assert hits.get("hex", 0) > 85 and hits.get("lower", 0) > 85 and hits.get("base 32", 0) > 50
+    assert sum(hits.get(k, 0) for k in makers) <= 4
