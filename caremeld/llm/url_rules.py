@@ -52,7 +52,35 @@ def word_rule(words: str, verdict: str = BLOCK) -> Rule:
     return Rule(words, verdict, pattern, tuple(TOKEN.findall(words)))
 
 
-# The host rules of the contract and hosts known for spam, gambling, adult matter and advertising.
+def label_rule(word: str) -> Rule:
+    """Fits urls whose host has the word as a whole part between dots or hyphens."""
+    pattern = rf"{TO_HOST}(?:[^/?#]*[.\-])?{re.escape(word)}(?:[.\-][^/?#]*)?(?:[/?#]|\Z)"
+    return Rule(f"host {word}", BLOCK, pattern, (word,))
+
+
+def path_rule(words: str) -> Rule:
+    """Fits urls whose path has the words as one whole folder."""
+    pattern = rf"{TO_HOST}[^/?#]*/(?:[^?#]*/)?(?i:{re.escape(words)})/"
+    return Rule(f"path {words}", BLOCK, pattern, tuple(TOKEN.findall(words)))
+
+
+#: Words by category that stand alone in host names of such sites, and folders that advertising is served from, in the
+#: manner of public filter lists. A list can't be complete; words with a common innocent use are left out.
+HOST_WORDS = {
+    "advertising": "ads adserver adservers adservice adclick adtrack adtracker adnetwork adsystem banners doubleclick popunder clickbank",
+    "gambling": "casino casinos poker roulette blackjack slots jackpot sportsbook bookmaker bookmakers betting gambling freebets",
+    "adult": "xxx porn porno adult nsfw escorts hentai camgirls webcamsex",
+    "spam": "viagra cialis levitra payday linkfarm spamfarm replicawatches pillstore cheappills",
+}
+PATH_WORDS = {
+    "advertising": "ads adserver adserve adclick adframe adbanner ad-banner banner-ads popunder popups doubleclick sponsored-links",
+    "gambling": "online-casino casino-bonus free-bets free-spins online-poker sports-betting",
+    "adult": "porn porno xxx hentai nsfw adult-videos",
+    "spam": "buy-viagra buy-cialis cheap-pills payday-loans replica-watches",
+}
+
+# The host rules of the contract, and the pattern rules: pairs of words that the query's SQL names, then the
+# general ones.
 HOST_RULES = (
     host_rule("net/", BLOCK),
     host_rule("example.net/en/", ALLOW),
@@ -61,6 +89,8 @@ HOST_RULES = (
 )
 PATTERN_RULES = tuple(
     word_rule(words) for words in ("ads-track", "adult-x", "casino-win", "cheap-pills", "free-bets", "spam-farm")
+) + tuple(
+    make(word) for make, lists in ((label_rule, HOST_WORDS), (path_rule, PATH_WORDS)) for words in lists.values() for word in words.split()
 )
 
 

@@ -55,3 +55,20 @@ def test_index_fetches_every_rule_that_fits():
         assert fits <= set(index.candidates(url))
         fetched.append(len(index.candidates(url)))
     assert sum(fetched) / len(fetched) < len(rules) / 2
+
+
+def test_general_patterns_on_other_urls():
+    """Urls that are not in the given tables, by category, and clean ones."""
+    index = U.RuleIndex(U.HOST_RULES + U.PATTERN_RULES)
+    bad = [
+        "http://adserver.example.com/x", "https://ads.site.com/", "http://site.com/banner-ads/1", "http://casino-royal.example.com/",
+        "https://online.poker.site.com", "http://site.com/a/free-spins/b", "http://adult-y.example.com/", "http://www.site.xxx/",
+        "http://cheap-viagra.site.com/", "http://site.com/payday-loans/?x", "http://site.com/ADS/x",
+    ]
+    clean = [
+        "http://loads.example.com/", "http://essex.example.com/sextet/", "http://site.com/adsorption/", "http://site.com/news?p=/ads/", "http://site.com/a#/porn/",
+        "http://pokers-guide.example.com/", "http://site.com/wiki/casino", "http://threads.com/en/1", "http://anti-spam.com/", "http://site.com/ads",
+    ]
+    assert [u for u in bad if index.judge(u)[1] != U.BLOCK] == []
+    assert [u for u in clean if index.judge(u)[1] != U.ALLOW] == []
+    assert max(len(index.candidates(u)) for u in bad + clean) <= 12 < len(index.rules) / 5
