@@ -18,6 +18,7 @@ from __future__ import annotations
 
 import hashlib
 import json
+import re
 from collections import OrderedDict
 from collections.abc import Callable
 from dataclasses import dataclass
@@ -31,16 +32,18 @@ from caremeld.llm.shared import col, free_name, per_text
 # The pattern that byte-level vocabularies of this family split text with.
 PATTERN = r"""'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"""
 
+#: The splitting pattern takes a run of white space as one piece, but for its last character if anything follows. Wide runs are
+#: cut out there, as the pattern's engine needs stack for each of their characters.
+WIDE = re.compile("[\t-\r \x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000]{256,}")
+
 
 @dataclass(frozen=True)
 class Chunking:
-    """``mean``: a power of two, the mean distance of cuts in bytes; ``cached_bytes``: what a task keeps of chunks;
-    ``longest``: a stretch without any boundary of more characters goes to the slower library, which has no stack limit."""
+    """``mean``: a power of two, the mean distance of cuts in bytes; ``cached_bytes``: what a task keeps of chunks."""
 
     mean: int = 256
     window: int = 32
     cached_bytes: int = 64 << 20
-    longest: int = 50_000
     slab: int = 1 << 20
 
 
@@ -85,7 +88,6 @@ class Codec:
 
     def __init__(self, path: str, chunking: Chunking = Chunking()):
         import tiktoken
-        from tokenizers import Tokenizer
 
         with open(path, encoding="utf-8") as file:
             described = json.load(file)
@@ -94,24 +96,24 @@ class Codec:
         byte = {chr(b): b for b in kept} | {chr(256 + i): b for i, b in enumerate(moved)}
         special = {t["content"]: t["id"] for t in described["added_tokens"]}
         ranks = {bytes(byte[c] for c in t): i for t, i in described["model"]["vocab"].items() if t not in special}
-        self.special = [s.encode() for s in special]
+        self.special = tuple(special)
         self.fast = tiktoken.Encoding("chunks", pat_str=PATTERN, mergeable_ranks=ranks, special_tokens=special)
-        self.whole = Tokenizer.from_file(path)
-        self.whole.no_truncation()
-        self.whole.no_padding()
         self.chunking = chunking
         self.chunks: OrderedDict[bytes, tuple] = OrderedDict()
         self.held = 0
         self.encoded_chunks = self.reused_chunks = self.repairs = 0
 
-    def plain(self, data: bytes) -> list[int]:
+    def plain(self, data: bytes) -> np.ndarray:
         """The ids of a stretch as it stands."""
-        text = data.decode("utf-8")
-        if len(text) > self.chunking.longest:
-            return self.whole.encode(text, add_special_tokens=False).ids
-        if any(s in data for s in self.special):
-            return self.fast.encode(text, allowed_special="all", disallowed_special=())
-        return self.fast.encode_ordinary(text)
+        text, at, parts = data.decode("utf-8"), 0, []
+        for run in WIDE.finditer(text):
+            ends = run.end() == len(text) or text.startswith(self.special, run.end())
+            stop = run.end() - (not ends)
+            parts.append(self.fast.encode_to_numpy(text[at : run.start()], allowed_special="all"))
+            parts.append(np.array(self.fast._encode_single_piece(text[run.start() : stop]), np.uint32))
+            at = stop
+        parts.append(self.fast.encode_to_numpy(text[at:], allowed_special="all"))
+        return np.concatenate(parts) if len(parts) > 1 else parts[0]
 
     def chunk(self, data: bytes) -> tuple | None:
         """(first boundary, last boundary, ids between them), or None if the chunk has no boundary."""
@@ -121,7 +123,7 @@ class Codec:
             return self.chunks[data]
         self.encoded_chunks += 1
         ends = boundaries(data)
-        entry = ends and (*ends, np.array(self.plain(data[ends[0] : ends[1]]), np.uint32))
+        entry = ends and (*ends, self.plain(data[ends[0] : ends[1]]))
         cost = len(data) + (entry[2].nbytes if entry else 0) + 400
         if cost < self.chunking.cached_bytes // 16:
             self.chunks[data] = entry
@@ -140,12 +142,12 @@ class Codec:
             entry = self.chunk(data[begin:end])
             if entry:  # both encodings agree from here on: repair what lies before
                 first, last, ids = entry
-                parts.append(np.array(self.plain(data[open_from : begin + first]), np.uint32))
+                parts.append(self.plain(data[open_from : begin + first]))
                 parts.append(ids)
                 self.repairs += open_from < begin
                 open_from = begin + last
             begin = end
-        parts.append(np.array(self.plain(data[open_from:]), np.uint32))
+        parts.append(self.plain(data[open_from:]))
         return np.concatenate(parts).astype("<u4")
 
     def decode(self, ids: np.ndarray) -> str:
