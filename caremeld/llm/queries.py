@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from caremeld.llm import chunked_bpe, decontaminate, digest, lattice, lineblocks, packing, preference, quality, secret_spans, simhash, url_rules
+from caremeld.llm import chunked_bpe, decontaminate, digest, lattice, lineblocks, packing, preference, quality, secret_spans, simhash, url_rules, whitening
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -115,6 +115,12 @@ def op10_chunked_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return docs.select("doc_id", found.alias("found")).select("doc_id", "found.*")
 
 
+@query
+def op11_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    white = whitening.whitened(table(spark, sf_dir, "embeddings").select("vec_id", "embedding"))
+    return white.withColumn("deviation", F.expr("try_cast(deviation as bigint)"))
+
+
 @query
 def op13_local_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.packed(documents(spark, sf_dir), packing.Packing(public_tokenizers.path("byte_bpe_50k.json")))
