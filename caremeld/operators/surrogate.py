@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from itertools import accumulate
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from caremeld.session import new_path, stored_bytes
@@ -12,7 +12,8 @@ from caremeld.session import new_path, stored_bytes
 RANGE_BYTES = 64 << 20
 #: Below this size a range is not worth a task of its own.
 SMALL_RANGE_BYTES = 2 << 20
-SAMPLES_PER_RANGE = 20
+#: ``monotonically_increasing_id``: the partition above, the place in it below.
+PLACE_BITS = 33
 
 
 def assign_surrogate_id(
@@ -24,12 +25,11 @@ def assign_surrogate_id(
 ) -> DataFrame:
     """Number the rows 1..N by ``order`` (NULLs last); the remaining columns break ties.
 
-    The rows are written once to the shared folder, each with a mark of its own that breaks the last ties. Ranges of the
-    *whole* order, as many as the written bytes ask for, are cut at keys sampled from that file, so a date that most rows
-    share is still split by the later columns and a large group of equal rows by their marks. Counting the rows of
-    each range gives its starting id; numbering is then one shuffle by range and a window inside each range, which goes
-    straight to wherever the result is written. Ids depend on the written rows only: losing an executor, or reading the
-    result twice, can't change one.
+    The rows are written once to the shared folder, each with a mark of its own that breaks the last ties, then range-partitioned
+    by the *whole* order, as many ranges as the written bytes ask for, sorted, and written with their places: a date that most
+    rows share is split by the later columns and a large group of equal rows by their marks. The number of rows of each
+    range, one small row a range, gives the id its first row has. Ids depend on written rows only: losing an executor, or
+    reading the result twice, can't change one.
 
     ``drop`` names columns that only serve the order.
     """
@@ -39,44 +39,36 @@ def assign_surrogate_id(
     marked = df.withColumn("_mark", F.monotonically_increasing_id())
     marked.write.parquet(path)
     written = spark.read.schema(marked.schema).parquet(path)
+    kept = [F.col(c) for c in df.columns if c not in drop]
     n_ranges = num_partitions or _ranges(spark, stored_bytes(spark, path))
-    ranged, starts = _ranged(written, columns, n_ranges) if n_ranges > 1 else (written.withColumn("_range", F.lit(0)), [0])
-    # A folded constant and not a join: as many numbers as there are ranges.
-    before = F.split(F.lit(",".join(map(str, starts))), ",").cast("array<bigint>")
-    inside = Window.partitionBy("_range").orderBy(*[F.col(c).asc_nulls_last() for c in columns])
-    kept = [c for c in df.columns if c not in drop]
-    return ranged.select((F.get(before, F.col("_range")) + F.row_number().over(inside)).alias(id_column), *kept)
+    keys = [F.col(c).asc_nulls_last() for c in columns]
+    if n_ranges == 1:  # one task for what fits one: its places are the numbers
+        alone = written.repartition(1).sortWithinPartitions(*keys)
+        return alone.select((F.monotonically_increasing_id() + 1).alias(id_column), *kept)
+    placed = _placed(written, keys, kept, n_ranges, id_column)
+    sizes = _sizes(placed)
+    starts = list(accumulate((n for _, n in sizes), initial=0))
+    before = spark.createDataFrame([(part, start) for (part, _), start in zip(sizes, starts)], "_part int, _start long")
+    place = F.col("_at").bitwiseAND(F.lit((1 << PLACE_BITS) - 1))
+    return placed.join(before, "_part").select((F.col("_start") + place + 1).alias(id_column), *kept)
 
 
 def _ranges(spark, size: int) -> int:
     """Enough ranges for their size, and for small data as many as there are cores."""
-    return max(-(-size // RANGE_BYTES), min(spark.sparkContext.defaultParallelism, -(-size // SMALL_RANGE_BYTES)))
+    return max(-(-size // RANGE_BYTES), min(spark.sparkContext.defaultParallelism, -(-size // SMALL_RANGE_BYTES)), 1)
 
 
-def _ranged(written: DataFrame, columns: list[str], n_ranges: int) -> tuple[DataFrame, list[int]]:
-    """``written`` with the range of each row, and the number of rows before each range."""
-    key = F.struct(*[x for i, c in enumerate(columns) for x in (F.isnull(c).alias(f"n{i}"), F.col(c).alias(f"v{i}"))])
-    share = min(1.0, n_ranges * SAMPLES_PER_RANGE / max(1, written.count()))
-    sampled = written.sample(share, seed=1).agg(F.sort_array(F.collect_list(key)).alias("keys"))
-    size = F.size("keys")
-    cuts = F.transform(F.sequence(F.lit(1), F.lit(n_ranges - 1)), lambda i: F.get("keys", F.floor(i * size / n_ranges).cast("int")))
-    found = sampled.where(size > 0).select(F.to_json(cuts).alias("cuts")).first()
-    if found is None:
-        return written.withColumn("_range", F.lit(0)), [0]
-    kind = written.select(F.array(key).alias("k")).schema["k"].dataType.simpleString()
-    # any key is a valid cut, so it does not matter if the text of one is rounded
-    bounds = F.from_json(F.lit(found["cuts"]), kind)
+def _placed(written: DataFrame, keys: list, kept: list, n_ranges: int, label: str) -> DataFrame:
+    """The rows in ranges of the order, with their range (``_part``) and their place in it (``_at``), as written."""
+    spark = written.sparkSession
+    ranged = written.repartitionByRange(n_ranges, *keys).sortWithinPartitions(*keys)
+    placed = ranged.select(F.monotonically_increasing_id().alias("_at"), *kept)
+    placed = placed.select(F.shiftright("_at", PLACE_BITS).cast("int").alias("_part"), "*")
+    path = new_path(spark, f"{label}-placed")
+    placed.write.parquet(path)
+    return spark.read.schema(placed.schema).parquet(path)
 
-    def halve(state: Column, _: Column) -> Column:
-        middle = F.shiftright(state["low"] + state["high"], 1)
-        open_, below = state["low"] < state["high"], F.get(bounds, middle) < key
-        return F.struct(
-            F.when(open_ & below, middle + 1).otherwise(state["low"]).alias("low"),
-            F.when(open_ & ~below, middle).otherwise(state["high"]).alias("high"),
-        )
 
-    steps = F.sequence(F.lit(1), F.lit(n_ranges.bit_length()))
-    whole = F.struct(F.lit(0).alias("low"), F.lit(n_ranges - 1).alias("high"))
-    ranged = written.withColumn("_range", F.aggregate(steps, whole, halve, lambda state: state["low"]))
-    sizes = dict(ranged.groupBy("_range").agg(F.count("*")).collect())
-    return ranged, list(accumulate((sizes.get(r, 0) for r in range(n_ranges - 1)), initial=0))
+def _sizes(placed: DataFrame) -> list[tuple[int, int]]:
+    """(range, rows) in order."""
+    return sorted(tuple(r) for r in placed.groupBy("_part").agg(F.count("*")).collect())

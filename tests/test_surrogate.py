@@ -35,20 +35,18 @@ def test_equals_a_global_row_number(events, partitions):
 
 
 def test_a_group_of_copies_is_split(events):
-    copies = events.filter("value = 'same'")
-    numbered = assign_surrogate_id(copies, "id", ["day"], 6)
-    window = numbered._jdf.queryExecution().analyzed().toString()
-    assert "_range" in window
-    ranges = ranged_sizes(copies, 6)
-    assert len(ranges) == 6 and max(ranges) < 2000 / 3
+    copies = events.filter("value = 'same'").withColumn("_mark", F.monotonically_increasing_id())
+    keys = [F.col(c).asc_nulls_last() for c in ("day", "person", "value", "_mark")]
+    sizes = surrogate._sizes(surrogate._placed(copies, keys, [F.col("value")], 6, "copies"))
+    assert [part for part, _ in sizes] == list(range(6)) and max(n for _, n in sizes) < 2000 / 3
+    numbered = assign_surrogate_id(copies.drop("_mark"), "id", ["day"], 6)
     assert numbered.agg(F.min("id"), F.max("id"), F.count_distinct("id")).first()[:] == (1, 2000, 2000)
 
 
-def ranged_sizes(df, n):
-    marked = df.withColumn("_mark", F.monotonically_increasing_id())
-    placed, starts = surrogate._ranged(marked, marked.columns, n)
-    assert starts == sorted(starts)
-    return [r["count"] for r in placed.groupBy("_range").count().collect()]
+def test_bounds_are_left_to_spark(events):
+    """No range bound and no sampled key is in the plan, however many ranges there are."""
+    plans = [assign_surrogate_id(events, "id", ["day"], n)._jdf.queryExecution().analyzed().toString() for n in (4, 64)]
+    assert len(plans[1]) < len(plans[0]) * 1.2
 
 
 def test_the_rows_are_worked_out_once(spark, events):
