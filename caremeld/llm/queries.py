@@ -8,7 +8,21 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from caremeld.llm import chunked_bpe, decontaminate, digest, lattice, lineblocks, packing, preference, quality, secret_spans, simhash, url_rules, whitening
+from caremeld.llm import (
+    chunked_bpe,
+    decontaminate,
+    digest,
+    lattice,
+    lineblocks,
+    packing,
+    preference,
+    prefix_trie,
+    quality,
+    secret_spans,
+    simhash,
+    url_rules,
+    whitening,
+)
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -121,6 +135,12 @@ def op11_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
     return white.withColumn("deviation", F.expr("try_cast(deviation as bigint)"))
 
 
+@query
+def op12_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    turns, members = prefix_trie.with_shared_beginnings(prefix_trie.described(table(spark, sf_dir, "conversations")))
+    return prefix_trie.prefix_trie(turns, members)
+
+
 @query
 def op13_local_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.packed(documents(spark, sf_dir), packing.Packing(public_tokenizers.path("byte_bpe_50k.json")))
@@ -201,3 +221,41 @@ select s.page_id, host, path, rule,
                               then 'block' else 'allow' end) as verdict
 from split s left join fits f on s.page_id = f.page_id and f.place = 1
 """
+
+ORACLE["op12_prefix_trie"] = r"""
+with conv as (
+    select conv_id, row_number() over (partition by conv_id order by turn nulls first, coalesce(role, ''), coalesce(text, '')) - 1 as p,
+           coalesce(role, '') as role, coalesce(text, '') as text
+    from conversations where conv_id is not null),
+hashed as (
+    select distinct conv_id, conv_id - conv_id % 100 as base,
+           -- crc32: eight steps for each of the decimal digits
+           xor(4294967295, list_reduce(list_prepend(4294967295, list_transform(string_split(conv_id::varchar, ''), lambda x: ascii(x)::bigint)),
+               lambda crc, b: list_reduce(list_prepend(xor(crc, b), [0, 0, 0, 0, 0, 0, 0, 0]::bigint[]),
+                   lambda v, z: case when v & 1 = 1 then xor(v >> 1, 3988292384) else v >> 1 end))) % 6 as h
+    from conv),
+sizes as (select conv_id, count(*) as size from conv group by conv_id),
+wanted as (select h.*, least(h, coalesce(size, 0)) as got from hashed h left join sizes s on s.conv_id = h.base),
+rebuilt as (
+    select w.conv_id, c.p, role, text from wanted w join conv c on c.conv_id = w.base and c.p < w.h
+    union all
+    select c.conv_id, c.p - w.h + w.got, role, text from conv c join wanted w on c.conv_id = w.conv_id where c.p >= w.h),
+paths as (
+    select w.conv_id, coalesce(list(struct_pack(role := role, text := text) order by p) filter (where p is not null), []) as path
+    from wanted w left join rebuilt r on w.conv_id = r.conv_id group by w.conv_id),
+prefixes as (select conv_id, d, path[1:d] as node, len(path) = d as ends from (select *, unnest(range(len(path) + 1)) as d from paths)),
+nodes as (
+    select node, d, min(conv_id) as conv_id, count(*) as n_convs,
+           sha256(coalesce(string_agg(conv_id::varchar, ',' order by conv_id) filter (where ends), '')) as ends_sha256
+    from prefixes group by node, d),
+linked as (
+    select n.*, p.conv_id as parent_conv_id, (select count(*) from nodes c where c.d = n.d + 1 and c.node[1:n.d] = n.node) as n_children,
+           case when n.d = 0 then 0 else (n.n_convs - 1) * length(n.node[n.d].text) end as own
+    from nodes n left join nodes p on p.d = n.d - 1 and p.node = n.node[1:n.d - 1]),
+sums as (
+    select d, node, sum(own) as saved, sum((n_children = 0)::int) as leaves
+    from (select own, n_children, node[1:a] as node, a as d from (select *, unnest(range(d + 1)) as a from linked))
+    group by d, node)
+select conv_id, l.d as depth, parent_conv_id, n_convs, n_children, leaves::bigint as n_leaves, saved::bigint as saved_tokens, ends_sha256
+from linked l join sums s on l.d = s.d and l.node = s.node
+"""
