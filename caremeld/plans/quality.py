@@ -117,6 +117,49 @@ def seed_checks() -> list[Check]:
     ]
 
 
+def arrival_checks() -> dict[str, list[Check]]:
+    """What the event files of the synthetic source can be checked for as they arrive, by staging view."""
+    patients, key = "stg_synthea_patients", "person_source_value"
+
+    def known(view: str) -> Check:
+        return Check(view, key, "relationships", arguments={"parent": patients, "parent_column": key})
+
+    def dated(view: str, column: str, end: str | None = None) -> list[Check]:
+        ordered = [_holds(view, end, f">= {column}", "plausibility")] if end else []
+        return [Check(view, column, "not_null", "completeness"), *ordered]
+
+    visits, conditions, drugs = "stg_synthea_encounters", "stg_synthea_conditions", "stg_synthea_medications"
+    results, procedures = "stg_synthea_observations", "stg_synthea_procedures"
+    days = {"low": "1900-01-01", "high": "2100-12-31"}
+    return {
+        patients: [
+            *_keys(patients, key),
+            _one_of(patients, "gender_source_value", ["F", "M"]),
+            Check(patients, "birth_date", "not_null", "completeness", "warn"),
+            Check(patients, "birth_date", "between", "plausibility", arguments=days),
+            _holds(patients, "death_date", ">= birth_date", "plausibility"),
+        ],
+        visits: [
+            *_keys(visits, "visit_source_value"),
+            known(visits),
+            *dated(visits, "visit_start_date", "visit_end_date"),
+            _one_of(visits, "encounter_class", ["inpatient", "emergency", "ambulatory", "outpatient", "wellness"]),
+        ],
+        conditions: [known(conditions), *dated(conditions, "condition_start_date")],
+        drugs: [
+            known(drugs),
+            *dated(drugs, "drug_exposure_start_date", "drug_exposure_end_date"),
+            Check(drugs, "dispenses", "between", "plausibility", "warn", arguments={"low": 1, "high": 40}),
+        ],
+        results: [
+            known(results),
+            *dated(results, "measurement_date"),
+            Check(results, "value_as_number", "not_null", "completeness", "warn", "unit_source_value <> ''"),
+        ],
+        procedures: [known(procedures), *dated(procedures, "procedure_date")],
+    }
+
+
 def declared_checks(as_of_year: int) -> list[Check]:
     return [*clinical_checks(as_of_year), *genomic_checks(), *analytics_checks(as_of_year), *seed_checks()]
 
