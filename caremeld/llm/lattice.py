@@ -38,13 +38,14 @@ UPPER_TO_LOWER = bytes(c + 32 if 65 <= c <= 90 else c for c in range(256))
 @dataclass(frozen=True)
 class Model:
     """``block``: tokens after which a block is closed; ``prior``: pieces that the starting probabilities weigh;
-    ``cells``: lattice cells computed at a time."""
+    ``cells``: lattice cells computed at a time; ``sent``: bytes of rows that a task sends on at a time."""
 
     path: str
     rounds: int = 1
-    block: int = 4_000_000
+    block: int = 3_000_000
     prior: float = 10_000.0
-    cells: int = 1 << 21
+    cells: int = 1 << 19
+    sent: int = 1 << 20
 
 
 def training_row(doc_id) -> bool:
@@ -180,14 +181,14 @@ def as_blocks(documents: DataFrame, id: str, text: str, model: Model) -> DataFra
 
         def closed() -> Iterator[pd.DataFrame]:
             words = list(numbers)
-            for a, b in slices(len(words), 50_000):
+            for a, b in slices(len(words), 10_000):
                 yield pd.DataFrame(
                     {"task": task, "block": block, "doc_id": None, "n": np.arange(a, b), "count": counts[a:b],
                      "word": [w.decode("utf-8") for w in words[a:b]], "numbers": None, "times": None}
                 )
 
         for batch in batches:
-            rows = []
+            rows, size = [], 0
             for doc_id, value in zip(batch.doc_id, batch.text):
                 doc_id = None if pd.isna(doc_id) else int(doc_id)
                 words = value.encode("utf-8").translate(UPPER_TO_LOWER).split() if isinstance(value, str) else []
@@ -199,12 +200,13 @@ def as_blocks(documents: DataFrame, id: str, text: str, model: Model) -> DataFra
                     counts[distinct] += times
                 steps = np.diff(distinct, prepend=0).astype("<u4")
                 rows.append((task, block, doc_id, len(words), 0, None, steps.tobytes(), times.astype("<u4").tobytes()))
-                tokens += len(words)
+                tokens, size = tokens + len(words), size + 8 * len(distinct)
+                if size >= model.sent or tokens >= model.block:
+                    yield named(rows)
+                    rows, size = [], 0
                 if tokens >= model.block:
                     yield from closed()
-                    numbers, counts, tokens = {}, np.zeros(0, np.int64), 0
-                    yield named(rows)
-                    rows, block = [], block + 1
+                    numbers, counts, tokens, block = {}, np.zeros(0, np.int64), 0, block + 1
             yield named(rows)
         yield from closed()
 
