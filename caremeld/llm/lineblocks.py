@@ -1,8 +1,9 @@
 """Main text of HTML pages by the distribution of text over lines.
 
 Markup is stripped and every block element starts a new line, which weighs its characters. The weights are summed over
-sliding windows of lines; a sum that rises over the surge bound opens a stretch, a sum that falls to the dive bound closes
-it, and the text between is kept, short lines included. Windows do not reach from one kind of element into another.
+sliding windows of lines; a sum that rises over the surge bound opens a stretch, a sum that falls to the dive bound, with
+no later surge among neighbours of its kind, closes it, and the text between is kept, short lines included. Windows do not
+reach from one kind of element into another.
 
 Tags move the weights. A line of an article or main element weighs a surge at least, so the author's word is taken
 for it. A line in an element whose class or id has a word of menus, notices, adverts, comments and the like, or in a form,
@@ -15,15 +16,18 @@ and so do lines outside of an article that are mostly links.
 Fallback: a page on which no sum surges keeps all lines that weigh anything and are not marked; if these weigh no more than
 the dive bound together, the marked stretches that surge with their whole weight, if there are any. Limits: as windows look
 ahead, up to ``lines`` - 1 short lines right before a stretch are kept with it (its heading is one); a notice of
-unmarked text as long as a paragraph counts as text; a run of short lines within a stretch of unmarked text can close it.
+unmarked text as long as a paragraph counts as text, and so do unmarked short lines between two paragraphs.
 
 Null and empty pages have no text. White space inside a block becomes one space, blocks are joined by a line break;
-nothing is cut. Repeated rows give repeated results; an empty table gives an empty result.
+nothing is cut. Repeated rows give repeated results; an empty table gives an empty result. Nested, stray and unfinished
+tags cost no more than others; a tag that is not finished at the end of the page is markup.
 """
 
 from __future__ import annotations
 
 import re
+import sys
+from collections import Counter
 from dataclasses import dataclass, replace
 from html.parser import HTMLParser
 
@@ -38,7 +42,7 @@ BLOCKS = frozenset(
     "option p pre search section select summary table tbody td template textarea tfoot th thead title tr ul video".split()
 )
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
-UNSEEN = frozenset("script style template noscript iframe object svg canvas math head title select textarea button video audio".split())
+UNSEEN = frozenset("script style template noscript iframe head title select textarea button".split())
 FRAME = frozenset("nav header footer aside menu dialog".split())
 MARKS = frozenset(
     "ad ads advert advertisement adverts banner sponsor sponsored promo promotion nav navbar navigation menu breadcrumb breadcrumbs "
@@ -49,6 +53,8 @@ MARKS = frozenset(
 WHOLE = frozenset("html body article main".split())
 ROLES = frozenset("navigation banner contentinfo complementary search form dialog alert alertdialog menu menubar".split())
 SPACE = re.compile(r"\s+")
+#: The beginning of a tag, a comment or a declaration.
+UNFINISHED = re.compile("<[A-Za-z/!?]")
 
 
 @dataclass(frozen=True)
@@ -70,6 +76,7 @@ class Lines(HTMLParser):
         super().__init__(convert_charrefs=True)
         self.lines: list[tuple[str, int, bool, bool, int]] = []
         self.open: list[tuple[str, bool, bool, bool]] = []
+        self.names: Counter[str] = Counter()
         self.text: list[str] = []
         self.linked = self.unseen = self.framed = self.marked = self.links = self.articles = 0
 
@@ -94,6 +101,7 @@ class Lines(HTMLParser):
             framed = False
         unseen = tag in UNSEEN
         self.open.append((tag, framed, marked, unseen))
+        self.names[tag] += 1
         self.framed += framed
         self.marked += marked
         self.unseen += unseen
@@ -107,6 +115,7 @@ class Lines(HTMLParser):
 
     def pop(self) -> None:
         tag, framed, marked, unseen = self.open.pop()
+        self.names[tag] -= 1
         self.framed -= framed
         self.marked -= marked
         self.unseen -= unseen
@@ -121,7 +130,7 @@ class Lines(HTMLParser):
     def handle_endtag(self, tag):
         if tag in BLOCKS:
             self.flush()
-        if any(name == tag for name, *_ in self.open):
+        if self.names[tag]:
             while self.open[-1][0] != tag:
                 self.pop()
             self.pop()
@@ -134,17 +143,18 @@ class Lines(HTMLParser):
 
 
 def stretches(weights: list[int], windows: Windows) -> list[bool]:
-    """Which lines lie between a surge and the next dive of the sums over ``windows.lines`` lines from each line on."""
+    """Which lines lie between the first surge and the last dive of the sums over ``windows.lines`` lines from each line on."""
     n, width = len(weights), windows.lines
-    keep, inside = [False] * n, False
+    first = last = None
+    total, inside = sum(weights[:width]), False
     for i in range(n):
-        total = sum(weights[i : i + width])
         if not inside and total >= windows.surge and weights[i]:
-            inside = True
+            inside, first = True, i if first is None else first
         elif inside and total <= windows.dive:
             inside = False
-        keep[i] = inside and weights[i] > 0
-    return keep
+        last = i if inside else last
+        total += (weights[i + width] if i + width < n else 0) - weights[i]
+    return [first is not None and first <= i <= last and weights[i] > 0 for i in range(n)]
 
 
 def kept_lines(weights: list[int], windows: Windows, kinds: list | None = None) -> list[bool]:
@@ -153,6 +163,7 @@ def kept_lines(weights: list[int], windows: Windows, kinds: list | None = None)
     A kind is (in an article, marked elements around the line); without kinds all lines are plain.
     """
     kinds = kinds or [(False, 0)] * len(weights)
+    least = sys.float_info.min  # the share left in deeply nested marked elements
 
     def by_kind(soft: float) -> list[bool]:
         keep: list[bool] = []
@@ -160,7 +171,7 @@ def kept_lines(weights: list[int], windows: Windows, kinds: list | None = None)
             begin = end = len(keep)
             while end < len(weights) and kinds[end] == kinds[begin]:
                 end += 1
-            keep += stretches(weights[begin:end], replace(windows, surge=windows.surge / soft ** kinds[begin][1]))
+            keep += stretches(weights[begin:end], replace(windows, surge=windows.surge / max(soft ** kinds[begin][1], least)))
         return keep
 
     keep = by_kind(windows.soft)
@@ -179,7 +190,9 @@ def kept_lines(weights: list[int], windows: Windows, kinds: list | None = None)
 
 def main_text(html: str, windows: Windows = Windows()) -> str:
     parser = Lines()
-    parser.feed(html)
+    whole = html.rfind(">") + 1
+    unfinished = UNFINISHED.search(html, whole)
+    parser.feed(html[: unfinished.start()] if unfinished else html)
     parser.close()
     parser.flush()
     weights, kinds = [], []

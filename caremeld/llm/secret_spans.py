@@ -134,6 +134,48 @@ def spans_of(kind: str, found: Column) -> Column:
     )
 
 
+def reach_before(spans: Column, end_of: Callable[[Column], Column], step: int) -> Column:
+    """For each element of an array the largest ``end_of`` of those before it, 0 for the first; in groups of ``step``."""
+
+    def largest(values: Column) -> Column:
+        return F.coalesce(F.array_max(values), F.lit(0))
+
+    def grouped(ends: Column) -> Column:
+        last = F.floor((F.size(ends) - 1) / step).cast("int")
+        return F.transform(F.sequence(F.lit(0), last), lambda g: F.slice(ends, g * step + 1, F.lit(step)))
+
+    def joined(groups: Column) -> Column:
+        return bound(
+            F.transform(groups, largest),
+            lambda tops: F.flatten(
+                F.transform(
+                    groups,
+                    lambda group, g: bound(
+                        largest(F.slice(tops, F.lit(1), g)),
+                        lambda before: F.transform(group, lambda _, i: F.greatest(before, largest(F.slice(group, F.lit(1), i)))),
+                    ),
+                )
+            ),
+        )
+
+    ends = F.transform(spans, end_of)
+    return F.when(F.size(spans) > 0, bound(bound(ends, grouped), joined)).otherwise(F.array().cast("array<int>"))
+
+
+def outside(runs: Column, base: Column, step: int) -> Column:
+    """The spans of ``runs`` that lie within no span of ``base``: one pass over both in the order of their starts."""
+    event = lambda s, last, own: F.struct(s["start"].alias("start"), F.lit(last).alias("last"), s["end"].alias("end"), own.alias("span"))
+    nothing = F.lit(None).cast("struct<kind:string,start:int,end:int,value:string>")
+    both = F.concat(F.transform(base, lambda s: event(s, 0, nothing)), F.transform(runs, lambda s: event(s, 1, s)))
+
+    def kept(ordered: Column) -> Column:
+        reach = reach_before(ordered, lambda e: F.when(e["last"] == 0, e["end"]).otherwise(0), step)
+        marked = F.zip_with(ordered, reach, lambda e, r: F.struct(e["span"].alias("span"), (e["end"] <= r).alias("covered")))
+        return F.transform(F.filter(marked, lambda m: m["span"].isNotNull() & ~m["covered"]), lambda m: m["span"])
+
+    return F.when(F.size(runs) > 0, bound(F.array_sort(both), kept)).otherwise(runs)
+
+
 def normal_below(z: Column) -> Column:
     """The standard normal distribution function, by its logistic approximation of third degree."""
     return 1 / (1 + F.exp(-z * (1.5976 + 0.07056 * z * z)))
@@ -258,10 +300,7 @@ def secret_spans(documents: DataFrame, text: str = "text", into: str = "spans",
         spans_of("assign", assigns), spans_of("access", inside(runs, ACCESS, step)), spans_of("hex", inside(runs, HEX, step))
     )
     found = found.withColumn(names[2], patterns)
-    added = F.filter(
-        spans_of("random", discovered(runs, battery)),
-        lambda r: ~F.exists(base, lambda b: (b["start"] <= r["start"]) & (r["end"] <= b["end"])),
-    )
+    added = outside(spans_of("random", discovered(runs, battery)), base, step)
     kinds = F.array(*map(F.lit, KINDS))
     keyed = F.transform(
         F.concat(base, added),
@@ -276,17 +315,33 @@ def listed(spans: Column) -> Column:
     return F.array_join(F.transform(spans, lambda s: F.concat_ws(":", s["kind"], s["start"].cast("string"), s["end"].cast("string"))), ",")
 
 
-def redacted(text: Column, spans: Column, instead: str = "[SECRET]") -> Column:
-    """``text`` with every span replaced, overlapping ones together."""
-    nothing = F.struct(F.lit(0).alias("at"), F.array().cast("array<string>").alias("parts"))
+def redacted(text: Column, spans: Column, instead: str = "[SECRET]", step: int = 256, chunk: int = 1024) -> Column:
+    """``text`` with every span replaced, overlapping ones together; ``spans`` in the order of their starts.
 
-    def step(state: Column, span: Column) -> Column:
-        fresh = span["start"] >= state["at"]
-        kept = F.substring(text, state["at"] + 1, F.greatest(span["start"] - state["at"], F.lit(0)))
-        parts = F.when(fresh, F.concat(state["parts"], F.array(kept, F.lit(instead)))).otherwise(state["parts"])
-        return F.struct(F.greatest(span["end"], state["at"]).alias("at"), parts.alias("parts"))
+    The text is cut into chunks of ``chunk`` code points once, so that taking what lies between two spans looks at two chunks
+    and joins those between them.
+    """
 
-    whole = F.aggregate(
-        spans, nothing, step, lambda state: F.concat(F.array_join(state["parts"], ""), F.substring(text, state["at"] + 1, F.length(text)))
-    )
-    return F.when(F.size(spans) > 0, whole).otherwise(text)
+    def between(chunks: Column, start: Column, end: Column) -> Column:
+        first, last = F.floor(start / chunk).cast("int"), F.floor(end / chunk).cast("int")
+        part = lambda n, at, size: F.coalesce(F.substring(F.get(chunks, n), at, size), F.lit(""))
+        return F.when(first == last, part(first, start % chunk + 1, end - start)).otherwise(
+            F.concat(
+                part(first, start % chunk + 1, F.lit(chunk)),
+                F.array_join(F.slice(chunks, first + 2, F.greatest(last - first - 1, F.lit(0))), ""),
+                part(last, F.lit(1), end % chunk),
+            )
+        )
+
+    def joined(chunks: Column) -> Column:
+        def parts(reach: Column) -> Column:
+            one = lambda span, before: F.when(
+                span["start"] >= before, F.concat(between(chunks, before, span["start"]), F.lit(instead))
+            ).otherwise("")
+            end = F.greatest(F.element_at(reach, -1), F.element_at(spans, -1)["end"])
+            return F.concat(F.array_join(F.zip_with(spans, reach, one), ""), between(chunks, end, F.length(text)))
+
+        return bound(reach_before(spans, lambda s: s["end"], step), parts)
+
+    chunks = F.regexp_extract_all(text, F.lit(f"(?s).{{1,{chunk}}}"), F.lit(0))
+    return F.when(F.size(spans) > 0, bound(chunks, joined)).otherwise(text)
