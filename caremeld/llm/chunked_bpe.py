@@ -4,9 +4,10 @@ A rolling hash over the bytes cuts every text into chunks, so that passages whic
 they stand. A chunk is encoded once and its ids are reused. Two encodings that are put together need not be the encoding
 of the joined text, so every join is repaired: the stretch between the last boundary the left chunk and the joined text
 must share and the first one the right chunk must share is encoded again, over further chunks until there is such a
-boundary. A boundary that must be shared is a space between two printable ASCII characters: the splitting pattern of
-byte-level vocabularies starts a piece there whatever stands before or after. The result therefore equals the encoding
-of the whole text, with special tokens that occur in it recognised.
+boundary. Both must share a boundary where white space follows anything else, in any script, or a mark of punctuation of East
+Asian writing follows a letter of it: the splitting pattern of byte-level vocabularies starts a piece there whatever
+stands before or after. The result therefore equals the encoding of the whole text, with special tokens that occur in it
+recognised.
 
 Documents with a common smallest line hash are brought together first, so that copies meet in one task and its cache; a
 partition that grows too large is split by adaptive execution, which costs a second encoding and nothing else.
@@ -34,7 +35,12 @@ PATTERN = r"""'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?
 
 #: The splitting pattern takes a run of white space as one piece, but for its last character if anything follows. Wide runs are
 #: cut out there, as the pattern's engine needs stack for each of their characters.
-WIDE = re.compile("[\t-\r \x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000]{256,}")
+SPACES = "\t-\r \x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000"
+WIDE = re.compile(f"[{SPACES}]{{256,}}")
+#: Letters of East Asian scripts, and marks that are neither letters, digits nor parts of special tokens.
+LETTERS, POINTS = "\u3041-\u3096\u30a1-\u30fa\u4e00-\u9fa5\uac00-\ud7a3", "\u3001\u3002\u300c-\u3011\uff01\uff08\uff09\uff0c\uff1a\uff1b\uff1f"
+START = rf"(?:(?<=[^{SPACES}])[{SPACES}]|(?<=[{LETTERS}])[{POINTS}])"
+FIRST, LAST = re.compile(START), re.compile(f"(?s:.*){START}")
 
 
 @dataclass(frozen=True)
@@ -73,14 +79,12 @@ def cut_points(data: bytes, chunking: Chunking = Chunking()) -> list[int]:
 
 def boundaries(data: bytes) -> tuple[int, int] | None:
     """The first and the last place in ``data`` where every splitting starts a piece, given only what is in ``data``."""
-    first, last = data.find(b" ", 1), data.rfind(b" ", 1, len(data) - 1)
-    while 0 < first < len(data) - 1 and not (0x21 <= data[first - 1] <= 0x7E and 0x21 <= data[first + 1] <= 0x7E):
-        first = data.find(b" ", first + 1)
-    if not 0 < first < len(data) - 1:
+    text = data.decode("utf-8")
+    first = FIRST.search(text)
+    if first is None:
         return None
-    while last > first and not (0x21 <= data[last - 1] <= 0x7E and 0x21 <= data[last + 1] <= 0x7E):
-        last = data.rfind(b" ", 1, last)
-    return first, max(first, last)
+    last = LAST.match(text).end() - 1
+    return len(text[: first.start()].encode("utf-8")), len(data) - len(text[last:].encode("utf-8"))
 
 
 class Codec:

@@ -28,8 +28,8 @@ PAD = 256
 
 @dataclass(frozen=True)
 class Network:
-    """``sample``: labelled rows to train on, half of them of each class; ``drawn``: chunks of a text in an epoch, of up
-    to four times as many that the sample keeps; the rest is the shape of the network and of its training."""
+    """``sample``: labelled rows to train on, half of them of each class, with their whole texts; ``shortened``: the share of
+    them, of both classes, that a step sees a few words of; the rest is the shape of the network and of its training."""
 
     sample: int = 3_000
     chunk: int = 256
@@ -38,12 +38,11 @@ class Network:
     embedding: int = 8
     filters: int = 32
     units: int = 16
-    drawn: int = 4
-    epochs: int = 10
-    least_steps: int = 500
+    epochs: int = 12
+    least_steps: int = 400
     batch: int = 32
     rate: float = 0.004
-    shortened: float = 0.1
+    shortened: float = 0.2
 
 
 def chunks_of(text: str, network: Network) -> np.ndarray:
@@ -112,9 +111,11 @@ class Model:
         """Of the weighted log loss of texts; ``owner`` is the text of each chunk, ascending."""
         n, w = self.network, self.weights
         rows = np.arange(len(chunks))
-        responses = self.responses(chunks)
-        at = responses.argmax(axis=1)
-        top = np.take_along_axis(responses, at[:, None], 1)[:, 0]
+        at, top = np.empty((len(chunks), n.filters), np.int64), np.empty((len(chunks), n.filters), np.float32)
+        for a, b in slices(len(chunks), 64):
+            responses = self.responses(chunks[a:b])
+            at[a:b] = responses.argmax(axis=1)
+            top[a:b] = np.take_along_axis(responses, at[a:b, None], 1)[:, 0]
         pooled = np.maximum(top, 0)
         units = np.maximum(pooled @ w["dense"] + w["dense_bias"], 0)
         first = np.searchsorted(owner, np.arange(len(labels)))
@@ -172,10 +173,7 @@ def trained(texts: list[np.ndarray], labels: np.ndarray, network: Network = Netw
         order = rng.permutation(len(texts))
         for a, b in slices(len(order), network.batch):
             picked = order[a:b]
-            parts = [texts[i][np.sort(rng.permutation(len(texts[i]))[: network.drawn])] for i in picked]
-            parts = [
-                cut_short(p, rng) if label == 1 and rng.random() < network.shortened else p for p, label in zip(parts, labels[picked])
-            ]
+            parts = [cut_short(texts[i], rng) if rng.random() < network.shortened else texts[i] for i in picked]
             owner = np.repeat(np.arange(len(picked)), [len(p) for p in parts])
             step += 1
             rate = network.rate * min(1, 10 * step / steps) * (1 - (step - 1) / steps)
@@ -191,30 +189,18 @@ def trained(texts: list[np.ndarray], labels: np.ndarray, network: Network = Netw
 def fitted(documents: DataFrame, labelled: DataFrame, id: str = "doc_id", text: str = "text", network: Network = Network()) -> Model | None:
     """Trains on a bounded sample of ``labelled`` (``doc_id``, ``label`` 0 or 1), drawn by hash, half of it from each class.
 
-    At most ``sample`` ids are broadcast and at most ``4 * drawn`` chunks of a text reach the driver.
+    At most ``sample`` ids are broadcast; the whole texts of these rows, and of no others, reach the driver. Of rows that repeat
+    a labelled id the first text in order counts.
     """
-    most = 4 * network.drawn
     usable = labelled.where(F.col("doc_id").isNotNull() & F.col("label").isin(0, 1))
     wanted = [
         usable.where(F.col("label") == label).orderBy(F.xxhash64("doc_id"), "doc_id").limit(network.sample // 2)
         for label in (0, 1)
     ]
     wanted = wanted[0].union(wanted[1]).groupBy("doc_id").agg(F.min("label").alias("label"))
-    found = documents.select(col(id).alias("doc_id"), col(text).alias("text")).join(F.broadcast(wanted), "doc_id")
-
-    def some_chunks(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for batch in batches:
-            rows = []
-            for doc_id, label, value in zip(batch.doc_id, batch.label, batch.text):
-                chunks = chunks_of(value if isinstance(value, str) else "", network)
-                evenly = np.unique(np.linspace(0, len(chunks) - 1, most).astype(int))
-                rows.append((doc_id, label, chunks[evenly].astype("<i2").tobytes()))
-            yield pd.DataFrame(rows, columns=["doc_id", "label", "chunks"])
-
-    rows = found.select("doc_id", "label", "text").mapInPandas(some_chunks, "doc_id long, label int, chunks binary").collect()
-    rows.sort(key=lambda r: (r.doc_id, bytes(r.chunks)))
-    rows = [r for i, r in enumerate(rows) if not i or r.doc_id != rows[i - 1].doc_id]
-    texts = [np.frombuffer(r.chunks, "<i2").reshape(-1, network.chunk) for r in rows]
+    found = documents.select(col(id).alias("doc_id"), F.coalesce(col(text), F.lit("")).alias("text")).join(F.broadcast(wanted), "doc_id")
+    rows = sorted(found.groupBy("doc_id", "label").agg(F.min("text").alias("text")).collect())
+    texts = [chunks_of(r.text, network) for r in rows]
     return trained(texts, np.array([r.label for r in rows]), network)
 
 

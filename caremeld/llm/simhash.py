@@ -219,17 +219,24 @@ def links(distinct: DataFrame, index: Index = Index()) -> DataFrame:
     return dealt.groupBy("block").applyInPandas(found, "a long, b long")
 
 
-def near_copies(documents: DataFrame, id: str = "doc_id", text: str = "text", words: int = 3, index: Index = Index()) -> DataFrame:
-    """One row for each document: its id (``doc_id``), ``fp`` (long) and ``component_id``, the smallest id it is linked with."""
-    marked = stored(documents.select(col(id).alias("doc_id"), fingerprints(col(text), words).alias("fp")), "fingerprints")
+def components(documents: DataFrame, id: str, text: str, words: int, index: Index) -> DataFrame:
+    """(doc_id, said, fp, root, component_id) of each row: a hash of its text, its fingerprint, its component's smallest
+    fingerprint and smallest id."""
+    said = F.xxhash64(col(text)).alias("said")
+    marked = stored(documents.select(col(id).alias("doc_id"), said, fingerprints(col(text), words).alias("fp")), "fingerprints")
     firsts = stored(marked.groupBy("fp").agg(F.min("doc_id").alias("first")), "distinct-fingerprints")
     roots = connected_components(links(firsts.select("fp"), index))
     whole = firsts.join(roots.select(F.col("node").alias("fp"), "root"), "fp", "left").select(
         "fp", "first", F.coalesce("root", "fp").alias("root")
     )
     smallest = whole.groupBy("root").agg(F.min("first").alias("component_id"))
-    of = stored(whole.join(smallest, "root").select("fp", "component_id"), "components-of-fingerprints")
-    return marked.join(of, "fp").select("doc_id", "fp", "component_id")
+    of = stored(whole.join(smallest, "root").select("fp", "root", "component_id"), "components-of-fingerprints")
+    return marked.join(of, "fp").select("doc_id", "said", "fp", "root", "component_id")
+
+
+def near_copies(documents: DataFrame, id: str = "doc_id", text: str = "text", words: int = 3, index: Index = Index()) -> DataFrame:
+    """One row for each document: its id (``doc_id``), ``fp`` (long) and ``component_id``, the smallest id it is linked with."""
+    return components(documents, id, text, words, index).select("doc_id", "fp", "component_id")
 
 
 def hexadecimal(fp: Column) -> Column:
@@ -237,12 +244,20 @@ def hexadecimal(fp: Column) -> Column:
 
 
 def one_of_each(documents: DataFrame, id: str = "doc_id", text: str = "text", words: int = 3, index: Index = Index()) -> DataFrame:
-    """The rows of ``documents`` with the smallest id of their component, repeated ids once; all columns stay.
+    """One row of ``documents`` of every component, with all its columns.
 
-    Rows without an id can't be named by a result, so all of them stay.
+    It is a row with the component's smallest id; of several, one with the smallest fingerprint, then the smallest hash of the
+    text, then the smallest other values, as far as their types have an order. An id whose rows lie in several components
+    keeps a row in each of them. Rows without an id can't be named by a result, so all of them stay.
     """
-    kept = near_copies(documents.where(col(id).isNotNull()), id, text, words, index)
-    kept = kept.where(F.col("doc_id") == F.col("component_id")).select(F.col("doc_id").alias(free_name(documents, "kept_id"))).distinct()
-    name = kept.columns[0]
-    joined = documents.join(kept, col(id) == F.col(name)).dropDuplicates([name]).drop(name)
-    return joined.unionByName(documents.where(col(id).isNull()))
+    known = documents.where(col(id).isNotNull())
+    found = components(known, id, text, words, index).where(F.col("doc_id") == F.col("component_id"))
+    chosen = found.groupBy("root").agg(F.min(F.struct("fp", "said", "doc_id")).alias("one"))
+    names = [free_name(documents, n) for n in ("kept_id", "kept_text")]
+    chosen = chosen.select(F.col("one.doc_id").alias(names[0]), F.col("one.said").alias(names[1]))
+    rows = known.join(chosen, (col(id) == F.col(names[0])) & (F.xxhash64(col(text)) == F.col(names[1])))
+    ordered = [col(f.name) for f in documents.schema if f.dataType.typeName() not in ("map", "struct", "array", "variant")]
+    whole = F.struct(*[col(c).alias(f"c{i}") for i, c in enumerate(documents.columns)])
+    first = rows.groupBy(*names).agg(F.min_by(whole, F.struct(*ordered)).alias("whole"))
+    kept = first.select(*[F.col(f"whole.c{i}").alias(c) for i, c in enumerate(documents.columns)])
+    return kept.unionByName(documents.where(col(id).isNull()))
