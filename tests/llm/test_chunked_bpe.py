@@ -96,3 +96,39 @@ def test_characters_of_every_plane():
         if not 0xD800 <= code < 0xE000:
             text = f"a{chr(code)}b1{chr(code)}2 {chr(code)}{chr(code)} .{chr(code)}. {chr(code)}'s"
             assert USUAL.fast.encode_ordinary(text) == library(text), hex(code)
+
+
+@pytest.mark.parametrize("alphabet", ["日本語の文章を書くときは、句読点。が必要です「これ」カタカナ漢字！", "абв где жзи клм ноп рст уфх", "αβγ δεζ ηθι κλμ νξο", "abc def ghi"])
+def test_copies_reuse_chunks_in_any_script(alphabet):
+    """Of three texts that differ in their beginning, little more than one is encoded."""
+    rng = random.Random(8)
+    body = "".join(rng.choice(alphabet) for _ in range(12_000))
+    codec, encoded = B.Codec(PATH), 0
+    plain = codec.plain
+
+    def counted(data):
+        nonlocal encoded
+        encoded += len(data)
+        return plain(data)
+
+    codec.plain = counted
+    texts = [f"{'start ' * i}{body}" for i in range(3)]
+    for text in texts:
+        assert codec.encode(text).tolist() == LIBRARY.encode(text, add_special_tokens=False).ids
+    assert encoded < 0.45 * sum(len(t.encode()) for t in texts)
+
+
+def test_odd_boundaries_against_the_library():
+    rng, codec = random.Random(9), B.Codec(PATH)
+    parts = list("ab'sT1 .,!\n\t　。、日本がа \x85\x1c​") + ["<|endoftext|>", "<|", "endoftext", "|>", " " * 300, "\n" * 257]
+    for _ in range(400):
+        text = "".join(rng.choices(parts, k=rng.randint(1, 500)))
+        assert codec.encode(text).tolist() == LIBRARY.encode(text, add_special_tokens=False).ids
+
+
+@pytest.mark.parametrize("text", [" " * 1_000_000 + "a", "\n" * 1_000_000, " \n" * 500_000 + "<|endoftext|>x"])
+def test_very_long_white_space(text):
+    codec = B.Codec(PATH)
+    ids = codec.encode(text)
+    assert codec.decode(ids) == text
+    assert ids.tolist() == LIBRARY.encode(text, add_special_tokens=False).ids

@@ -1,5 +1,8 @@
 from __future__ import annotations
 
+import random
+import time
+
 import pytest
 from pyspark.sql import functions as F
 
@@ -76,3 +79,61 @@ def test_marked_text_beside_the_text_is_not():
     for tag in ("div", "article"):
         page = f"<body><{tag}>{PARAGRAPHS}</{tag}><div class=comments>{PARAGRAPHS.replace('Paragraph', 'Reply')}</div></body>"
         assert B.main_text(page).split("\n") == TEXT
+
+
+def plain_stretches(weights, windows):
+    """Surge and dive points by adding up every window anew; the text between the first surge and the last dive."""
+    sums = [sum(weights[i : i + windows.lines]) for i in range(len(weights))]
+    inside, marked = False, []
+    for weight, total in zip(weights, sums):
+        if inside and total <= windows.dive:
+            inside = False
+        elif not inside and total >= windows.surge and weight:
+            inside = True
+        marked.append(inside)
+    if True not in marked:
+        return [False] * len(weights)
+    first, last = marked.index(True), len(marked) - 1 - marked[::-1].index(True)
+    return [first <= i <= last and w > 0 for i, w in enumerate(weights)]
+
+
+def test_windows_against_plain_sums():
+    rng = random.Random(6)
+    for _ in range(2000):
+        weights = [rng.choice([0, 0, 3, 20, 70, 200]) for _ in range(rng.randint(0, 25))]
+        windows = B.Windows(lines=rng.randint(1, 5), surge=rng.randint(1, 250), dive=rng.randint(0, 100))
+        assert B.stretches(weights, windows) == plain_stretches(weights, windows)
+
+
+UNMARKED = "<html><body>{before}<div><p>{long}</p>{between}<p>{long}</p></div>{after}</body></html>"
+LONG = "This paragraph says something at length about one thing and another, so that it weighs more than a menu or a notice would. " * 2
+
+
+def test_short_lines_between_paragraphs_stay_and_those_around_go():
+    short = "".join(f"<p>{t}</p>" for t in ("Yes.", "No.", "Why?", "Ok then.", "Sure."))
+    menu = "".join(f"<div>{t}</div>" for t in ("Home", "News", "Sport", "Weather", "About"))
+    text = B.main_text(UNMARKED.format(before=menu, long=LONG, between=short, after=menu))
+    assert text.split("\n") == [*(["Weather", "About"]), LONG.strip(), "Yes.", "No.", "Why?", "Ok then.", "Sure.", LONG.strip()]
+
+
+def test_the_windows_decide_without_an_article():
+    page = UNMARKED.format(before="<div>Home</div>" * 6, long=LONG, between="", after="<div>Imprint</div>" * 6)
+    narrow, wide = (B.main_text(page, B.Windows(lines=n)) for n in (1, 5))
+    assert narrow == "\n".join([LONG.strip()] * 2) and wide.count("Home") == 4 and "Imprint" not in wide
+    assert B.main_text(page, B.Windows(surge=1, dive=0)).count("Imprint") == 6
+
+
+def test_text_of_formulas_and_drawings_stays():
+    page = "<article><p>Let <math><mi>x</mi><mo>=</mo><mn>2</mn></math>.</p><svg><text>Axis</text></svg><object>fallback</object></article>"
+    assert "x=2" in B.main_text(page) and "Axis" in B.main_text(page) and "fallback" in B.main_text(page)
+
+
+@pytest.mark.parametrize(
+    "page",
+    ['<div class="comment">' * 100_000, "<b>" * 50_000 + "</i>" * 50_000, "<a " * 100_000, "<a " * 100_000 + ">", "<ul><li>" * 50_000,
+     "<!--" * 100_000, '<a b="' * 100_000, "</" * 100_000 + ">", "<script>" + "</scrip " * 50_000, "&#" * 100_000, "<" * 100_000],
+)
+def test_hostile_pages_cost_little(page):
+    began = time.process_time()
+    B.main_text(page + "<p>words</p>")
+    assert time.process_time() - began < 8

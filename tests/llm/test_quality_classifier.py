@@ -90,3 +90,50 @@ def test_on_tables(spark, clashing, texts, nothing):
     nobody = Q.fitted(docs, labels.where("label = 1"), network=SMALL)
     assert nobody is None and {r.s for r in docs.select(Q.scores(docs.text, nobody).alias("s")).collect()} == {0.5}
     assert nothing.select(Q.scores(nothing.text, model).alias("s")).count() == 0
+
+
+def plain_score(text, model):
+    """Every filter at every place of every chunk, one product at a time."""
+    n, w = model.network, {k: v.astype(float) for k, v in model.weights.items()}
+    raw = list(text.encode())
+    step = n.chunk // 2
+    begins = range(0, max(1, -(-(len(raw) - step) // step)) * step, step)
+    units = []
+    for begin in begins:
+        chunk = [raw[i] if i < len(raw) else Q.PAD for i in range(begin, begin + n.chunk)]
+        pooled = []
+        for f in range(n.filters):
+            best = 0.0
+            for at in range(0, n.chunk - n.width + 1, n.stride):
+                total = w["filter_bias"][f]
+                for k in range(n.width):
+                    for e in range(n.embedding):
+                        total += w["embed"][chunk[at + k]][e] * w["filter"][k * n.embedding + e][f]
+                best = max(best, total)
+            pooled.append(best)
+        units.append([max(0.0, sum(p * w["dense"][f][u] for f, p in enumerate(pooled)) + w["dense_bias"][u]) for u in range(n.units)])
+    features = [max(c) for c in zip(*units)] + [sum(c) / len(units) for c in zip(*units)]
+    logit = sum(x * y for x, y in zip(features, w["last"][:, 0])) + w["last_bias"][0]
+    return 1 / (1 + np.exp(-logit))
+
+
+@pytest.mark.parametrize("text", ["", "a", "ruin stone " * 4, "é日本 \U0001f600 !! " * 12, "x" * 200, "mixed UP " * 30 + "tail"])
+def test_score_against_plain_loops(text):
+    network = Q.Network(chunk=32, width=4, stride=2, embedding=3, filters=5, units=4)
+    model = Q.Model.new(network)
+    rng = np.random.default_rng(1)
+    model.weights = {k: (v + rng.normal(0, 0.1, v.shape)).astype(np.float32) for k, v in model.weights.items()}
+    assert model.score(text) == pytest.approx(plain_score(text, model), abs=1e-5)
+
+
+def test_whole_sampled_texts_train(spark, monkeypatch):
+    """Every byte of the sampled rows reaches training, however long the text, and no other row does."""
+    seen = []
+    monkeypatch.setattr(Q, "trained", lambda texts, labels, network: seen.extend(zip(texts, labels.tolist())))
+    long = "".join(chr(97 + i % 26) for i in range(50_000))
+    docs = spark.createDataFrame([(1, long), (2, "short"), (3, None), (4, "unlabelled"), (2, "same id")], "doc_id long, text string")
+    labels = spark.createDataFrame([(1, 1), (2, 0), (3, 1), (9, 0), (None, 1)], "doc_id long, label int")
+    Q.fitted(docs, labels, network=SMALL)
+    step = SMALL.chunk // 2
+    back = [(bytes(b for b in [*t[0], *[x for c in t[1:] for x in c[step:]]] if b != Q.PAD).decode(), label) for t, label in seen]
+    assert back == [(long, 1), ("same id", 0), ("", 1)]

@@ -100,3 +100,43 @@ def test_narrow_alphabets(spark):
     hits = {r.kind: r.n for r in S.secret_spans(docs).where(random_run).groupBy("kind").agg(F.count("*").alias("n")).collect()}
     assert hits.get("hex", 0) > 85 and hits.get("lower", 0) > 85 and hits.get("base 32", 0) > 50
     assert sum(hits.get(k, 0) for k in makers) <= 4
+
+
+def plainly_redacted(text, spans):
+    out, at = [], 0
+    for _, start, end, _ in spans:
+        if start >= at:
+            out += [text[at:start], "[SECRET]"]
+        at = max(at, end)
+    return "".join(out) + text[at:]
+
+
+def test_many_spans_against_plain(spark):
+    """Thousands of spans in one text, overlapping ones, and texts that end at a chunk's or a span's border."""
+    rng = random.Random(12)
+    lines = [f"é token={rng.randbytes(24).hex()}/x {rng.randbytes(16).hex()}\U0001f600" for _ in range(1500)]
+    texts = ["\n".join(lines), "a" * 1024 + " " + "0f" * 500, "0123456789abcdef" * 64, "password=" + "ab12cd" * 40, "x" * 2048, ""]
+    frame = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    found = S.secret_spans(frame)
+    rows = found.select("doc_id", "spans", S.redacted(F.col("text"), F.col("spans")).alias("clean")).collect()
+    assert len(rows) == len(texts)
+    for row in rows:
+        assert row.clean == plainly_redacted(texts[row.doc_id], row.spans)
+    base = {(s.start, s.end) for s in rows[0].spans if s.kind != "random"}
+    assert len(base) >= 3000
+    for s in (s for s in rows[0].spans if s.kind == "random"):
+        assert not any(a <= s.start and s.end <= b for a, b in base)
+
+
+def test_reach_and_outside_against_plain(spark):
+    rng = random.Random(13)
+    rows = []
+    for i in range(40):
+        span = lambda kind: (kind, a := rng.randint(0, 300), a + rng.randint(1, 60), "v")
+        rows.append((i, sorted((span("hex") for _ in range(rng.randint(0, 30))), key=lambda s: s[1]), [span("random") for _ in range(rng.randint(0, 30))]))
+    frame = spark.createDataFrame(rows, f"i long, base {S.SPAN}, runs {S.SPAN}")
+    got = frame.select("i", S.outside(F.col("runs"), F.col("base"), 4).alias("kept"), S.reach_before(F.col("base"), lambda s: s["end"], 4).alias("reach"))
+    for i, kept, reach in got.collect():
+        _, base, runs = rows[i]
+        assert sorted(map(tuple, kept)) == sorted(r for r in runs if not any(b[1] <= r[1] and r[2] <= b[2] for b in base))
+        assert reach == [max((b[2] for b in base[:k]), default=0) for k in range(len(base))]

@@ -105,3 +105,11 @@ def test_one_of_each(spark, clashing, nothing):
     assert ids == sorted(set(component.values()))
     assert kept.where("doc_id is null").count() == 2
     assert S.one_of_each(nothing).count() == 0 and S.near_copies(nothing).count() == 0
+
+
+def test_an_id_with_different_texts_keeps_one_in_each_component(spark):
+    a, b = "the first text of some words that stands here", "quite another one which shares nothing with it at all"
+    rows = [(1, a, "x"), (1, b, "y"), (2, a, "z"), (3, b, "w"), (1, a, "a"), (None, a, "n")]
+    for partitions in (1, 3, 6):
+        frame = spark.createDataFrame(rows, "doc_id long, text string, kept_id string").repartition(partitions)
+        assert set(map(tuple, S.one_of_each(frame).collect())) == {(1, a, "a"), (1, b, "y"), (None, a, "n")}
