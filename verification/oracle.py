@@ -393,6 +393,53 @@ def report_sql() -> str:
     )
 
 
+#: Table, column, kind, category, severity, and the violations in SQL.
+ARRIVALS = """
+stg_synthea_patients | person_source_value | not_null | conformance | error | count(*) filter (where person_source_value is null)
+stg_synthea_patients | person_source_value | unique | conformance | error | {again}
+stg_synthea_patients | gender_source_value | accepted_values | conformance | error | count(distinct gender_source_value) filter (where gender_source_value not in ('F', 'M'))
+stg_synthea_patients | birth_date | not_null | completeness | warn | count(*) filter (where birth_date is null)
+stg_synthea_patients | birth_date | between | plausibility | error | count(*) filter (where year(birth_date) < 1900 or year(birth_date) > 2100)
+stg_synthea_patients | death_date | expression_is_true | plausibility | error | count(*) filter (where death_date < birth_date)
+stg_synthea_encounters | visit_source_value | not_null | conformance | error | count(*) filter (where visit_source_value is null)
+stg_synthea_encounters | visit_source_value | unique | conformance | error | {again}
+stg_synthea_encounters | person_source_value | relationships | conformance | error | {orphans}
+stg_synthea_encounters | visit_start_date | not_null | completeness | error | count(*) filter (where visit_start_date is null)
+stg_synthea_encounters | visit_end_date | expression_is_true | plausibility | error | count(*) filter (where visit_end_date < visit_start_date)
+stg_synthea_encounters | encounter_class | accepted_values | conformance | error | count(distinct encounter_class) filter (where encounter_class not in ('inpatient', 'emergency', 'ambulatory', 'outpatient', 'wellness'))
+stg_synthea_conditions | person_source_value | relationships | conformance | error | {orphans}
+stg_synthea_conditions | condition_start_date | not_null | completeness | error | count(*) filter (where condition_start_date is null)
+stg_synthea_medications | person_source_value | relationships | conformance | error | {orphans}
+stg_synthea_medications | drug_exposure_start_date | not_null | completeness | error | count(*) filter (where drug_exposure_start_date is null)
+stg_synthea_medications | drug_exposure_end_date | expression_is_true | plausibility | error | count(*) filter (where drug_exposure_end_date < drug_exposure_start_date)
+stg_synthea_medications | dispenses | between | plausibility | warn | count(*) filter (where dispenses < 1 or dispenses > 40)
+stg_synthea_observations | person_source_value | relationships | conformance | error | {orphans}
+stg_synthea_observations | measurement_date | not_null | completeness | error | count(*) filter (where measurement_date is null)
+stg_synthea_observations | value_as_number | not_null | completeness | warn | count(*) filter (where unit_source_value <> '' and value_as_number is null)
+stg_synthea_procedures | person_source_value | relationships | conformance | error | {orphans}
+stg_synthea_procedures | procedure_date | not_null | completeness | error | count(*) filter (where procedure_date is null)
+"""
+
+
+def arrivals_sql() -> str:
+    """The checks on arriving files over the whole tables."""
+    lines = []
+    for line in ARRIVALS.strip().splitlines():
+        table, column, kind, category, severity, count = (part.strip() for part in line.split(" | ", 5))
+        known = "person_source_value not in (select person_source_value from stg_synthea_patients)"
+        if "{again}" in count:  # keys that several rows have, each once
+            count = f"select count(*) from (select 1 from {table} where {column} is not null group by {column} having count(*) > 1)"
+        else:
+            count = f"select {count.replace('{orphans}', f'count(*) filter (where {known})')} from {table}"
+        name = f"{kind}_{table}_{column}" + ("_stg_synthea_patients" if kind == "relationships" else "")
+        lines.append(f"select {', '.join(map(literal, (name, table, column, category, severity)))}, ({count})")
+    return statement(
+        "select *, case when violations = 0 then 'PASS' when severity = 'warn' then 'WARN' else 'ERROR' end as status from ("
+        + "\nunion all ".join(lines)
+        + ") as t(check_name, table_name, column_name, category, severity, violations)"
+    )
+
+
 def lines_sql(*groups: str) -> str:
     """The reconciliation lines of some groups."""
     parts = []

@@ -20,7 +20,8 @@ from caremeld.plans.layers import ANALYTICS, CLINICAL, GENOMIC, PROJECTED, Layer
 from caremeld.plans.staging import VIEWS
 from caremeld.session import new_path
 from caremeld.sources import landing, seeds, tables, variants
-from verification.oracle import AS_OF_YEAR, date, lines_sql, number, report_sql, statement, whole
+from caremeld.streaming import validation
+from verification.oracle import AS_OF_YEAR, arrivals_sql, date, lines_sql, number, report_sql, statement, whole
 from verification.projection import RAW_SQL, RawTables, oracle_raw, raw_table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -900,6 +901,45 @@ def dq_report(spark, sf_dir):
     )
 
 
+# ---- Checks on arrival ---------------------------------------------------------------------------------------------
+
+
+def arrivals(spark, sf_dir, view: str, parts: int = 2) -> tuple[validation.Feed, list[str], str]:
+    """The raw table of a staging view as CSV files in a folder, its feed and its columns; no file has arrived yet."""
+    table, project = VIEWS[view]
+    raw, folder = RawTables(spark, sf_dir), new_path(spark, f"arriving-{view}")
+    write_flat(raw[table].repartition(parts), f"{folder}/all")
+    patients = VIEWS["stg_synthea_patients"][1](raw["synthea__patients"])
+    feed = validation.Feed(view, project, quality.arrival_checks()[view], f"{folder}/feed", {"stg_synthea_patients": patients})
+    return feed, raw[table].columns, folder
+
+
+def taken(spark, feed, columns: list[str], folder: str, files: str = "all/part-*") -> None:
+    """What has arrived and was not taken, a file a batch, with a checkpoint that outlives the stream."""
+    stream = validation.arriving(spark, f"{folder}/{files}", columns, files_per_batch=1)
+    validation.watch(stream, feed, f"{folder}/checkpoint").awaitTermination()
+
+
+@query("stream_checks", arrivals_sql())
+def stream_checks(spark, sf_dir):
+    """The event files of the synthetic source, checked batch by batch; the report over all batches."""
+    reports = []
+    for view in quality.arrival_checks():
+        feed, columns, folder = arrivals(spark, sf_dir, view)
+        taken(spark, feed, columns, folder)
+        reports.append(validation.report(spark, feed))
+    return union(reports)
+
+
+@query("stream_landing", whole("synthea__encounters"))
+def stream_landing(spark, sf_dir):
+    """All visits, landed by a stream that ends and starts again from its checkpoint, and then has nothing to do."""
+    feed, columns, folder = arrivals(spark, sf_dir, "stg_synthea_encounters")
+    for _ in range(2):
+        taken(spark, feed, columns, folder)
+    return validation.rows(spark, feed, columns)
+
+
 # ---- Reconciliation ------------------------------------------------------------------------------------------------
 
 REPORT = "check_group, item, source_count, modeled_count, delta, note"
