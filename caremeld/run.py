@@ -15,7 +15,7 @@ from caremeld.plans.layers import Layers, build
 from caremeld.plans.reconcile import reconciliation
 from caremeld.plans.staging import VIEWS
 from caremeld.session import intermediates
-from caremeld.sources import landing, seeds
+from caremeld.sources import incremental, landing, seeds
 from caremeld.sources.tables import save_table
 
 
@@ -38,6 +38,7 @@ def run(
     location: str | None = None,
     as_of_year: int | None = None,
     sources: list[landing.Source] = landing.SOURCES,
+    kept: str | None = None,
 ) -> Outcome:
     """Lands the files below ``base``, builds every layer from the landed tables, and checks the result.
 
@@ -46,11 +47,18 @@ def run(
     databases ``<prefix>raw``, ``vocab``, ``omop``, ``genomic`` and ``analytics``, below ``location`` where it is given; the
     three reports are tables of ``<prefix>reports``, evaluated once. A study without a mutation file is built from its API pages, or
     without variants; any other missing file that a model needs stops the run.
+
+    With ``kept``, a folder that outlives the run, only files that are new or changed since the last run are landed there (see
+    ``sources.incremental``); the report names each of them, and files that were removed lose their rows.
     """
     year = as_of_year or dt.date.today().year
     reports = f"{prefix}reports"
-    files = landing.discover_files(spark, base, sources)
-    landed = landing.land_all(spark, files, f"{prefix}raw", location, sources=sources)
+    if kept:
+        changes = incremental.land_changes(spark, base, kept, sources, drop_removed=True)
+        landed = changes.select("table_name", F.lit(None).cast("long").alias("n_rows"), "path", F.col("status").alias("note"))
+    else:
+        files = landing.discover_files(spark, base, sources)
+        landed = landing.land_all(spark, files, f"{prefix}raw", location, sources=sources)
 
     extracts = [landing.read_vocabulary(spark, path) for path in vocabularies or []]
     merged = landing.merge_vocabularies(extracts) if extracts else landing.empty_vocabulary(spark)
@@ -66,8 +74,11 @@ def run(
             )
         )
     landed = save_table(landed, reports, "landed", location)
-    loaded = [r.table_name for r in landed.filter("table_name <> 'concept' and n_rows is not null").collect()]
-    raw = {name: spark.table(f"{prefix}raw.{name}") for name in loaded}
+    if kept:
+        raw = landing.without_variants(spark, sources) | incremental.landed_tables(spark, kept)
+    else:
+        loaded = [r.table_name for r in landed.filter("table_name <> 'concept' and n_rows is not null").collect()]
+        raw = {name: spark.table(f"{prefix}raw.{name}") for name in loaded}
     needed = sorted({table for table, _ in VIEWS.values()} - set(raw))
     if needed:
         raise FileNotFoundError(f"no file was found for {', '.join(needed)} below {base}")
@@ -104,6 +115,7 @@ def main(arguments: list[str] | None = None) -> int:
     parser.add_argument("--concept-map", help="reviewed map as CSV, in place of the packaged one")
     parser.add_argument("--location", help="folder for the tables; the catalog's default without it")
     parser.add_argument("--prefix", default="", help="put before every database name")
+    parser.add_argument("--kept", help="folder of an earlier run's raw rows: land only files that changed since")
     parser.add_argument("--as-of-year", type=int, help="year that caps ages; the current one without it")
     parser.add_argument(
         "--source",
@@ -125,6 +137,7 @@ def main(arguments: list[str] | None = None) -> int:
         options.location,
         options.as_of_year,
         sources or landing.SOURCES,
+        options.kept,
     )
     # One row per landed table, check or report line: these follow the number of files, not their size.
     for report in (outcome.landed, outcome.checks, outcome.reconciliation):

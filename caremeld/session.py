@@ -79,11 +79,15 @@ def remove_intermediate(spark: SparkSession) -> None:
     _delete(spark, _taken.get())
 
 
+def delete(spark: SparkSession, path: str) -> None:
+    """Removes a file or a folder, if it is there."""
+    place = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    place.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(place, True)
+
+
 def _delete(spark: SparkSession, paths: list[str]) -> None:
-    jvm, configuration = spark.sparkContext._jvm, spark.sparkContext._jsc.hadoopConfiguration()
     for name in paths:
-        path = jvm.org.apache.hadoop.fs.Path(name)
-        path.getFileSystem(configuration).delete(path, True)
+        delete(spark, name)
     paths.clear()
 
 

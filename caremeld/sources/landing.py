@@ -58,14 +58,15 @@ def is_missing(error: AnalysisException) -> bool:
     return error.getCondition() == "PATH_NOT_FOUND"
 
 
-def read_flat(spark: SparkSession, path: str, multi_line: bool = True) -> DataFrame:
+def read_flat(spark: SparkSession, path: str, multi_line: bool = True, named: str | None = None) -> DataFrame:
     """A comma-separated ``.csv`` or tab-separated ``.txt`` file, or a folder of its parts, every column a string.
 
     Lines that start with ``#`` are skipped. Empty cells are empty strings and never NULL, and words such as ``NA`` stay
     words. Every part must have the same header, else reading fails. Cells may hold line breaks inside quotes unless
-    ``multi_line`` is off; then large files are split between tasks and rows of another length fail.
+    ``multi_line`` is off; then large files are split between tasks and rows of another length fail. For one part of a
+    folder, ``named`` is the folder, whose name says how cells are separated.
     """
-    separator = "\t" if path.rstrip("/").endswith(".txt") else ","
+    separator = "\t" if (named or path).rstrip("/").endswith(".txt") else ","
     read = spark.read.csv(
         path,
         sep=separator,
@@ -141,11 +142,12 @@ def manifest(spark: SparkSession, files: DataFrame, sources: list[Source] = SOUR
     )
 
 
-def read_landed(spark: SparkSession, path: str, multi_line: bool) -> DataFrame:
-    """A flat file, or API pages: ``.json`` holds a page per file, ``.jsonl`` a page per line."""
-    if path.endswith((".json", ".jsonl")):
-        return read_mutation_pages(spark, path, page_per_file=path.endswith(".json"))
-    return read_flat(spark, path, multi_line)
+def read_landed(spark: SparkSession, path: str, multi_line: bool, named: str | None = None) -> DataFrame:
+    """A flat file, or API pages: ``.json`` holds a page per file, ``.jsonl`` a page per line. ``named`` as in ``read_flat``."""
+    table = named or path
+    if table.endswith((".json", ".jsonl")):
+        return read_mutation_pages(spark, path, page_per_file=table.endswith(".json"))
+    return read_flat(spark, path, multi_line, table)
 
 
 def land_all(
@@ -193,6 +195,12 @@ def land_all(
     return reduce(DataFrame.unionByName, [*counted, spark.createDataFrame(sorted(absent), LANDED_SCHEMA)])
 
 
+def without_variants(spark: SparkSession, sources: list[Source] = SOURCES) -> dict[str, DataFrame]:
+    """The mutation table of every study as it is when neither a file nor API pages were found."""
+    empty = spark.createDataFrame([], T.StructType([T.StructField(c, T.StringType()) for c in MAF_COLUMNS]))
+    return {f"{s.name}__{PAGED_FILE}": empty for s in sources if s.kind == "study"}
+
+
 def empty_vocabulary(spark: SparkSession) -> DataFrame:
     columns = [T.StructField(c.upper(), T.StringType()) for c in CONCEPT_COLUMNS]
     columns[0] = T.StructField("CONCEPT_ID", T.LongType())

@@ -80,3 +80,17 @@ def test_sources_are_parameters_and_missing_files_stop_the_run(spark, raw, tmp_p
     sources = [Source("synthea", "synthetic", "generated"), *SOURCES[1:]]
     outcome = run(spark, moved, prefix="moved_", location=str(tmp_path / "moved"), as_of_year=AS_OF_YEAR, sources=sources)
     assert outcome.tables["person"].count() == 13
+
+
+def test_a_second_run_lands_what_changed(spark, raw, models, tmp_path):
+    """Runs over kept rows give what a run over all files gives, with a study that has no variants."""
+    folder, kept = zone(raw, tmp_path / "files", ("tcga_brca__data_mutations",)), str(tmp_path / "kept")
+    again = lambda n: run(spark, folder, prefix=f"kept{n}_", location=str(tmp_path / f"db{n}"), as_of_year=AS_OF_YEAR, kept=kept)
+    first, second = again(1), again(2)
+    assert {r.note for r in first.landed.collect()} == {"NEW"} and second.landed.count() == 0
+    for name in ("person", "visit_occurrence", "observation", "metabric_mutations"):
+        assert rows(second.tables[name]) == rows(first.tables[name]) != [], name
+    assert rows(second.tables["visit_occurrence"].drop("visit_occurrence_id")) == rows(
+        models.table("visit_occurrence").select(second.tables["visit_occurrence"].columns).drop("visit_occurrence_id")
+    )
+    assert second.tables["tcga_brca_mutations"].count() == 0

@@ -18,8 +18,9 @@ from caremeld.operators.unpivot import clinical_observations, tumour_measurement
 from caremeld.plans import clinical, deid, quality, reconcile
 from caremeld.plans.layers import ANALYTICS, CLINICAL, GENOMIC, PROJECTED, Layers, build
 from caremeld.plans.staging import VIEWS
+from caremeld import session
 from caremeld.session import new_path
-from caremeld.sources import landing, seeds, tables, variants
+from caremeld.sources import incremental, landing, seeds, tables, variants
 from caremeld.streaming import validation
 from verification.oracle import AS_OF_YEAR, arrivals_sql, date, lines_sql, number, report_sql, statement, whole
 from verification.projection import RAW_SQL, RawTables, oracle_raw, raw_table
@@ -901,6 +902,60 @@ def dq_report(spark, sf_dir):
     )
 
 
+# ---- Incremental load ----------------------------------------------------------------------------------------------
+
+CONDITIONS = "synthea__conditions"
+
+
+def put_part(spark, rows: DataFrame, folder: str, number: int) -> None:
+    """One part file of a table, in place of the one with this number."""
+    written = new_path(spark, "part")
+    write_flat(rows.coalesce(1), written)
+    path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path
+    system = path(folder).getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    system.mkdirs(path(folder))
+    found = next(f.getPath() for f in system.listStatus(path(written)) if f.getPath().getName().startswith("part-"))
+    target = path(f"{folder}/part-{number}.csv")
+    system.delete(target, False)
+    system.rename(found, target)
+
+
+def loaded_twice(spark, sf_dir) -> tuple[str, DataFrame, DataFrame]:
+    """Conditions in five files by code, landed; then one file is put right, one added, one taken away; landed again."""
+    rows = raw_table(spark, sf_dir, CONDITIONS)
+    part = F.col("CODE").cast("long") % 5
+    base, location = new_path(spark, "incoming"), new_path(spark, "landed")
+    folder = f"{base}/synthea/csv/conditions.csv"
+    wrong = rows.withColumn("DESCRIPTION", F.concat(F.lit("wrong "), "DESCRIPTION"))
+    for number, content in ((0, rows), (1, rows), (2, wrong), (3, rows)):
+        put_part(spark, content.filter(part == number), folder, number)
+    first = incremental.land_changes(spark, base, location)
+    put_part(spark, rows.filter(part == 2), folder, 2)
+    put_part(spark, rows.filter(part == 4), folder, 4)
+    session.delete(spark, f"{folder}/part-0.csv")
+    return location, first, incremental.land_changes(spark, base, location, drop_removed=True)
+
+
+@query("incremental_load", f"select * from ({oracle_raw(CONDITIONS)}) where cast(CODE as bigint) % 5 <> 0")
+def incremental_load(spark, sf_dir):
+    """What two loads leave: the rows of the files that are there."""
+    location, _, _ = loaded_twice(spark, sf_dir)
+    return incremental.table(spark, location, CONDITIONS)
+
+
+@query(
+    "incremental_report",
+    "select run, status, count(*) as n_files, sum(n)::bigint as n_lines from (values (1, 'NEW', 0), (1, 'NEW', 1), (1, 'NEW', 2), (1, 'NEW', 3), "
+    "(2, 'CHANGED', 2), (2, 'NEW', 4), (2, 'REMOVED', 0)) as f(run, status, part) join (select part, count(c) + 1 as n from range(5) p(part) "
+    f"left join (select cast(CODE as bigint) % 5 as k, CODE as c from ({oracle_raw(CONDITIONS)})) on k = part group by part) using (part) group by 1, 2",
+)
+def incremental_report(spark, sf_dir):
+    """The ledger of both loads: files by status, with the lines that their checksums cover (the header is one)."""
+    _, first, second = loaded_twice(spark, sf_dir)
+    lines = F.split("checksum", "-")[0].cast("long")
+    return first.unionByName(second).groupBy("run", "status").agg(F.count("*").alias("n_files"), F.sum(lines).alias("n_lines"))
+
+
 # ---- Checks on arrival ---------------------------------------------------------------------------------------------
 
 
