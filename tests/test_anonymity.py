@@ -1,0 +1,89 @@
+"""Classes, steps and the chosen one against counting by hand."""
+
+from __future__ import annotations
+
+import random
+from collections import Counter
+from itertools import product
+
+import pytest
+
+from caremeld.plans import anonymity as A
+
+SCHEMA = "person_id long, gender_concept_id long, year_of_birth long, race_concept_id long, ethnicity_concept_id long"
+
+
+def made(n, seed):
+    rng = random.Random(seed)
+    return [(i, rng.choice([8507, 8532]), rng.choice([None, *range(1930, 1999)]), rng.choice([1, 2, None]), rng.choice([3, 4])) for i in range(n)]
+
+
+def value(x, width):
+    if width == 0:
+        return "*"
+    if x is None:
+        return "unknown"
+    return str(x) if width == 1 else f"{x // width * width}-{x // width * width + width - 1}"
+
+
+def by_hand(people, k, hidden=0.0):
+    places = {"gender_concept_id": 1, "year_of_birth": 2, "race_concept_id": 3, "ethnicity_concept_id": 4}
+    rows = {}
+    for step in product(*[range(len(i.widths)) for i in A.PERSON]):
+        classes = Counter(tuple(value(p[places[i.column]], i.widths[s]) for i, s in zip(A.PERSON, step)) for p in people)
+        risk = sum(n for n in classes.values() if n < k)
+        rows[step] = (sum(step), len(classes), min(classes.values()), sum(n < k for n in classes.values()), risk, risk / len(people))
+    will_do = [s for s, r in rows.items() if r[-1] <= hidden]
+    best = min(will_do, key=lambda s: (rows[s][0], -rows[s][1], s[::-1]), default=None)
+    return rows, best
+
+
+@pytest.mark.parametrize("n, k, hidden", [(300, 5, 0.0), (300, 5, 0.05), (1000, 2, 0.0), (40, 10, 0.0), (3, 5, 0.0)])
+def test_against_counting_by_hand(spark, n, k, hidden):
+    people = made(n, n + k)
+    rows, best = by_hand(people, k, hidden)
+    report = A.step_report(spark.createDataFrame(people, SCHEMA), k, hidden_share=hidden).collect()
+    assert {tuple(r.levels): tuple(r)[1:-1] for r in report} == rows
+    assert [tuple(r.levels) for r in report if r.chosen] == ([best] if best else [])
+
+
+def test_a_singleton_fires(spark):
+    crowd = [(i, 8507, 1950, 1, 3) for i in range(20)]
+    frame = spark.createDataFrame([*crowd, (99, 8532, 1990, 2, 4)], SCHEMA)
+    alone = A.small_classes(frame, 2).collect()
+    assert [(r.year_of_birth, r.n_people) for r in alone] == [(1990, 1)]
+    finest = next(r for r in A.step_report(frame, 2).collect() if set(r.levels) == {0})
+    assert (finest.smallest_class, finest.n_people_at_risk, finest.chosen) == (1, 1, False)
+    assert A.small_classes(spark.createDataFrame(crowd, SCHEMA), 2).count() == 0
+
+
+@pytest.mark.parametrize("hidden", [0.0, 0.1])
+def test_the_published_table_reaches_k(spark, hidden):
+    people = made(400, 1)
+    frame = spark.createDataFrame(people, SCHEMA)
+    published, levels = A.anonymous(frame, 8, hidden_share=hidden)
+    rows = published.collect()
+    assert published.columns == frame.columns
+    classes = Counter(tuple(r)[1:] for r in rows)
+    assert min(classes.values()) >= 8 and len(rows) >= 400 * (1 - hidden)
+    assert tuple(levels) == by_hand(people, 8, hidden)[1]
+    assert len({r.person_id for r in rows}) == len(rows)
+
+
+def test_too_few_people_and_none(spark):
+    with pytest.raises(ValueError):
+        A.anonymous(spark.createDataFrame(made(3, 2), SCHEMA), 5)
+    assert A.step_report(spark.createDataFrame([], SCHEMA), 5).count() == 0
+
+
+def test_people_are_scanned_and_shuffled_once(spark):
+    plan = A.step_report(spark.createDataFrame(made(50, 3), SCHEMA).repartition(3), 5)._jdf.queryExecution().optimizedPlan().toString()
+    assert "Generate explode" in plan
+
+
+def test_a_hot_class(spark):
+    """A third of all people are alike."""
+    people = [*made(200, 4), *[(1000 + i, 8507, 1960, 1, 3) for i in range(100)]]
+    rows, best = by_hand(people, 3)
+    report = A.step_report(spark.createDataFrame(people, SCHEMA), 3).where("chosen").first()
+    assert tuple(report.levels) == best

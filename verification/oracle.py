@@ -393,6 +393,41 @@ def report_sql() -> str:
     )
 
 
+def anonymity_sql(k: int, what: str) -> str:
+    """The steps over the de-identified people, the combinations that are rare, or the people at the chosen step."""
+    band = lambda n: (
+        f"(year_of_birth // {n} * {n})::varchar || '-' || (year_of_birth // {n} * {n} + {n - 1})::varchar"
+    )
+    either = lambda column, level: (
+        f"case {level} when 0 then coalesce({column}::varchar, 'unknown') else '*' end"
+    )
+    values = f"""case y when 0 then coalesce(year_of_birth::varchar, 'unknown') when 4 then '*' else coalesce(case y
+            when 1 then {band(5)} when 2 then {band(10)} else {band(25)} end, 'unknown') end as year_of_birth,
+        {either("race_concept_id", "r")} as race_concept_id, {either("ethnicity_concept_id", "e")} as ethnicity_concept_id,
+        {either("gender_concept_id", "g")} as gender_concept_id"""
+    if what == "small":
+        return statement(
+            "select year_of_birth, race_concept_id, ethnicity_concept_id, gender_concept_id, count(*) as n_people from person_deid "
+            f"group by all having count(*) < {k}"
+        )
+    steps = f"""steps as (
+        select y::varchar || r::varchar || e::varchar || g::varchar as levels, y + r + e + g as height, count(*) as n_classes,
+               min(n) as smallest_class, count(*) filter (where n < {k}) as n_small_classes,
+               (coalesce(sum(n) filter (where n < {k}), 0))::bigint as n_people_at_risk,
+               coalesce(sum(n) filter (where n < {k}), 0) / sum(n) as share_at_risk, y, r, e, g
+        from (select y, r, e, g, year_of_birth, race_concept_id, ethnicity_concept_id, gender_concept_id, count(*) as n
+              from (select person_id, y, r, e, g, {values} from person_deid, range(5) as a(y), range(2) as b(r), range(2) as c(e), range(2) as d(g))
+              group by all) group by y, r, e, g),
+    best as (select levels as best from steps where share_at_risk <= 0 order by height, n_classes desc, g, e, r, y limit 1)"""
+    if what == "report":
+        final = "select * exclude (y, r, e, g, best), levels is not distinct from best as chosen from steps left join best on true"
+    else:
+        final = (
+            f"select person_id, {values} from (select * from person_deid, (select y, r, e, g from steps join best on levels = best))"
+        )
+    return statement("select * from person_deid").rsplit("\n", 1)[0] + ",\n" + steps + "\n" + final
+
+
 #: Table, column, kind, category, severity, and the violations in SQL.
 ARRIVALS = """
 stg_synthea_patients | person_source_value | not_null | conformance | error | count(*) filter (where person_source_value is null)

@@ -15,14 +15,14 @@ from caremeld.operators import checks
 from caremeld.operators import concepts as C
 from caremeld.operators.surrogate import assign_surrogate_id
 from caremeld.operators.unpivot import clinical_observations, tumour_measurements
-from caremeld.plans import clinical, deid, quality, reconcile
+from caremeld.plans import anonymity, clinical, deid, quality, reconcile
 from caremeld.plans.layers import ANALYTICS, CLINICAL, GENOMIC, PROJECTED, Layers, build
 from caremeld.plans.staging import VIEWS
 from caremeld import session
 from caremeld.session import new_path
 from caremeld.sources import incremental, landing, seeds, tables, variants
 from caremeld.streaming import validation
-from verification.oracle import AS_OF_YEAR, arrivals_sql, date, lines_sql, number, report_sql, statement, whole
+from verification.oracle import AS_OF_YEAR, anonymity_sql, arrivals_sql, date, lines_sql, number, report_sql, statement, whole
 from verification.projection import RAW_SQL, RawTables, oracle_raw, raw_table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -902,6 +902,29 @@ def dq_report(spark, sf_dir):
     )
 
 
+# ---- Re-identification risk ----------------------------------------------------------------------------------------
+
+K = 5
+
+
+@query("k_anonymity_steps", anonymity_sql(K, "report"))
+def k_anonymity_steps(spark, sf_dir):
+    """Every step of the generalisation hierarchy over the de-identified people, and the one that is chosen."""
+    steps = anonymity.step_report(layers(spark, sf_dir).table("person_deid"), K)
+    return steps.withColumn("levels", F.concat_ws("", "levels"))
+
+
+@query("k_anonymity_small_classes", anonymity_sql(K, "small"))
+def k_anonymity_small_classes(spark, sf_dir):
+    return anonymity.small_classes(layers(spark, sf_dir).table("person_deid"), K)
+
+
+@query("k_anonymity_published", anonymity_sql(K, "published"))
+def k_anonymity_published(spark, sf_dir):
+    """The people at the chosen step."""
+    return anonymity.anonymous(layers(spark, sf_dir).table("person_deid"), K)[0]
+
+
 # ---- Incremental load ----------------------------------------------------------------------------------------------
 
 CONDITIONS = "synthea__conditions"
