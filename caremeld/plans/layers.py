@@ -9,7 +9,7 @@ from functools import cached_property
 
 from pyspark.sql import DataFrame
 
-from caremeld.operators import concepts
+from caremeld.operators import concepts, relationships
 from caremeld.operators.lookups import BROADCAST_BYTES, broadcast_if_small
 from caremeld.plans import clinical, deid, genomic, staging
 from caremeld.session import new_path
@@ -29,7 +29,8 @@ class Layers:
     A model is worked out when it is first asked for. The rows of models with a surrogate id are written to the shared
     folder at that point, and the people with their ids; everything else stays a lazy DataFrame. ``rows(name)`` gives
     a fact table without its id and without that write. Code and sample lookups are measured and broadcast up to
-    ``broadcast_bytes``. What ``build`` has written is read instead of worked out again.
+    ``broadcast_bytes``. What ``build`` has written is read instead of worked out again. With ``relationships`` (see
+    ``operators.relationships``) codes of non-standard concepts resolve to what they map to.
     """
 
     def __init__(
@@ -39,9 +40,10 @@ class Layers:
         concept_map: DataFrame,
         as_of_year: int | None = None,
         broadcast_bytes: int = BROADCAST_BYTES,
+        relationships: DataFrame | None = None,
     ) -> None:
         self.raw, self.vocabulary, self.concept_map, self.as_of_year = raw, vocabulary, concept_map, as_of_year
-        self.broadcast_bytes = broadcast_bytes
+        self.broadcast_bytes, self.relationships = broadcast_bytes, relationships
         self._codes: dict[tuple[str, bool], DataFrame] = {}
         self._views: dict[str, DataFrame] = {}
         self._done: dict[str, DataFrame] = {}
@@ -62,11 +64,18 @@ class Layers:
         """Ids of the people. They are read from written files, whose size tells Spark whether to broadcast them."""
         return clinical.person_keys(self.person)
 
+    @cached_property
+    def targets(self) -> DataFrame:
+        return relationships.standard_targets(self.vocabulary, self.relationships)
+
     def codes(self, vocabulary_id: str, standard_only: bool = True) -> DataFrame:
         """Code lookup of one vocabulary, measured once."""
         key = (vocabulary_id, standard_only)
         if key not in self._codes:
-            lookup = concepts.code_lookup(self.vocabulary, vocabulary_id, standard_only)
+            if standard_only and self.relationships is not None:
+                lookup = _kept(relationships.mapped_lookup(self.vocabulary, vocabulary_id, self.targets), "codes")
+            else:
+                lookup = concepts.code_lookup(self.vocabulary, vocabulary_id, standard_only)
             self._codes[key] = broadcast_if_small(lookup, self.broadcast_bytes)
         return self._codes[key]
 

@@ -10,6 +10,7 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from caremeld.operators.relationships import read_relationships
 from caremeld.plans import quality
 from caremeld.plans.layers import Layers, build
 from caremeld.plans.reconcile import reconciliation
@@ -39,6 +40,7 @@ def run(
     as_of_year: int | None = None,
     sources: list[landing.Source] = landing.SOURCES,
     kept: str | None = None,
+    relationships: str | None = None,
 ) -> Outcome:
     """Lands the files below ``base``, builds every layer from the landed tables, and checks the result.
 
@@ -49,7 +51,8 @@ def run(
     without variants; any other missing file that a model needs stops the run.
 
     With ``kept``, a folder that outlives the run, only files that are new or changed since the last run are landed there (see
-    ``sources.incremental``); the report names each of them, and files that were removed lose their rows.
+    ``sources.incremental``); the report names each of them, and files that were removed lose their rows. With ``relationships``, a
+    relationship extract, codes of non-standard concepts resolve to the standard ones they map to.
     """
     year = as_of_year or dt.date.today().year
     reports = f"{prefix}reports"
@@ -93,7 +96,8 @@ def run(
     stored = {name: save_table(df, omop, name, location) for name, df in seed_tables.items()}
 
     with intermediates(spark):
-        tables = build(Layers(raw, vocabulary, stored["concept_map"], year), prefix, location)
+        links = read_relationships(spark, relationships) if relationships else None
+        tables = build(Layers(raw, vocabulary, stored["concept_map"], year, relationships=links), prefix, location)
     checks = quality.validate(
         tables,
         stored["concept_map"],
@@ -115,6 +119,7 @@ def main(arguments: list[str] | None = None) -> int:
     parser.add_argument("--concept-map", help="reviewed map as CSV, in place of the packaged one")
     parser.add_argument("--location", help="folder for the tables; the catalog's default without it")
     parser.add_argument("--prefix", default="", help="put before every database name")
+    parser.add_argument("--relationships", help="concept relationship extract: follow non-standard codes to standard ones")
     parser.add_argument("--kept", help="folder of an earlier run's raw rows: land only files that changed since")
     parser.add_argument("--as-of-year", type=int, help="year that caps ages; the current one without it")
     parser.add_argument(
@@ -138,6 +143,7 @@ def main(arguments: list[str] | None = None) -> int:
         options.as_of_year,
         sources or landing.SOURCES,
         options.kept,
+        options.relationships,
     )
     # One row per landed table, check or report line: these follow the number of files, not their size.
     for report in (outcome.landed, outcome.checks, outcome.reconciliation):

@@ -92,6 +92,14 @@ RAW_SQL = {
         'p.' || cast(l_linenumber as string) as HGVSp_Short, case when l_orderkey % 37 = 5 then 'TCGA-NO-SAMPLE' else 'TCGA-' || lpad(cast(o_custkey as string),8,'0') || '-01' end as Tumor_Sample_Barcode, 'N-' || cast(o_custkey as string) as Matched_Norm_Sample_Barcode
         from {lineitem} join {orders} on o_orderkey = l_orderkey where o_custkey % 3 = 2
     """,
+    "vocab__concept_relationship": """
+        select p_partkey * 3 + 1 as concept_id_1, (p_partkey + case when p_partkey % 20 = 0 then 10 else 1 end) * 3 + 1 as concept_id_2, 'Maps to' as relationship_id, '' as invalid_reason from {part} where p_partkey % 10 = 0
+        union all select p_partkey * 3 + 1, (p_partkey + 2) * 3 + 1, 'Maps to', '' from {part} where p_partkey % 30 = 0
+        union all select p_partkey * 3 + 1, (p_partkey - 10) * 3 + 1, 'Maps to', '' from {part} where p_partkey % 50 = 10
+        union all select p_partkey * 3 + 1, (p_partkey + 3) * 3 + 1, 'Maps to', 'D' from {part} where p_partkey % 10 = 0
+        union all select p_partkey * 3 + 1, (p_partkey + 4) * 3 + 1, 'Is a', '' from {part}
+        union all select p_partkey * 3 + 3, p_partkey * 3 + 6, 'Maps to', '' from {part} where p_partkey % 10 = 8
+    """,
     "vocab__concept": """
         select cast(p_partkey * 3 + 0 + 1 as string) as CONCEPT_ID, p_name as CONCEPT_NAME, 'Condition' as DOMAIN_ID, 'SNOMED' as VOCABULARY_ID, p_type as CONCEPT_CLASS_ID,
         case when (p_partkey + 0) % 10 = 0 then '' else 'S' end as STANDARD_CONCEPT, cast(p_partkey as string) as CONCEPT_CODE from {part} where p_partkey % 7 <> 0
@@ -137,10 +145,10 @@ class RawTables(Mapping):
         return self._tables[name]
 
     def __iter__(self):
-        return (name for name in RAW_SQL if name != "vocab__concept")
+        return (name for name in RAW_SQL if not name.startswith("vocab__"))
 
     def __len__(self) -> int:
-        return len(RAW_SQL) - 1
+        return sum(1 for _ in self)
 
     def vocabulary(self) -> DataFrame:
         concepts = self["vocab__concept"]

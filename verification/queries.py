@@ -95,7 +95,7 @@ def flat_path(base: str, name: str) -> str:
 
 def landing_zone(spark: SparkSession, sf_dir: str, names: list[str] | None = None) -> str:
     base = new_path(spark, "landing")
-    for name in names or [n for n in RAW_SQL if n != "vocab__concept"]:
+    for name in names or [n for n in RAW_SQL if not n.startswith("vocab__")]:
         write_flat(raw_table(spark, sf_dir, name), flat_path(base, name))
     return base
 
@@ -136,7 +136,7 @@ FILES_SQL = "\nunion all ".join(
     f"select '{n.split('__')[0]}' as source, '{n}' as table_name, "
     f"'{'genomic' if n.endswith('mutations') else 'clinical'}' as role, count(*) as n_rows from ({oracle_raw(n)})"
     for n in RAW_SQL
-    if n != "vocab__concept"
+    if not n.startswith("vocab__")
 )
 
 
@@ -172,7 +172,7 @@ def manifest(spark, sf_dir):
 @query(
     "land_all",
     "\nunion all ".join(
-        [f"select '{n}' as table_name, count(*) as n_rows, '' as note from ({oracle_raw(n)})" for n in RAW_SQL if n != "vocab__concept"]
+        [f"select '{n}' as table_name, count(*) as n_rows, '' as note from ({oracle_raw(n)})" for n in RAW_SQL if not n.startswith("vocab__")]
         + [f"select '{s}__data_cna', null, 'missing: not landed'" for s in ("metabric", "tcga_brca")]
     ),
 )
@@ -715,7 +715,7 @@ def scalar_count_delta(spark, sf_dir):
 @query(
     "ordered_report",
     "\nunion all ".join(
-        f"select '{n}' as item, count(*) as n from ({oracle_raw(n)})" for n in RAW_SQL if n != "vocab__concept"
+        f"select '{n}' as item, count(*) as n from ({oracle_raw(n)})" for n in RAW_SQL if not n.startswith("vocab__")
     ),
 )
 def ordered_report(spark, sf_dir):
@@ -902,6 +902,48 @@ def dq_report(spark, sf_dir):
     )
 
 
+# ---- Non-standard codes --------------------------------------------------------------------------------------------
+
+#: Every concept that a non-standard one reaches; a union without repeats ends in circles.
+REACH = """with recursive concepts as (
+        select CONCEPT_ID::bigint as id, STANDARD_CONCEPT = 'S' as standard, VOCABULARY_ID as vocabulary_id, CONCEPT_CODE as code from ({concepts})),
+    steps as (select concept_id_1 as a, concept_id_2 as b from ({links}) join concepts on concept_id_2 = id
+              where relationship_id = 'Maps to' and invalid_reason = ''),
+    reach(start, here, standard) as (
+        select id, id, false from concepts where not standard
+        union select start, b, c.standard from reach join steps on here = a join concepts c on c.id = b where not reach.standard),
+    targets as (select start as concept_id, here as standard_concept_id from reach where standard)""".format(
+    concepts=oracle_raw("vocab__concept"), links=oracle_raw("vocab__concept_relationship")
+)
+
+
+def linked_layers(spark, sf_dir) -> Layers:
+    raw = RawTables(spark, sf_dir)
+    links = raw["vocab__concept_relationship"]
+    return Layers(raw, raw.vocabulary(), seeds.concept_map(spark), AS_OF_YEAR, relationships=links)
+
+
+@query("maps_to_targets", REACH + " select * from targets")
+def maps_to_targets(spark, sf_dir):
+    """Chains of up to four steps, several targets, circles, and relationships that are invalid or of another kind."""
+    return linked_layers(spark, sf_dir).targets
+
+
+@query(
+    "maps_to_procedures",
+    REACH + f""", own as (select code, min(id) as id from concepts where vocabulary_id = 'SNOMED' and standard group by code),
+    hops as (select code, min(standard_concept_id) as id from concepts join targets on id = concept_id
+             where vocabulary_id = 'SNOMED' group by code)
+    select CODE as snomed_code, coalesce(o.id, h.id, 0) as procedure_concept_id, count(*) as n
+    from ({oracle_raw("synthea__procedures")}) join ({oracle_raw("synthea__patients")}) on PATIENT = Id
+    left join own o on o.code = CODE left join hops h on h.code = CODE group by 1, 2""",
+)
+def maps_to_procedures(spark, sf_dir):
+    """All procedures by code and concept, codes of non-standard concepts followed to their standard ones."""
+    rows = linked_layers(spark, sf_dir).rows("procedure_occurrence")
+    return rows.groupBy("snomed_code", "procedure_concept_id").agg(F.count("*").alias("n"))
+
+
 # ---- Re-identification risk ----------------------------------------------------------------------------------------
 
 K = 5
