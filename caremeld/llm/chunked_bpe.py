@@ -49,7 +49,7 @@ class Chunking:
 
     mean: int = 256
     window: int = 32
-    cached_bytes: int = 64 << 20
+    cached_bytes: int = 16 << 20
     slab: int = 1 << 20
 
 
