@@ -475,6 +475,43 @@ def arrivals_sql() -> str:
     )
 
 
+def trend_sql(what: str) -> str:
+    """Three runs of the visit checks over a third of the orders each, and what changed between them."""
+    listed = "'inpatient', 'emergency', 'ambulatory', 'outpatient', 'wellness'"
+    view, rows = "stg_synthea_encounters", []
+    for run in (1, 2, 3):
+        own = f"(select * from {view} where substr(visit_source_value, 2)::bigint % 3 = {run - 1})"
+        classes = listed if run == 1 else f"{listed}, 'urgentcare', 'Wellness'"
+        for name, category, count in (
+            (f"not_null_{view}_visit_source_value", "conformance", "count(*) filter (where visit_source_value is null)"),
+            (f"unique_{view}_visit_source_value", "conformance", None),
+            (f"relationships_{view}_person_source_value_stg_synthea_patients", "conformance",
+             "count(*) filter (where person_source_value not in (select person_source_value from stg_synthea_patients))"),
+            (f"not_null_{view}_visit_start_date", "completeness", "count(*) filter (where visit_start_date is null)"),
+            (f"expression_is_true_{view}_visit_end_date", "plausibility", "count(*) filter (where visit_end_date < visit_start_date)"),
+            (f"accepted_values_{view}_encounter_class", "conformance", f"count(distinct encounter_class) filter (where encounter_class not in ({classes}))"),
+        ):
+            counted = f"select {count} from {own}" if count else f"select count(*) from (select 1 from {own} group by visit_source_value having count(*) > 1)"
+            rows.append(f"select {run}::bigint as run, '{name}' as check_name, '{category}' as category, ({counted}) as violations")
+    base = "reports as (" + "\nunion all ".join(rows) + ")"
+    if what == "rates":
+        final = """rates as (select run, category, count(*) as n_checks, count(*) filter (where violations = 0) as n_passed,
+                count(*) filter (where violations = 0) / count(*) as pass_rate from reports group by run, category)
+            select *, pass_rate - lag(pass_rate) over (partition by category order by run) as change,
+                max(pass_rate) over (partition by category order by run) - pass_rate > 0.05 as drifted from rates"""
+    else:
+        final = """seen as (select *, violations > 0 as failing, lag(violations) over w as previous, lag(violations > 0) over w as was_failing,
+                coalesce(max(run) filter (where violations = 0) over (partition by check_name order by run), 0) as last_pass
+            from reports window w as (partition by check_name order by run))
+            select check_name, run, case when failing then 'ERROR' else 'PASS' end as status, violations, previous, violations - previous as change,
+                case when failing then (select min(r.run) from reports r where r.check_name = seen.check_name and r.run > last_pass) end as failing_since,
+                case when failing then run - last_pass else 0 end as runs_failing,
+                case when failing and was_failing is null then 'first failure' when failing and not was_failing then 'broke'
+                    when not failing and was_failing then 'fixed' when failing and violations > previous then 'worse'
+                    when failing and violations < previous then 'better' end as event from seen"""
+    return statement("select * from stg_synthea_encounters, stg_synthea_patients").rsplit("\n", 1)[0] + ",\n" + base + ",\n" + final
+
+
 def lines_sql(*groups: str) -> str:
     """The reconciliation lines of some groups."""
     parts = []

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import os
 from collections.abc import Callable
+from dataclasses import replace
 from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
@@ -15,14 +16,14 @@ from caremeld.operators import checks
 from caremeld.operators import concepts as C
 from caremeld.operators.surrogate import assign_surrogate_id
 from caremeld.operators.unpivot import clinical_observations, tumour_measurements
-from caremeld.plans import anonymity, clinical, deid, quality, reconcile
+from caremeld.plans import anonymity, clinical, deid, limited, quality, reconcile, trend
 from caremeld.plans.layers import ANALYTICS, CLINICAL, GENOMIC, PROJECTED, Layers, build
 from caremeld.plans.staging import VIEWS
 from caremeld import session
 from caremeld.session import new_path
 from caremeld.sources import incremental, landing, seeds, tables, variants
 from caremeld.streaming import validation
-from verification.oracle import AS_OF_YEAR, anonymity_sql, arrivals_sql, date, lines_sql, number, report_sql, statement, whole
+from verification.oracle import AS_OF_YEAR, anonymity_sql, arrivals_sql, date, lines_sql, number, report_sql, statement, trend_sql, whole
 from verification.projection import RAW_SQL, RawTables, oracle_raw, raw_table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -934,9 +935,9 @@ def maps_to_targets(spark, sf_dir):
     REACH + f""", own as (select code, min(id) as id from concepts where vocabulary_id = 'SNOMED' and standard group by code),
     hops as (select code, min(standard_concept_id) as id from concepts join targets on id = concept_id
              where vocabulary_id = 'SNOMED' group by code)
-    select CODE as snomed_code, coalesce(o.id, h.id, 0) as procedure_concept_id, count(*) as n
-    from ({oracle_raw("synthea__procedures")}) join ({oracle_raw("synthea__patients")}) on PATIENT = Id
-    left join own o on o.code = CODE left join hops h on h.code = CODE group by 1, 2""",
+    select r.CODE as snomed_code, coalesce(o.id, h.id, 0) as procedure_concept_id, count(*) as n
+    from ({oracle_raw("synthea__procedures")}) r join ({oracle_raw("synthea__patients")}) s on r.PATIENT = s.Id
+    left join own o on o.code = r.CODE left join hops h on h.code = r.CODE group by 1, 2""",
 )
 def maps_to_procedures(spark, sf_dir):
     """All procedures by code and concept, codes of non-standard concepts followed to their standard ones."""
@@ -944,6 +945,110 @@ def maps_to_procedures(spark, sf_dir):
     return rows.groupBy("snomed_code", "procedure_concept_id").agg(F.count("*").alias("n"))
 
 
+# ---- Limited data set ----------------------------------------------------------------------------------------------
+
+KEY = "a key for tests"
+
+
+def shifts_sql() -> str:
+    """HMAC-SHA-256 of the person ids in SQL, and the days it stands for."""
+    inner, outer = (f"unhex('{k.hex()}')" for k in limited.padded(KEY.encode()))
+    hashed = f"sha256({outer} || unhex(sha256({inner} || encode(person_id::varchar))))"
+    return (
+        f"select person_id, (case when n < {limited.DAYS} then n - {limited.DAYS} else n - {limited.DAYS} + 1 end)::int as shift_days from ("
+        f"select person_id, ('0x' || substr({hashed}, 1, 15))::bigint % {2 * limited.DAYS} as n from person)"
+    )
+
+
+def shifts(models: Layers) -> DataFrame:
+    """The days by which people's dates move, from written rows, as the holder of the key would keep them."""
+    path = new_path(models.vocabulary.sparkSession, "shifts")
+    limited.person_shifts(models.person, KEY).write.parquet(path)
+    return models.vocabulary.sparkSession.read.parquet(path)
+
+
+LIMITED = [t for t in CLINICAL if t != "person"]
+
+
+@query("limited_person_shifts", statement(shifts_sql()))
+def limited_person_shifts(spark, sf_dir):
+    return shifts(layers(spark, sf_dir))
+
+
+@query(
+    "limited_dates",
+    statement(
+        f"select t.* from (select 1 from person limit 0) p right join (with shifts as ({shifts_sql()}) "
+        + "\nunion all ".join(
+            f"select '{t}' as table_name, '{c}' as column_name, person_id, "
+            f"cast(cast({c} + shift_days as date) as varchar) as shifted, count(*) as n from {t} join shifts using (person_id) where {c} is not null group by all"
+            for t, columns in MODEL_DATES.items()
+            for c in columns
+        )
+        + ") t on true"
+    ),
+)
+def limited_dates(spark, sf_dir):
+    """Every date of every clinical table after the shift, by table, column and person."""
+    models = layers(spark, sf_dir)
+    tables_ = {t: models.rows(t) for t in LIMITED} | {"person": models.person}
+    counts = []
+    for name, df in limited.limited_tables(tables_, shifts(models)).items():
+        for column in limited.date_columns(df):
+            dated = df.filter(F.col(column).isNotNull()).groupBy("person_id", F.col(column).cast("string").alias("shifted"))
+            counts.append(dated.agg(F.count("*").alias("n")).select(F.lit(name).alias("table_name"), F.lit(column).alias("column_name"), "person_id", "shifted", "n"))
+    return union(counts)
+
+
+@query(
+    "limited_intervals",
+    statement(
+        "select person_id, count(*) as n, sum(date_diff('day', visit_start_date, visit_end_date))::bigint as days_inside, "
+        "date_diff('day', min(visit_start_date), max(visit_end_date)) as days_between from visit_rows group by person_id"
+    ),
+)
+def limited_intervals(spark, sf_dir):
+    """Intervals of every person, measured on shifted visits; the SQL measures them on the visits themselves."""
+    models = layers(spark, sf_dir)
+    visits = limited.shifted(models.rows("visit_occurrence"), shifts(models))
+    return visits.groupBy("person_id").agg(
+        F.count("*").alias("n"),
+        F.sum(F.date_diff("visit_end_date", "visit_start_date")).alias("days_inside"),
+        F.date_diff(F.max("visit_end_date"), F.min("visit_start_date")).cast("long").alias("days_between"),
+    )
+
+
+# ---- Trend of the checks -------------------------------------------------------------------------------------------
+
+RUNS = 3
+
+
+def recorded(spark, sf_dir) -> DataFrame:
+    """Reports of three runs over the visits of every third order, with the limits of a class list that grows."""
+    view = "stg_synthea_encounters"
+    visits, patients = (layers(spark, sf_dir).staging(v) for v in (view, "stg_synthea_patients"))
+    declared = quality.arrival_checks()[view]
+    folder = new_path(spark, "history")
+    for run in range(1, RUNS + 1):
+        own = visits.filter(F.substring("visit_source_value", 2, 20).cast("long") % RUNS == run - 1)
+        # from the second run on all classes are known
+        known = [replace(c, arguments={"values": [*c.arguments["values"], "urgentcare", "Wellness"]}) if c.kind == "accepted_values" and run > 1 else c for c in declared]
+        trend.record(checks.report(known, {view: own, "stg_synthea_patients": patients}), folder, run)
+    trend.record(checks.report(known, {view: own, "stg_synthea_patients": patients}), folder, RUNS)
+    return trend.history(spark, folder)
+
+
+@query("trend_checks", trend_sql("checks"))
+def trend_checks(spark, sf_dir):
+    """What changed from run to run; the last run is recorded twice and counts once."""
+    return trend.check_trend(recorded(spark, sf_dir))
+
+
+@query("trend_pass_rates", trend_sql("rates"))
+def trend_pass_rates(spark, sf_dir):
+    return trend.pass_rates(recorded(spark, sf_dir))
+
+
 # ---- Re-identification risk ----------------------------------------------------------------------------------------
 
 K = 5
