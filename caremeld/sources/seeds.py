@@ -27,6 +27,9 @@ CONCEPT_MAP_SCHEMA = T.StructType(
 SPEC_SCHEMA = T.StructType(
     [T.StructField(c, T.StringType()) for c in ("cdm_table_name", "cdm_schema", "is_required")]
 )
+FIELD_SCHEMA = T.StructType(
+    [T.StructField(c, T.StringType()) for c in ("cdm_table_name", "cdm_field_name", "is_required", "cdm_datatype")]
+)
 SCOPE_SCHEMA = T.StructType([T.StructField(c, T.StringType()) for c in ("cdm_table_name", "status", "reason")])
 
 REVIEW_STATUSES = ["STANDARD", "RESOLVE_AT_ETL", "REVIEW", "NOT_MAPPED", "PARALLEL_LAYER"]
@@ -60,6 +63,11 @@ def cdm_spec(spark: SparkSession) -> DataFrame:
     return _frame(spark, packaged("cdm_v54_tables", SPEC_SCHEMA), SPEC_SCHEMA)
 
 
+def cdm_fields(spark: SparkSession) -> DataFrame:
+    """The published fields of the tables that are built, with their types."""
+    return _frame(spark, packaged("cdm_v54_fields", FIELD_SCHEMA), FIELD_SCHEMA)
+
+
 def cdm_scope(spark: SparkSession) -> DataFrame:
     return _frame(spark, packaged("cdm_scope", SCOPE_SCHEMA), SCOPE_SCHEMA)
 

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import re
 
+from caremeld.sources import seeds
 from verification import expected
 from verification.expected import DECIMAL_NUMBER, ISO_DATE
 from verification.projection import RAW_SQL, oracle_raw
@@ -512,6 +513,43 @@ def trend_sql(what: str) -> str:
     return statement("select * from stg_synthea_encounters, stg_synthea_patients").rsplit("\n", 1)[0] + ",\n" + base + ",\n" + final
 
 
+#: The fields of the clinical tables as they are built.
+MODEL_FIELDS = """
+person person_id:bigint gender_concept_id:bigint year_of_birth:bigint birth_datetime:date race_concept_id:bigint ethnicity_concept_id:bigint person_source_value:string gender_source_value:string
+visit_occurrence visit_occurrence_id:bigint person_id:bigint visit_concept_id:bigint visit_start_date:date visit_end_date:date visit_source_value:string
+condition_occurrence condition_occurrence_id:bigint person_id:bigint condition_concept_id:bigint condition_start_date:date condition_source_value:string snomed_code:string
+drug_exposure drug_exposure_id:bigint person_id:bigint drug_concept_id:bigint drug_exposure_start_date:date drug_exposure_end_date:date quantity:double drug_source_value:string rxnorm_code:string
+procedure_occurrence procedure_occurrence_id:bigint person_id:bigint procedure_concept_id:bigint procedure_date:date procedure_source_value:string snomed_code:string
+measurement measurement_id:bigint person_id:bigint measurement_concept_id:bigint measurement_date:date value_as_number:double value_as_concept_id:bigint value_source_value:string unit_source_value:string unit_concept_id:bigint measurement_source_value:string
+observation observation_id:bigint person_id:bigint observation_concept_id:bigint observation_date:date value_as_number:double value_as_concept_id:bigint value_source_value:string unit_concept_id:bigint observation_source_value:string
+observation_period observation_period_id:bigint person_id:bigint observation_period_start_date:date observation_period_end_date:date period_type_concept_id:bigint
+death person_id:bigint death_date:date death_type_concept_id:bigint
+"""
+
+
+def conformance_sql() -> str:
+    """Schemas against the published fields, then the values of required and of limited fields."""
+    model = [(t, *field.split(":")) for t, *fields in map(str.split, MODEL_FIELDS.strip().splitlines()) for field in fields]
+    spec = seeds.packaged("cdm_v54_fields", seeds.FIELD_SCHEMA)
+    structure = f"""select coalesce(s.t, m.t) as table_name, coalesce(s.f, m.f) as field_name,
+            case when m.f is null and required = 'TRUE' then 'ABSENT_REQUIRED' when m.f is null then 'ABSENT_OPTIONAL'
+                 when s.f is null then 'EXTRA' when actual <> case split_part(expected, '(', 1) when 'integer' then 'bigint'
+                 when 'float' then 'double' when 'datetime' then 'timestamp' when 'varchar' then 'string' else expected end then 'MISTYPED' end as violation,
+            expected, actual, null::bigint as n_values
+        from ({values(spec, "t, f, required, expected")}) s full join ({values(model, "t, f, actual")}) m on s.t = m.t and s.f = m.f"""
+    built, lines = {(t, f): kind for t, f, kind in model}, [f"select * from ({structure}) where violation is not null"]
+    for table, field, required, kind in spec:
+        actual = built.get((table, field))
+        if actual is None:
+            continue
+        length = kind.removeprefix("varchar(").rstrip(")")
+        if length.isdigit():
+            lines.append(f"select '{table}', '{field}', 'TOO_LONG', '{kind}', '{actual}', count(*) filter (where length({field}) > {length}) as n from {table} having n > 0")
+        if required == "TRUE":
+            lines.append(f"select '{table}', '{field}', 'NULL_REQUIRED', 'not null', '{actual}', count(*) filter (where {field} is null) as n from {table} having n > 0")
+    return statement("\nunion all ".join(lines))
+
+
 def lines_sql(*groups: str) -> str:
     """The reconciliation lines of some groups."""
     parts = []

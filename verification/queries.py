@@ -16,14 +16,14 @@ from caremeld.operators import checks
 from caremeld.operators import concepts as C
 from caremeld.operators.surrogate import assign_surrogate_id
 from caremeld.operators.unpivot import clinical_observations, tumour_measurements
-from caremeld.plans import anonymity, clinical, deid, limited, quality, reconcile, trend
+from caremeld.plans import anonymity, clinical, conformance, deid, limited, quality, reconcile, trend
 from caremeld.plans.layers import ANALYTICS, CLINICAL, GENOMIC, PROJECTED, Layers, build
 from caremeld.plans.staging import VIEWS
 from caremeld import session
 from caremeld.session import new_path
 from caremeld.sources import incremental, landing, seeds, tables, variants
 from caremeld.streaming import validation
-from verification.oracle import AS_OF_YEAR, anonymity_sql, arrivals_sql, date, lines_sql, number, report_sql, statement, trend_sql, whole
+from verification.oracle import AS_OF_YEAR, anonymity_sql, arrivals_sql, conformance_sql, date, lines_sql, number, report_sql, statement, trend_sql, whole
 from verification.projection import RAW_SQL, RawTables, oracle_raw, raw_table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -1165,6 +1165,20 @@ def stream_landing(spark, sf_dir):
     return validation.rows(spark, feed, columns)
 
 
+@query("dq_field_conformance", conformance_sql())
+def dq_field_conformance(spark, sf_dir):
+    """Every published field of the clinical tables: absent, mistyped, extra, too long, or NULL where required."""
+    models = layers(spark, sf_dir)
+    # what rows are numbered by is not part of the table
+    facts = {t: models.rows(t).drop("person_source_value") for t in CLINICAL if t != "person"} | {"person": models.person}
+    whole_tables = {t: df.withColumn(NUMBERS[t], F.lit(1).cast("long")) if t in NUMBERS else df for t, df in facts.items()}
+    return conformance.field_conformance(spark, whole_tables, seeds.cdm_fields(spark))
+
+
+#: Ids that fact tables get when they are written; any value stands for them here.
+NUMBERS = {t: f"{t}_id" for t in CLINICAL if t not in ("person", "death")}
+
+
 # ---- Reconciliation ------------------------------------------------------------------------------------------------
 
 REPORT = "check_group, item, source_count, modeled_count, delta, note"
