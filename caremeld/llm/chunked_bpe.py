@@ -22,13 +22,13 @@ import json
 import re
 from collections import OrderedDict
 from collections.abc import Callable
-from dataclasses import dataclass
+from dataclasses import astuple, dataclass
 
 import numpy as np
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from caremeld.llm.shared import col, free_name, per_text
+from caremeld.llm.shared import col, free_name, kept_in_process, per_text
 
 # The pattern that byte-level vocabularies of this family split text with.
 PATTERN = r"""'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"""
@@ -167,10 +167,11 @@ def brought_together(df: DataFrame, text: str) -> DataFrame:
 
 
 def encoded(path: str, make: Callable[[Codec, str], tuple], schema: str, chunking: Chunking = Chunking()):
-    """A function of a text column: what ``make`` takes from the codec and a text."""
+    """A function of a text column: what ``make`` takes from the codec and a text. A worker has one codec, whichever
+    functions it runs one after the other; earlier ones would keep theirs with its chunks."""
 
     def start():
-        codec = Codec(path, chunking)
+        codec = kept_in_process(("chunks", path, *astuple(chunking)), lambda: Codec(path, chunking), only="chunks")
         return lambda value: make(codec, value)
 
     return per_text(start, schema)

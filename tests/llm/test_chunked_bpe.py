@@ -2,8 +2,11 @@ from __future__ import annotations
 
 import hashlib
 import random
+import sys
+from types import ModuleType
 
 import numpy as np
+import pandas as pd
 import public_tokenizers
 import pytest
 from hypothesis import given, settings
@@ -132,3 +135,13 @@ def test_very_long_white_space(text):
     ids = codec.encode(text)
     assert codec.decode(ids) == text
     assert ids.tolist() == LIBRARY.encode(text, add_special_tokens=False).ids
+
+
+def test_a_worker_holds_one_codec_for_all_its_queries(monkeypatch):
+    """Each query makes its function anew; what the codecs of earlier ones hold would add up."""
+    monkeypatch.setitem(sys.modules, "kept_in_this_process", ModuleType("kept_in_this_process"))
+    codecs = []
+    for _ in range(3):
+        apply = B.encoded(PATH, lambda codec, value: codecs.append(codec) or len(codec.encode(value)), "long")
+        assert [n.tolist() for n in apply.func(iter([pd.Series(["one two", None])]))] == [[2, 0]]
+    assert len(codecs) == 6 and len({id(c) for c in codecs}) == 1
