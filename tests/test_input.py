@@ -2,11 +2,14 @@
 
 from __future__ import annotations
 
+import os
+
 import pyarrow as pa
 import pyarrow.parquet as pq
 import pytest
 
 from caremeld.plans.layers import STEPS, TABLE_LAYERS
+from verification import queries as Q
 from verification.projection import RAW_SQL, RawTables
 
 FLAGS = ["A", "N", "R", "", None]
@@ -45,3 +48,12 @@ def test_lines_are_joined_with_their_orders_once(spark, given, tmp_path, name):
 
 def test_every_table_is_built_in_one_step():
     assert sorted(t for step in STEPS for t in step) == sorted(t for tables in TABLE_LAYERS.values() for t in tables)
+
+
+def test_the_task_that_writes_a_part_file_works_out_nothing(spark, given, tmp_path, monkeypatch):
+    seen = []
+    monkeypatch.setattr(Q, "write_flat", lambda df, path, real=Q.write_flat: (seen.append(plan(df)), real(df, path)))
+    rows = RawTables(spark, given)["synthea__conditions"]
+    Q.put_part(spark, rows, str(tmp_path / "conditions.csv"), 3)
+    assert "Coalesce" not in seen[0] and "Exchange SinglePartition" in seen[0]
+    assert os.listdir(tmp_path / "conditions.csv") and spark.read.csv(str(tmp_path / "conditions.csv"), header=True).count() == rows.count()
