@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import glob
 import os
 
 import pyarrow as pa
@@ -50,6 +51,19 @@ def test_every_table_is_built_in_one_step():
     assert sorted(t for step in STEPS for t in step) == sorted(t for tables in TABLE_LAYERS.values() for t in tables)
 
 
+@pytest.mark.parametrize("size", [2_000, 1 << 20])
+def test_arriving_files_are_of_bounded_size(spark, given, size):
+    """Twice as many bytes arrive in twice as many files, and in two batches all the same."""
+    feed, columns, folder, parts = Q.arrivals(spark, given, "stg_synthea_encounters", size)
+    assert parts == max(2, -(-os.path.getsize(f"{given}/orders.parquet") // size))
+    assert len(glob.glob(f"{folder}/all/part-*")) == parts
+    Q.taken(spark, feed, columns, folder, parts)
+    assert spark.read.parquet(feed.place("reports")).select("batch").distinct().count() == 2
+    raw = RawTables(spark, given)["synthea__encounters"].na.fill("")
+    landed = Q.validation.rows(spark, feed, columns)
+    assert landed.count() == raw.count() and landed.exceptAll(raw).isEmpty()
+
+
 def test_the_task_that_writes_a_part_file_works_out_nothing(spark, given, tmp_path, monkeypatch):
     seen = []
     monkeypatch.setattr(Q, "write_flat", lambda df, path, real=Q.write_flat: (seen.append(plan(df)), real(df, path)))
