@@ -137,7 +137,7 @@ def test_very_long_white_space(text):
     assert ids.tolist() == LIBRARY.encode(text, add_special_tokens=False).ids
 
 
-def test_a_worker_holds_one_codec_for_all_its_queries(monkeypatch):
+def test_a_worker_holds_one_codec_for_all_its_queries(spark, monkeypatch):
     """Each query makes its function anew; what the codecs of earlier ones hold would add up."""
     monkeypatch.setitem(sys.modules, "kept_in_this_process", ModuleType("kept_in_this_process"))
     codecs = []
